@@ -1,0 +1,8 @@
+"""Registration hook for the streaming queries (filled in by chatsift.streaming.jobs)."""
+
+
+def register() -> None:
+    try:
+        from chatsift.streaming import jobs  # noqa: F401  (registers on import)
+    except ImportError:
+        pass
