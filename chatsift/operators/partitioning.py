@@ -14,11 +14,13 @@ BROADCAST_MAX_ROWS = 2_000_000
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when the input has too few partitions.
+    """Round-robin repartition of a *scan* that has too few partitions.
 
     A large multi-file scan already has many splits and is left alone (no
     shuffle); a single-file table (one row group, one task) is spread over the
-    cluster's cores before CPU-heavy row-local operators.
+    cluster's cores before CPU-heavy row-local operators.  Call it on scans
+    only: on a plan with a shuffle, asking for the partition count makes AQE
+    run that shuffle (and the output of a shuffle is spread already).
     """
     spark = df.sparkSession
     target = min_partitions or spark.sparkContext.defaultParallelism
@@ -50,7 +52,7 @@ def hash_prefix_long(md5_hex: Column) -> Column:
 
 
 def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
-                 accuracy: int = 100_000) -> tuple | None:
+                 accuracy: int = 100_000, stats=None) -> tuple | None:
     """The n-th smallest ``(num_col, *tie_cols)`` key (1-based), exactly.
 
     ``num_col`` is numeric; ``tie_cols`` make keys unique.  One approximate
@@ -62,7 +64,8 @@ def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
     if n <= 0:
         return None
     keys = df.select(num_col, *tie_cols)
-    stats = keys.agg(F.count(F.lit(1)).alias("n"), F.min(num_col).alias("lo"), F.max(num_col).alias("hi")).first()
+    if stats is None:
+        stats = key_stats(keys, num_col)
     total = stats["n"]
     if n > total:
         return None
@@ -97,6 +100,11 @@ def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
     return tuple(row)
 
 
+def key_stats(df: DataFrame, num_col: str):
+    """``(n, lo, hi)``: row count, min and max of the key (one pass)."""
+    return df.agg(F.count(F.lit(1)).alias("n"), F.min(num_col).alias("lo"), F.max(num_col).alias("hi")).first()
+
+
 def key_at_most(num_col: str, tie_cols: list[str], cut: tuple) -> Column:
     """Lexicographic ``(num_col, *tie_cols) <= cut`` as a Column."""
     cols = [num_col] + list(tie_cols)

@@ -135,19 +135,34 @@ def completion_token_stats(df: DataFrame, col: str = "completion_tokens") -> Dat
 
 
 def upper_median(df: DataFrame, col: str) -> float | None:
-    """``sorted(values)[n // 2]`` over non-null values, exact and distributed."""
-    vals = df.select(col).where(F.col(col).isNotNull())
-    n = vals.count()
-    if n == 0:
+    """``sorted(values)[n // 2]`` over non-null values, exact and distributed.
+
+    The values are checkpointed first (one narrow column), so the expression
+    producing them runs once however many passes the cut search takes.
+    """
+    from chatsift.operators.partitioning import key_stats
+    from chatsift.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    vals = df.select(col).where(F.col(col).isNotNull()).checkpoint()
+    stats = key_stats(vals, col)
+    if stats["n"] == 0:
         return None
-    cut = nth_smallest(vals, col, [], n // 2 + 1)
-    return cut[0]
+    return nth_smallest(vals, col, [], stats["n"] // 2 + 1, stats=stats)[0]
 
 
 def token_stats(df: DataFrame, col: str = "tokens") -> DataFrame:
-    """count, average, upper median, min and max of a token-length column."""
-    med = upper_median(df, col)
-    return df.agg(
+    """count, average, upper median, min and max of a token-length column.
+
+    The lengths are computed once into a checkpoint; the summary and the
+    median both read that narrow table.
+    """
+    from chatsift.session import checkpoint_root
+
+    checkpoint_root(df.sparkSession)
+    lengths = df.select(col).checkpoint()
+    med = upper_median(lengths, col)
+    return lengths.agg(
         F.count(col).alias("samples"), F.round(F.avg(col), 6).alias("avg_tokens"),
         F.min(col).alias("min_tokens"), F.max(col).alias("max_tokens"),
     ).withColumn("median_tokens", F.lit(med).cast("long"))

@@ -79,7 +79,7 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language profiles trained on ``documents`` (checkpointed, reused per session)."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _PROFILE_CACHE:
-        _PROFILE_CACHE[key] = train_lang_profiles(read_table(spark, sf_dir, "documents"), "text", "lang")
+        _PROFILE_CACHE[key] = train_lang_profiles(spread(read_table(spark, sf_dir, "documents")), "text", "lang")
     return _PROFILE_CACHE[key]
 
 
@@ -299,7 +299,7 @@ def q_ngram_loop_exploded(spark, sf_dir):
 
 @query("filter_ngram")
 def q_filter_ngram(spark, sf_dir):
-    return flt.filter_ngram_repetition(spread(tb.chat(spark, sf_dir)), 10, 5).select("id")
+    return flt.filter_ngram_repetition(tb.chat(spark, sf_dir), 10, 5).select("id")
 
 
 def derived_replies(spark, sf_dir) -> DataFrame:

@@ -18,7 +18,6 @@ from chatsift.operators import sampling as smp
 from chatsift.operators import shape as shp
 from chatsift.operators.lang import detect_lang
 from chatsift.operators.model_calls import JUDGE_OPTIONS, map_model
-from chatsift.operators.partitioning import spread
 from chatsift.sources.datasets import read_dataset, require_columns
 
 
@@ -39,7 +38,6 @@ def curate(df: DataFrame, profiles: DataFrame | None = None, lang: str = "fr",
     aggregate and ``kept`` is the same plan filtered.  Expensive stages only
     see rows that passed the cheaper ones (their input is nulled otherwise).
     """
-    df = spread(df)
     stages: list[tuple[str, object]] = []
     base = df.withColumns({
         "_ok_empty": flt.empty_content_ok(messages),
@@ -153,7 +151,6 @@ class GenerationReport:
 
 
 def report_generations(gens: DataFrame, profiles: DataFrame) -> GenerationReport:
-    gens = spread(gens)
     return GenerationReport(
         finish_reasons=rep.finish_reason_report(gens),
         thinking_language=rep.thinking_language_report(gens, profiles),
