@@ -211,3 +211,27 @@ def generation_summary(dataset: DataFrame, done_ids: DataFrame, replies: DataFra
         F.sum(F.when((k == "d") | ((k == "r") & e.isNull()), 1).otherwise(0)).cast("long").alias("generated"),
         F.sum(F.when((k == "r") & e.isNotNull(), 1).otherwise(0)).cast("long").alias("errors"),
     )
+
+
+def observe_progress(df: DataFrame, name: str = "progress", verdict_col: str = "verdict",
+                     text: Column | None = None):
+    """Running accepted / rejected counts (and the last rejected example's
+    preview) as ``observe()`` metrics, filled by whatever action runs next.
+
+    Returns ``(df, observation)``; ``observation.get`` holds the metrics once
+    the action (a write, or one streaming micro-batch) has finished.
+    """
+    from pyspark.sql import Observation
+
+    from chatsift.functions.text import preview
+
+    obs = Observation(name)
+    v = F.coalesce(F.col(verdict_col), F.lit(False))
+    metrics = [
+        F.count(F.lit(1)).alias("processed"),
+        F.sum(F.when(v, 1).otherwise(0)).alias("accepted"),
+        F.sum(F.when(v, 0).otherwise(1)).alias("rejected"),
+    ]
+    if text is not None:
+        metrics.append(F.max_by(preview(text), F.when(~v, F.monotonically_increasing_id())).alias("last_rejected"))
+    return df.observe(obs, *metrics), obs

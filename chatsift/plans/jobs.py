@@ -18,7 +18,7 @@ from chatsift.operators import sampling as smp
 from chatsift.operators import shape as shp
 from chatsift.operators.lang import detect_lang
 from chatsift.operators.model_calls import JUDGE_OPTIONS, map_model
-from chatsift.sources.datasets import read_dataset, require_columns
+from chatsift.sources.datasets import pick_split, read_dataset, require_columns
 
 
 # ------------------------------------------------------------- E1 curate ---
@@ -182,3 +182,72 @@ def generate_requests(df: DataFrame, done_ids: DataFrame, max_samples: int | Non
     remaining = smp.resume(df, done_ids, "id")
     remaining = smp.max_samples(remaining, max_samples, "id")
     return shp.generation_requests(remaining)
+
+
+# ---------------------------------------------------- runnable job entries ---
+
+def run_curate(spark: SparkSession, dataset: str, release_path: str, profiles: DataFrame | None = None,
+               split: str = "train", ngram_size: int = 10, ngram_threshold: int = 5) -> DataFrame:
+    """Load -> stages -> publish; returns the funnel (computed by the same plan)."""
+    from chatsift.sinks.writers import publish
+
+    df = read_dataset(spark, dataset, split)
+    res = curate(df, profiles, ngram_size=ngram_size, ngram_threshold=ngram_threshold)
+    publish(res.kept, release_path, "curated")
+    return res.funnel
+
+
+def run_judge(spark: SparkSession, input_path: str, output_path: str, client_factory,
+              endpoints=None, preset: str = "dataset", concurrency: int = 8, extra_cols=None):
+    """Pick split -> judge requests -> model -> keep verdict true -> write ``train``.
+
+    Replies are checkpointed before the filter and the summary both read them.
+    Returns ``(summary, progress observation)``.
+    """
+    from chatsift.session import checkpoint_root
+    from chatsift.sinks.writers import write_split
+
+    split = pick_split(spark, input_path)
+    df = load_split_df(spark, input_path, split)
+    replies = judge(df, client_factory, endpoints, preset, concurrency, extra_cols=extra_cols)
+    checkpoint_root(spark)
+    replies = replies.checkpoint()
+    verdicts = judge_verdicts(replies)
+    kept = shp.judge_output(df.join(verdicts.where("verdict"), "id", "left_semi"))
+    tracked, obs = rep.observe_progress(df.join(verdicts, "id", "left"), "judge")
+    tracked.write.format("noop").mode("overwrite").save()
+    write_split(kept, output_path, "train")
+    return rep.judge_summary(verdicts), obs
+
+
+def run_generate(spark: SparkSession, dataset: str, output_path: str, client_factory,
+                 endpoints=None, max_samples: int | None = None, concurrency: int = 8,
+                 release_path: str | None = None, request_cols=("id", "messages")):
+    """Resume by id -> requests -> model -> append JSON lines -> summary [-> publish]."""
+    from chatsift.operators.model_calls import GENERATION_OPTIONS
+    from chatsift.session import checkpoint_root
+    from chatsift.sinks.writers import append_jsonl, publish
+    from chatsift.sources.datasets import read_done_ids
+
+    df = read_dataset(spark, dataset, "train")
+    done = read_done_ids(spark, output_path)
+    req = generate_requests(df, done, max_samples)
+    extra = [c for c in request_cols if c not in req.columns]
+    if extra:
+        req = req.join(df.select("id", *extra), "id")
+    replies = map_model(req, client_factory, endpoints, request_cols=list(request_cols),
+                        options=GENERATION_OPTIONS, concurrency=concurrency)
+    checkpoint_root(spark)
+    replies = replies.checkpoint()
+    gens = shp.assemble_generations(req.withColumn("id", F.col("id").cast("string")), replies)
+    append_jsonl(gens, output_path)
+    summary = rep.generation_summary(df, done, replies)
+    if release_path:
+        publish(spark.read.json(output_path), release_path, "generations")
+    return summary
+
+
+def load_split_df(spark: SparkSession, path: str, split: str) -> DataFrame:
+    from chatsift.sources.datasets import load_split
+
+    return load_split(spark, path, split)
