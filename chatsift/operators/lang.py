@@ -63,21 +63,25 @@ def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col
                 out_col: str = "detected_lang") -> DataFrame:
     """``(id, detected_lang)`` for every input row (null when no trigram).
 
-    Plan: explode trigrams -> broadcast hash join with the bounded profile ->
-    one aggregate per id with a sum column per language (partial aggregation
-    inside the task, so only one small record per input row is shuffled) ->
+    Plan: explode trigrams -> broadcast hash join with the bounded profile,
+    pivoted to one row per trigram -> one aggregate per id with a sum column
+    per language (partial aggregation inside the task, so only one small
+    record per input row is shuffled) ->
     arg-max of ``n_grams * unseen + sum(logp - unseen)``.  Ties go to the
     larger language code.  The language list (bounded) is read on the driver.
     """
     langs = [(r["lang"], float(r["unseen_logp"]))
              for r in profiles.select("lang", "unseen_logp").distinct().orderBy("lang").collect()]
-    prof = profiles.select("lang", "gram", (F.col("logp") - F.col("unseen_logp")).alias("_d"))
+    # One row per trigram with a delta column per language (the profile is
+    # bounded, so this pivot is small): each text trigram joins one row.
+    delta = F.col("logp") - F.col("unseen_logp")
+    wide = profiles.groupBy("gram").agg(
+        *[F.sum(F.when(F.col("lang") == l, delta)).alias(f"_d{i}") for i, (l, _) in enumerate(langs)]
+    )
     base = df.select(F.col(id_col).alias("_id"), trigrams(text_col).alias("_g"))
     grams = base.select("_id", F.coalesce(F.size("_g"), F.lit(0)).alias("_n"), F.explode_outer("_g").alias("gram"))
-    joined = grams.join(F.broadcast(prof), "gram", "left")
-    aggs = [F.max("_n").alias("_n")] + [
-        F.sum(F.when(F.col("lang") == l, F.col("_d"))).alias(f"_s{i}") for i, (l, _) in enumerate(langs)
-    ]
+    joined = grams.join(F.broadcast(wide), "gram", "left")
+    aggs = [F.max("_n").alias("_n")] + [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(langs))]
     per_id = joined.groupBy("_id").agg(*aggs)
     scores = [
         F.struct(

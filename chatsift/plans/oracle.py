@@ -400,8 +400,9 @@ SELECT id, md5(prompt) AS prompt_md5, no_eos, ngram_loop, no_eos OR ngram_loop A
 
 q("loop_report", f"""
 WITH {LOOP_ROWS},
-a AS (SELECT count(*) AS samples, sum(CAST(no_eos AS BIGINT)) AS no_eos, sum(CAST(ngram_loop AS BIGINT)) AS ngram_loop,
-             sum(CAST(no_eos OR ngram_loop AS BIGINT)) AS looping FROM flags)
+a AS (SELECT count(*) AS samples, CAST(sum(CAST(no_eos AS BIGINT)) AS BIGINT) AS no_eos,
+             CAST(sum(CAST(ngram_loop AS BIGINT)) AS BIGINT) AS ngram_loop,
+             CAST(sum(CAST(no_eos OR ngram_loop AS BIGINT)) AS BIGINT) AS looping FROM flags)
 SELECT samples, no_eos, ngram_loop, looping,
        CASE WHEN samples > 0 THEN round(100.0::DOUBLE * no_eos / samples, 6) END AS no_eos_pct,
        CASE WHEN samples > 0 THEN round(100.0::DOUBLE * ngram_loop / samples, 6) END AS ngram_loop_pct,
@@ -556,8 +557,8 @@ CHAT_IDS = "cid AS (SELECT DISTINCT conv_id AS id FROM conversations)"
 q("judge_summary", f"""
 WITH {CHAT_IDS},
 v AS (SELECT coalesce(l.quality = 1, false) AS verdict FROM cid LEFT JOIN labels l ON l.doc_id = cid.id),
-a AS (SELECT CAST(sum(CASE WHEN verdict THEN 1 ELSE 0 END) AS INTEGER) AS accepted,
-             CAST(sum(CASE WHEN verdict THEN 0 ELSE 1 END) AS INTEGER) AS rejected FROM v)
+a AS (SELECT CAST(sum(CASE WHEN verdict THEN 1 ELSE 0 END) AS BIGINT) AS accepted,
+             CAST(sum(CASE WHEN verdict THEN 0 ELSE 1 END) AS BIGINT) AS rejected FROM v)
 SELECT accepted, rejected,
        CASE WHEN accepted + rejected > 0 THEN round(100.0::DOUBLE * accepted / (accepted + rejected), 6) END AS pass_rate
 FROM a""")
