@@ -114,3 +114,71 @@ def key_at_most(num_col: str, tie_cols: list[str], cut: tuple) -> Column:
         c, v = F.col(cols[i]), F.lit(cut[i])
         cond = (c < v) | ((c == v) & cond)
     return cond
+
+
+def grouped_quantile(df: DataFrame, group_cols: list[str], value_col: str, q: float,
+                     accuracy: int = 10_000, out_col: str = "quantile") -> DataFrame:
+    """Exact linear-interpolated quantile per group, in bounded memory.
+
+    Same result as ``percentile(value, q)`` (position ``q * (n - 1)``), but no
+    group's values are buffered whole: an approximate-quantile pass gives a
+    band around the target ranks (rank error at most n / accuracy, the band is
+    three times that), and only the band's distinct values with their counts
+    are gathered per group.  A band that misses the target rank raises
+    (never a silently wrong answer).  Null values are ignored; a group with
+    no values gets null.
+    """
+    v = F.col(value_col).cast("double")
+    vals = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
+    slack = 3.0 / accuracy
+    q_lo, q_hi = max(q - slack, 0.0), min(q + slack, 1.0)
+    stats = vals.groupBy(*group_cols).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
+        F.percentile_approx("_v", [q_lo, q_hi], accuracy).alias("_qs"),
+    ).select(
+        *group_cols, "_n",
+        # Groups smaller than ``accuracy`` use their whole range (at most
+        # ``accuracy`` values); in larger ones the band spans >= 2 extra ranks,
+        # covering the approximation error and the rank convention (ceil(q n)
+        # versus interpolation at q (n - 1)).
+        F.when(F.col("_n") < accuracy, F.col("_min"))
+        .otherwise(F.col("_min") if q_lo <= 0.0 else F.col("_qs")[0]).alias("_lo"),
+        F.when(F.col("_n") < accuracy, F.col("_max"))
+        .otherwise(F.col("_max") if q_hi >= 1.0 else F.col("_qs")[1]).alias("_hi"),
+    )
+    # One stats row per group: a shuffle join on the group key (AQE may broadcast it).
+    tagged = vals.join(stats, group_cols)
+    in_band = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    below = tagged.groupBy(*group_cols).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"))
+    band = (
+        tagged.where(in_band).groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
+        .groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_v", "_c"))).alias("_band"))
+    )
+    g = stats.join(below, group_cols).join(band, group_cols, "left")
+    pos = F.lit(q) * (F.col("_n") - 1)
+    k = F.floor(pos).cast("long")
+    frac = pos - k
+
+    def value_at(rank: Column) -> Column:
+        # Walk the sorted (value, count) band until the cumulative count passes rank.
+        target = rank - F.col("_below")
+        acc0 = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
+        return F.aggregate(
+            F.col("_band"), acc0,
+            lambda acc, e: F.struct(
+                (acc["seen"] + e["_c"]).alias("seen"),
+                F.when(acc["v"].isNull() & (acc["seen"] + e["_c"] > target), e["_v"]).otherwise(acc["v"]).alias("v"),
+            ),
+            lambda acc: acc["v"],
+        )
+
+    v_k = value_at(k)
+    v_k1 = value_at(F.least(k + 1, F.col("_n") - 1))
+    result = v_k + frac * (v_k1 - v_k)
+    missed = F.col("_n").isNotNull() & (v_k.isNull() | v_k1.isNull())
+    return g.select(
+        *group_cols,
+        F.when(missed, F.raise_error(F.lit("grouped_quantile: approximate band missed the target rank")))
+        .otherwise(result).alias(out_col),
+    )

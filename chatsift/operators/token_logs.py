@@ -115,13 +115,12 @@ def high_entropy_mask(tokens: DataFrame, rho: float, mask: str = "mask",
                       entropy: str = "entropy") -> DataFrame:
     """Keep tokens whose entropy is at least the step's (1 - rho) quantile
     (linear interpolation over unmasked tokens); masked tokens never pass and
-    a step without unmasked tokens keeps nothing."""
+    a step without unmasked tokens keeps nothing.  The quantile is exact and
+    never buffers a whole step (see ``grouped_quantile``)."""
+    from chatsift.operators.partitioning import grouped_quantile
+
     q = 1.0 - rho
-    thr = (
-        tokens.where(F.col(mask) != 0)
-        .groupBy("step")
-        .agg(F.percentile(F.col(entropy).cast("double"), F.lit(q)).alias("threshold"))
-    )
+    thr = grouped_quantile(tokens.where(F.col(mask) != 0), ["step"], entropy, q, out_col="threshold")
     # One threshold row per step: AQE broadcasts it when small, else a shuffle join.
     out = tokens.join(thr, "step", "left")
     keep = F.coalesce((F.col(entropy) * F.col(mask) >= F.col("threshold")) & (F.col(mask) != 0), F.lit(False))
