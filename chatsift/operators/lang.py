@@ -19,6 +19,8 @@ from pyspark.sql import Window
 
 DEFAULT_TOP_K = 2000
 
+from chatsift.operators.partitioning import BROADCAST_MAX_ROWS  # noqa: E402
+
 
 def lang_text(text) -> Column:
     """Lower-case, letters only, single spaces, padded with one space per side."""
@@ -60,7 +62,7 @@ def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "
 
 
 def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
-                out_col: str = "detected_lang") -> DataFrame:
+                out_col: str = "detected_lang", max_grams_per_lang: int = DEFAULT_TOP_K) -> DataFrame:
     """``(id, detected_lang)`` for every input row (null when no trigram).
 
     Plan: explode trigrams -> broadcast hash join with the bounded profile,
@@ -69,6 +71,9 @@ def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col
     record per input row is shuffled) ->
     arg-max of ``n_grams * unseen + sum(logp - unseen)``.  Ties go to the
     larger language code.  The language list (bounded) is read on the driver.
+    The profile is broadcast only when ``#languages x max_grams_per_lang`` is
+    within the broadcast limit; beyond it the join is a shuffle join (AQE
+    splits skewed trigram keys).
     """
     langs = [(r["lang"], float(r["unseen_logp"]))
              for r in profiles.select("lang", "unseen_logp").distinct().orderBy("lang").collect()]
@@ -80,7 +85,10 @@ def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col
     )
     base = df.select(F.col(id_col).alias("_id"), trigrams(text_col).alias("_g"))
     grams = base.select("_id", F.coalesce(F.size("_g"), F.lit(0)).alias("_n"), F.explode_outer("_g").alias("gram"))
-    joined = grams.join(F.broadcast(wide), "gram", "left")
+    # Size check: the pivoted profile has at most #languages x top_k rows.
+    bound = len(langs) * max_grams_per_lang
+    side = F.broadcast(wide) if bound <= BROADCAST_MAX_ROWS else wide
+    joined = grams.join(side, "gram", "left")
     aggs = [F.max("_n").alias("_n")] + [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(langs))]
     per_id = joined.groupBy("_id").agg(*aggs)
     scores = [
