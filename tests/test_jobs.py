@@ -80,3 +80,18 @@ def test_report_jobs(spark):
     assert sum(x["count"] for x in r.thinking_language.collect()) == tb.chat(spark, SF_SMALL).count()
     t = jobs.report_tokens(tb.chat(spark, SF_SMALL)).first()
     assert t.min_tokens <= t.median_tokens <= t.max_tokens
+
+
+def test_cli_prepare_and_curate(spark, tmp_path):
+    from chatsift.plans import cli
+
+    root = str(tmp_path)
+    write_split(tb.chat(spark, SF_SMALL), f"{root}/chat", "train")
+    cfg = tmp_path / "sft.yaml"
+    cfg.write_text(f"datasets:\n  - name: {root}/chat\n    column_map:\n      conversations: messages\n"
+                   "validation:\n  split_ratio: 0.1\n  seed: 42\n")
+    cli.main(["prepare-sft", "--config", str(cfg), "--out", f"{root}/sft"])
+    n = tb.chat(spark, SF_SMALL).count()
+    assert spark.read.parquet(f"{root}/sft/train").count() + spark.read.parquet(f"{root}/sft/validation").count() == n
+    cli.main(["curate", "--dataset", f"{root}/chat", "--release", f"{root}/rel"])
+    assert spark.read.parquet(f"{root}/rel/curated/train").count() <= n
