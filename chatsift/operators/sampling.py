@@ -110,7 +110,8 @@ def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank") ->
     from chatsift.session import checkpoint_root
 
     checkpoint_root(df.sparkSession)
-    parts = max(df.sparkSession.sparkContext.defaultParallelism, 1)
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "1")), 1)
     ordered = (
         df.repartitionByRange(parts, *order_cols)
         .sortWithinPartitions(*order_cols)
