@@ -619,3 +619,59 @@ def queries() -> dict[str, Query]:
 
 
 __all__ = ["QUERIES", "queries", "messages_from_turns"]
+
+
+# ------------------------------------------------------ sinks (round trips) ---
+
+@query("split_roundtrip")
+def q_split_roundtrip(spark, sf_dir):
+    """K1: the judged conversations written as a ``train`` split and read back."""
+    from chatsift.sinks.writers import write_split
+    from chatsift.sources.datasets import load_split
+
+    c = tb.chat(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
+    kept = shp.judge_output(flt.filter_by_verdict(c, chat_replies(spark, sf_dir)))
+    root = work_path(spark, "judged")
+    write_split(kept, root, "train")
+    back = load_split(spark, root, "train")
+    return back.select(F.col("id").cast("long").alias("id"), F.size("messages").alias("n_messages"))
+
+
+@query("release_roundtrip")
+def q_release_roundtrip(spark, sf_dir):
+    """K4: the curated set released as parquet + JSON lines; both copies read back."""
+    from chatsift.sinks.writers import publish
+
+    out = publish(curate(tb.chat(spark, sf_dir)).kept, work_path(spark, "release"), "curated")
+    pq = spark.read.parquet(out["parquet"]).select("id", F.size("messages").alias("n_messages"))
+    js = spark.read.schema(GEN_SCHEMA).json(out["jsonl"]).select("id", F.size("messages").alias("n_json_messages"))
+    return pq.join(js, "id")
+
+
+@query("json_report")
+def q_json_report(spark, sf_dir):
+    """K3: the loop-check flags written as one JSON array (indent 2) and read back."""
+    from chatsift.sinks.writers import write_json_report
+
+    flags = loop_check_rows(spark, sf_dir).select("id", "prompt", "generated", "finish_reason",
+                                                    "no_eos", "ngram_loop", "looping")
+    path = write_json_report(flags, work_path(spark, "loop-report") + "/loop_sanity_results.json")
+    back = spark.read.option("multiLine", "true").schema(
+        "id long, prompt string, generated string, finish_reason string, no_eos boolean, ngram_loop boolean, looping boolean"
+    ).json(path)
+    return back.select("id", F.md5("prompt").alias("prompt_md5"), "no_eos", "ngram_loop", "looping")
+
+
+@query("progress_metrics")
+def q_progress_metrics(spark, sf_dir):
+    """Running judge counts as ``observe()`` metrics, filled by the write of the kept rows."""
+    c = tb.chat(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
+    verdicts = chat_replies(spark, sf_dir).select(
+        "id", F.coalesce(tx.parse_verdict("reply") & F.col("error").isNull(), F.lit(False)).alias("verdict"))
+    tracked, obs = rep.observe_progress(c.join(verdicts, "id", "left"), "judge",
+                                        text=tx.render_judge_text("messages"))
+    tracked.write.format("noop").mode("overwrite").save()
+    m = obs.get
+    return spark.createDataFrame(
+        [(int(m["processed"]), int(m["accepted"]), int(m["rejected"]))],
+        "processed long, accepted long, rejected long")

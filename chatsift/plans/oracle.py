@@ -677,5 +677,24 @@ SELECT step, seq_id, array_to_string(prompt_ids, ',') AS prompt, CAST(len(comple
 FROM seqs ORDER BY step DESC, seq_id DESC LIMIT {cat.RECENT_N}""")
 
 
+# ------------------------------------------------------ sinks (round trips) ---
+
+q("split_roundtrip", ORACLE["judge_filter"])
+
+q("release_roundtrip", f"""
+WITH {FUNNEL_BASE}, n AS (SELECT id, count(*) AS n FROM turns GROUP BY id)
+SELECT c.id, CAST(n.n AS INTEGER) AS n_messages, CAST(n.n AS INTEGER) AS n_json_messages FROM conv c JOIN n USING (id)
+WHERE ok_empty AND ok_think AND c.id NOT IN (SELECT id FROM loops)""")
+
+q("json_report", ORACLE["loop_flags"])
+
+q("progress_metrics", f"""
+WITH {CHAT_IDS},
+v AS (SELECT coalesce(l.quality = 1, false) AS verdict FROM cid LEFT JOIN labels l ON l.doc_id = cid.id)
+SELECT count(*) AS processed, CAST(sum(CASE WHEN verdict THEN 1 ELSE 0 END) AS BIGINT) AS accepted,
+       CAST(sum(CASE WHEN verdict THEN 0 ELSE 1 END) AS BIGINT) AS rejected
+FROM v""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -33,10 +33,22 @@ def append_jsonl(df: DataFrame, path: str) -> str:
 
 
 def write_json_report(df: DataFrame, path: str, indent: int = 2) -> str:
-    """A small report as one JSON array file (driver-side; for bounded reports only)."""
+    """A small report as one JSON array file (indent 2, non-ASCII kept).
+
+    For bounded reports only (e.g. a loop check of a few hundred prompts):
+    rows stream to the driver and the file is written through the session's
+    Hadoop FileSystem, so ``path`` may be any cluster file system URI.
+    """
     rows = [r.asDict(recursive=True) for r in df.toLocalIterator()]
-    with open(path, "w", encoding="utf-8") as fh:
-        json.dump(rows, fh, indent=indent, ensure_ascii=False)
+    text = json.dumps(rows, indent=indent, ensure_ascii=False, default=str)
+    spark = df.sparkSession
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
     return path
 
 

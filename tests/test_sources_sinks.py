@@ -58,7 +58,7 @@ def test_publish_and_report(spark):
     assert spark.read.parquet(out["parquet"]).count() == 4
     assert spark.read.json(out["jsonl"]).count() == 4
     rep = write_json_report(spark.range(2), os.path.join(root, "r.json"))
-    assert open(rep).read().startswith("[\n  {")
+    assert open(rep, encoding="utf-8").read().startswith("[\n  {")
 
 
 def test_require_columns(spark):
