@@ -8,8 +8,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows above which a computed side is never broadcast explicitly; AQE may
-# still pick a broadcast from runtime sizes (spark.sql.adaptive.autoBroadcastJoinThreshold).
+# Rows above which a computed side is never broadcast explicitly (checked
+# against a proven bound, e.g. languages x top-k profile rows); beyond it the
+# join is left to AQE (runtime sizes) and falls back to a shuffle join.
 BROADCAST_MAX_ROWS = 2_000_000
 
 
@@ -29,14 +30,6 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
-def broadcast_if_small(side: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the side (which must be cheap:
-    a small aggregate or a persisted table).  Larger sides are returned
-    untouched and Spark shuffles (sort-merge join, AQE skew split)."""
-    n = side.count()
-    return F.broadcast(side) if n <= max_rows else side
-
-
 def hash_key(seed: int, id_col: str | Column) -> Column:
     """Deterministic per-row shuffle key: md5 of ``"<seed>:<id>"`` (hex string).
 

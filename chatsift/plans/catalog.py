@@ -27,7 +27,6 @@ from chatsift.plans.jobs import curate
 from chatsift.session import read_table, work_path
 from chatsift.sinks.writers import append_jsonl
 from chatsift.sources.datasets import load_split, read_done_ids, read_jsonl_strict
-from chatsift.sources.fixtures import messages_from_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -618,7 +617,7 @@ def queries() -> dict[str, Query]:
     return dict(QUERIES)
 
 
-__all__ = ["QUERIES", "queries", "messages_from_turns"]
+__all__ = ["QUERIES", "queries"]
 
 
 # ------------------------------------------------------ sinks (round trips) ---

@@ -17,8 +17,6 @@ def _lit(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-NL = "chr(10)"
-
 # The chat fixture: turns with the injected variants, by conv_id % 10.
 TURNS = """turns AS (
   SELECT conv_id AS id, turn, role,
