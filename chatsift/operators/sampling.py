@@ -63,6 +63,8 @@ def _shuffled_cut(keyed: DataFrame, id_col: str, n: int):
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
     """Exactly min(n, N) rows without replacement, chosen by the seeded hash order."""
+    if n <= 0:
+        return df.limit(0)
     keyed = with_shuffle_key(df, id_col, seed)
     cut = _shuffled_cut(keyed, id_col, int(n))
     out = keyed if cut is None else keyed.where(key_at_most(_H, [_HX, id_col], cut))

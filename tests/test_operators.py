@@ -73,6 +73,7 @@ def test_seeded_sample_exact_and_stable(spark):
     b = sorted(r.id for r in smp.seeded_sample(df, 37, 42).collect())
     assert len(a) == 37 and a == b
     assert smp.seeded_sample(df, 5000, 42).count() == 1000
+    assert smp.seeded_sample(df, 0, 42).count() == 0
 
 
 def test_global_rank_is_permutation(spark):
