@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from chatsift.sinks.writers import append_jsonl, empty_chat, publish, write_json_report, write_split
 from chatsift.sources.datasets import (
