@@ -13,6 +13,9 @@ recomputed once per array element.
 
 from __future__ import annotations
 
+from typing import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -205,10 +208,6 @@ def tokenizer_count_udf(factory, add_special_tokens: bool = False):
     ``factory()`` must return an object with ``encode(text) -> list``; it is
     built once per Python worker (iterator-of-batches UDF), never per row.
     """
-    from typing import Iterator
-
-    import pandas as pd
-
     from chatsift.session import ship_package
 
     ship_package()
