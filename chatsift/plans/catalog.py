@@ -674,3 +674,47 @@ def q_progress_metrics(spark, sf_dir):
     return spark.createDataFrame(
         [(int(m["processed"]), int(m["accepted"]), int(m["rejected"]))],
         "processed long, accepted long, rejected long")
+
+
+# ------------------------------------------------------- prepare jobs (E4-E6) ---
+
+@query("prepare_sft_val")
+def q_prepare_sft_val(spark, sf_dir):
+    """The chat table saved as a dataset, prepared from a config (1% style ratio split)."""
+    from chatsift.plans.jobs import prepare_sft
+    from chatsift.sinks.writers import write_split
+
+    root = work_path(spark, "sft-src")
+    write_split(tb.chat(spark, sf_dir, variants=False), root, "train")
+    cfg = {"datasets": [{"name": root, "column_map": {"conversations": "messages"}}],
+           "validation": {"split_ratio": 0.1, "seed": SEED}}
+    _, val = prepare_sft(spark, cfg)
+    return _chat_summary(val)
+
+
+@query("prepare_dpo_train")
+def q_prepare_dpo_train(spark, sf_dir):
+    """E5: preference rows -> chat lists -> split -> overlength filter on the train side."""
+    from chatsift.plans.jobs import prepare_dpo
+    from chatsift.sinks.writers import write_split
+
+    root = work_path(spark, "dpo-src")
+    write_split(tb.preference_rows(spark, sf_dir).withColumnRenamed("conv_id", "id"), root, "train")
+    cfg = {"datasets": [{"name": root}], "validation": {"split_ratio": 0.1, "seed": SEED}}
+    train, _ = prepare_dpo(spark, cfg, max_length=OVERLENGTH_MAX)
+    return train.select("id")
+
+
+@query("prepare_distill_train")
+def q_prepare_distill_train(spark, sf_dir):
+    """(query, completion) pairs -> rename -> split by size -> teacher prompts -> prompt-length filter."""
+    from chatsift.plans.jobs import prepare_distill
+    from chatsift.sinks.writers import write_split
+
+    root = work_path(spark, "sdft-src")
+    write_split(tb.first_turns(spark, sf_dir).withColumnRenamed("prompt", "query"), root, "train")
+    cfg = {"datasets": [{"name": root, "column_map": {"prompt": "query"}}],
+           "validation": {"split_size": 5, "seed": SEED},
+           "sdft": {"teacher_system_prompt": TEACHER_SYSTEM}}
+    train, _ = prepare_distill(spark, cfg, max_prompt_length=PROMPT_MAX)
+    return train.select("id", _md5_turns(F.col("teacher_prompt")).alias("teacher_md5"))

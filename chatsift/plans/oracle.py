@@ -694,5 +694,38 @@ SELECT count(*) AS processed, CAST(sum(CASE WHEN verdict THEN 1 ELSE 0 END) AS B
 FROM v""")
 
 
+# ------------------------------------------------------- prepare jobs (E4-E6) ---
+
+
+def ranked_by_hash(src: str, id_col: str = "id") -> str:
+    return (f"SELECT *, row_number() OVER (ORDER BY md5('{cat.SEED}:' || CAST({id_col} AS VARCHAR)), {id_col}) AS rn, "
+            f"count(*) OVER () AS total FROM {src}")
+
+
+q("prepare_sft_val", f"""
+WITH {PLAIN_TURNS},
+r AS ({ranked_by_hash("(SELECT DISTINCT id FROM turns)")})
+SELECT t.id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER BY turn) AS roles,
+       md5(string_agg(coalesce(content, '<null>'), chr(1) ORDER BY turn)) AS content_md5
+FROM turns t JOIN r USING (id)
+WHERE r.rn <= CAST(floor(r.total * 0.1::DOUBLE) AS BIGINT)
+GROUP BY t.id""")
+
+q("prepare_dpo_train", f"""
+WITH {PREFS},
+r AS ({ranked_by_hash("(SELECT conv_id AS id, prompt, chosen, rejected FROM prefs)")})
+SELECT id FROM r
+WHERE rn > CAST(floor(total * 0.1::DOUBLE) AS BIGINT)
+  AND greatest({tokcount(render2("coalesce(prompt, 'None')", "coalesce(chosen, 'None')"))},
+               {tokcount(render2("coalesce(prompt, 'None')", "coalesce(rejected, 'None')"))}) <= {cat.OVERLENGTH_MAX}""")
+
+q("prepare_distill_train", f"""
+WITH {FIRST_TURNS},
+r AS ({ranked_by_hash("pairs")})
+SELECT id, {md5_turns([("'system'", _lit(cat.TEACHER_SYSTEM)), ("'user'", TEACHER_TEXT.replace("p.", ""))])} AS teacher_md5
+FROM r
+WHERE rn > 5 AND {tokcount(STUDENT_RENDER)} <= {cat.PROMPT_MAX} AND {tokcount(TEACHER_RENDER)} <= {cat.PROMPT_MAX}""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
