@@ -45,7 +45,7 @@ def hash_prefix_long(md5_hex: Column) -> Column:
 
 
 def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
-                 accuracy: int = 100_000, stats=None) -> tuple | None:
+                 accuracy: int = 100_000, stats=None, materialize: bool = False) -> tuple | None:
     """The n-th smallest ``(num_col, *tie_cols)`` key (1-based), exactly.
 
     ``num_col`` is numeric; ``tie_cols`` make keys unique.  One approximate
@@ -53,10 +53,20 @@ def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
     most N / accuracy); one pass counts the rows below and inside it; only the
     band's keys (a small fraction of the table) are sorted to find the exact
     key.  Returns None when n exceeds the row count.
+
+    The search makes three or four passes over the key columns.  Over a scan
+    they read only those columns (column pruning), which is cheaper than
+    writing them out; over an expensive upstream plan pass
+    ``materialize=True`` to checkpoint the narrow key table once first.
     """
     if n <= 0:
         return None
     keys = df.select(num_col, *tie_cols)
+    if materialize:
+        from chatsift.session import checkpoint_root
+
+        checkpoint_root(df.sparkSession)
+        keys = keys.checkpoint()
     if stats is None:
         stats = key_stats(keys, num_col)
     total = stats["n"]
