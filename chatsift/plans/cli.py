@@ -6,6 +6,8 @@ scripts (``datasets`` / ``validation`` / ``sdft`` sections).
     python -m chatsift.plans.cli judge --input /data/chat --output /data/judged --client pkg.mod:factory
     python -m chatsift.plans.cli generate --dataset /data/prompts --output /data/gen.jsonl --client pkg.mod:factory
     python -m chatsift.plans.cli report-tokens --dataset /data/chat
+    python -m chatsift.plans.cli report-generations --path /data/gen.jsonl --lang-profiles /data/profiles
+    python -m chatsift.plans.cli report-loops --dataset /data/questions --client pkg.mod:factory
 
 The model client is injected as ``module:callable`` (``callable(endpoint)``
 returns an object with ``complete(request, **options) -> dict``).
@@ -71,6 +73,18 @@ def main(argv=None) -> None:
     s.add_argument("--out", required=True)
     s = sub.add_parser("report-tokens")
     s.add_argument("--dataset", required=True)
+    s = sub.add_parser("report-generations")
+    s.add_argument("--path", required=True, help="generation JSON lines")
+    s.add_argument("--lang-profiles", required=True)
+    s = sub.add_parser("report-loops")
+    s.add_argument("--dataset", required=True, help="questions: id, question")
+    s.add_argument("--client", required=True)
+    s.add_argument("--base-urls", default="default")
+    s.add_argument("--num-samples", type=int, default=100)
+    s.add_argument("--seed", type=int, default=42)
+    s.add_argument("--ngram-size", type=int, default=10)
+    s.add_argument("--ngram-threshold", type=int, default=3)
+    s.add_argument("--output", default=None, help="JSON report path")
     args = p.parse_args(argv)
 
     from chatsift.session import local_session
@@ -100,6 +114,24 @@ def main(argv=None) -> None:
         train_lang_profiles(read_dataset(spark, args.dataset)).write.mode("overwrite").parquet(args.out)
     elif args.cmd == "report-tokens":
         _show(jobs.report_tokens(read_dataset(spark, args.dataset)))
+    elif args.cmd == "report-generations":
+        from chatsift.sources.datasets import read_jsonl_strict
+        from chatsift.streaming.jobs import GENERATION_SCHEMA
+
+        rep = jobs.report_generations(read_jsonl_strict(spark, args.path, GENERATION_SCHEMA),
+                                      spark.read.parquet(args.lang_profiles))
+        for part in (rep.finish_reasons, rep.thinking_language, rep.looping, rep.completion_tokens):
+            _show(part)
+    elif args.cmd == "report-loops":
+        from chatsift.sinks.writers import write_json_report
+
+        flags, summary = jobs.report_loops(read_dataset(spark, args.dataset), _client(args.client),
+                                           args.num_samples, args.seed, ngram_size=args.ngram_size,
+                                           ngram_threshold=args.ngram_threshold,
+                                           endpoints=args.base_urls.split(","))
+        if args.output:
+            write_json_report(flags, args.output)
+        _show(summary)
 
 
 if __name__ == "__main__":

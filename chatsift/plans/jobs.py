@@ -170,8 +170,12 @@ def report_loops(questions: DataFrame, client_factory, n_samples: int = 100, see
     """Sample questions, generate, flag looping, summarise: ``(flags, summary)``."""
     sample = smp.seeded_sample(questions, n_samples, seed, id_col)
     prompts = sample.select(F.col(id_col).alias("id"), question_prompt(question_col).alias("prompt"))
+    from chatsift.session import checkpoint_root
+
     replies = map_model(prompts, client_factory, endpoints, request_cols=["id", "prompt"], concurrency=concurrency)
-    gens = prompts.join(replies, "id").select("id", "prompt", F.col("reply").alias("generated"), "finish_reason")
+    checkpoint_root(questions.sparkSession)
+    replies = replies.checkpoint()  # the flags and the summary must see the same replies
+    gens = prompts.withColumn("id", F.col("id").cast("string")).join(replies, "id").select("id", "prompt", F.col("reply").alias("generated"), "finish_reason")
     flags = flt.loop_flags(gens, "generated", "finish_reason", ngram_size, ngram_threshold)
     return flags, rep.loop_summary(flags)
 

@@ -95,3 +95,41 @@ def test_cli_prepare_and_curate(spark, tmp_path):
     assert spark.read.parquet(f"{root}/sft/train").count() + spark.read.parquet(f"{root}/sft/validation").count() == n
     cli.main(["curate", "--dataset", f"{root}/chat", "--release", f"{root}/rel"])
     assert spark.read.parquet(f"{root}/rel/curated/train").count() <= n
+
+
+class EchoModel:
+    """Replies with a looping text for even ids and stops early for odd ids."""
+
+    def __init__(self, endpoint):
+        self.endpoint = endpoint
+
+    def complete(self, request, **opts):
+        if int(request["id"]) % 2 == 0:
+            return {"reply": " ".join(["x y z"] * 20), "finish_reason": "stop"}
+        return {"reply": "fine", "finish_reason": "length"}
+
+
+def test_cli_report_loops_and_generations(spark, tmp_path):
+    import json
+
+    from chatsift.plans import cli
+    from chatsift.plans.catalog import generation_records
+    from chatsift.sinks.writers import append_jsonl
+
+    root = str(tmp_path)
+    qs = read_table(spark, SF_SMALL, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("question"))
+    write_split(qs, f"{root}/q", "train")
+    cli.main(["report-loops", "--dataset", f"{root}/q", "--client", f"{__name__}:EchoModel",
+              "--num-samples", "10", "--output", f"{root}/loops.json"])
+    rows = json.load(open(f"{root}/loops.json", encoding="utf-8"))
+    assert len(rows) == 10 and all(r["looping"] for r in rows)
+    assert all(r["ngram_loop"] == (r["id"] % 2 == 0) for r in rows)
+    prof = f"{root}/prof"
+    cli.main(["train-lang", "--dataset", _docs(spark, root), "--out", prof])
+    append_jsonl(generation_records(spark, SF_SMALL).withColumn("id", F.col("id").cast("string")), f"{root}/gen")
+    cli.main(["report-generations", "--path", f"{root}/gen", "--lang-profiles", prof])
+
+
+def _docs(spark, root):
+    write_split(read_table(spark, SF_SMALL, "documents"), f"{root}/docs", "train")
+    return f"{root}/docs"
