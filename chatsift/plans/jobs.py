@@ -175,7 +175,8 @@ def report_loops(questions: DataFrame, client_factory, n_samples: int = 100, see
     replies = map_model(prompts, client_factory, endpoints, request_cols=["id", "prompt"], concurrency=concurrency)
     checkpoint_root(questions.sparkSession)
     replies = replies.checkpoint()  # the flags and the summary must see the same replies
-    gens = prompts.withColumn("id", F.col("id").cast("string")).join(replies, "id").select("id", "prompt", F.col("reply").alias("generated"), "finish_reason")
+    replies = replies.withColumnRenamed("id", "_rid")
+    gens = prompts.join(replies, F.col("id").cast("string") == F.col("_rid")).drop("_rid").select("id", "prompt", F.col("reply").alias("generated"), "finish_reason")
     flags = flt.loop_flags(gens, "generated", "finish_reason", ngram_size, ngram_threshold)
     return flags, rep.loop_summary(flags)
 
