@@ -131,8 +131,33 @@ def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank") ->
     return ordered.withColumn(rank_col, off[pid] + local).drop("_cs_mid")
 
 
+def resolve_generation_sizes(per_device_batch: int, num_processes: int,
+                             generation_batch_size: int | None = None,
+                             steps_per_generation: int | None = None,
+                             gradient_accumulation_steps: int = 1) -> tuple[int, int]:
+    """``(generation_batch_size, steps_per_generation)`` from the trainer settings.
+
+    Neither given: steps = gradient accumulation steps.  Only the batch size:
+    it must be a multiple of the global batch (per-device x processes).  Only
+    the steps: batch = global batch x steps.  Both: an error.
+    """
+    global_batch = per_device_batch * num_processes
+    if generation_batch_size is None and steps_per_generation is None:
+        steps_per_generation = gradient_accumulation_steps
+        return global_batch * steps_per_generation, steps_per_generation
+    if generation_batch_size is not None and steps_per_generation is None:
+        if generation_batch_size % global_batch != 0:
+            raise ValueError(f"generation_batch_size ({generation_batch_size}) must be divisible by the "
+                             f"global batch size ({global_batch}).")
+        return generation_batch_size, generation_batch_size // global_batch
+    if generation_batch_size is None:
+        return global_batch * steps_per_generation, steps_per_generation
+    raise ValueError("'generation_batch_size' and 'steps_per_generation' can not be both configured at the same time")
+
+
 def batch_plan(df: DataFrame, per_device_batch: int, num_processes: int,
-               steps_per_generation: int, seed: int = 42, id_col: str = "id") -> DataFrame:
+               steps_per_generation: int | None = None, seed: int = 42, id_col: str = "id",
+               generation_batch_size: int | None = None, gradient_accumulation_steps: int = 1) -> DataFrame:
     """Generation batches for a repeat sampler.
 
     Rows are shuffled by the seeded hash; consecutive ``B = per_device_batch *
@@ -142,9 +167,10 @@ def batch_plan(df: DataFrame, per_device_batch: int, num_processes: int,
     slot, sample_index)``, where ``sample_index`` is the global position in
     the sampler's stream.
     """
+    b, steps_per_generation = resolve_generation_sizes(
+        per_device_batch, num_processes, generation_batch_size, steps_per_generation, gradient_accumulation_steps)
     if min(per_device_batch, num_processes, steps_per_generation) <= 0:
         raise ValueError("batch sizes must be positive")
-    b = per_device_batch * num_processes * steps_per_generation
     keyed = with_shuffle_key(df.select(id_col), id_col, seed)
     ranked = global_rank(keyed, [_H, _HX, id_col], "_cs_rank")
     total = ranked.count()

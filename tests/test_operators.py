@@ -154,3 +154,18 @@ def test_lang_detection_accuracy(spark):
 def test_mix_needs_input():
     with pytest.raises(ValueError):
         smp.mix([])
+
+
+def test_generation_size_rules():
+    assert smp.resolve_generation_sizes(2, 2, None, None, 8) == (32, 8)
+    assert smp.resolve_generation_sizes(2, 2, 12, None) == (12, 3)
+    assert smp.resolve_generation_sizes(2, 2, None, 5) == (20, 5)
+    with pytest.raises(ValueError, match="divisible"):
+        smp.resolve_generation_sizes(2, 2, 10, None)
+    with pytest.raises(ValueError, match="both"):
+        smp.resolve_generation_sizes(2, 2, 8, 2)
+
+
+def test_batch_plan_from_generation_batch_size(spark):
+    plan = smp.batch_plan(spark.range(50), 2, 2, generation_batch_size=12, seed=1)
+    assert plan.count() == 48 * 3
