@@ -12,6 +12,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,8 +21,11 @@ from chatsift.operators import filters as flt
 from chatsift.operators import sampling as smp
 from chatsift.operators import shape as shp
 from chatsift.operators.model_calls import GENERATION_OPTIONS, map_model
+from chatsift.session import checkpoint_root
 from chatsift.sources.datasets import read_done_ids
 
+LOG = logging.getLogger("chatsift.streaming")
+
 CHAT_SCHEMA = "id long, messages array<struct<role:string,content:string>>"
 REQUEST_SCHEMA = "id long, prompt string, demonstration string, quality int"
 GENERATION_SCHEMA = ("id string, messages array<struct<role:string,content:string>>, "
@@ -56,8 +61,17 @@ def generation_batch(batch: DataFrame, sink: str, client_factory, endpoints=None
     req = shp.generation_requests(todo).join(todo.select("id", *[c for c in request_cols if c != "id"]), "id")
     replies = map_model(req, client_factory, endpoints, request_cols=list(request_cols),
                         options=GENERATION_OPTIONS, concurrency=concurrency)
+    checkpoint_root(spark)
+    replies = replies.checkpoint()  # written records and progress counts see the same replies
     gens = shp.assemble_generations(req.withColumn("id", F.col("id").cast("string")), replies)
     gens.write.mode("append").json(sink)
+    progress = replies.agg(
+        F.count(F.lit(1)).alias("processed"),
+        F.sum(F.when(F.col("error").isNull(), 1).otherwise(0)).alias("generated"),
+        F.sum(F.when(F.col("error").isNotNull(), 1).otherwise(0)).alias("errors"),
+    ).first()
+    LOG.info("[Progress] processed=%s generated=%s errors=%s",
+             progress["processed"], progress["generated"], progress["errors"])
 
 
 def generate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, client_factory,
