@@ -78,8 +78,10 @@ def filter_language(df: DataFrame, profiles: DataFrame, lang: str = "fr", id_col
 
 def filter_by_verdict(df: DataFrame, replies: DataFrame, id_col: str = "id") -> DataFrame:
     """Keep rows whose judge reply parses as true; missing/unparsable -> rejected."""
-    ok = replies.where(parse_verdict(F.col("reply")) & F.col("error").isNull()).select(id_col)
-    return df.join(ok, id_col, "left_semi")
+    ok = replies.where(parse_verdict(F.col("reply")) & F.col("error").isNull()).select(
+        F.col("id").cast("string").alias("_rid"))
+    # Reply ids are strings (model output); compare ids as strings.
+    return df.join(ok, F.col(id_col).cast("string") == F.col("_rid"), "left_semi")
 
 
 def filter_overlength(df: DataFrame, max_length: int, count_tokens) -> DataFrame:

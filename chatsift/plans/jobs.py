@@ -55,8 +55,11 @@ def curate(df: DataFrame, profiles: DataFrame | None = None, lang: str = "fr",
     base = base.withColumn("_ok_ngram", flt.ngram_ok(messages, ngram_size, ngram_threshold, gate=gate, method=method))
     stages.append(("N-gram repetition", F.col("_ok_ngram")))
     if replies is not None:
-        ok = replies.select(F.col("id").alias(id_col), (parse_verdict(F.col("reply")) & F.col("error").isNull()).alias("_v"))
-        base = base.join(ok, id_col, "left").withColumn("_ok_judge", F.coalesce(F.col("_v"), F.lit(False)))
+        # Reply ids are strings (model output); compare ids as strings.
+        ok = replies.select(F.col("id").cast("string").alias("_rid"),
+                            (parse_verdict(F.col("reply")) & F.col("error").isNull()).alias("_v"))
+        base = (base.join(ok, F.col(id_col).cast("string") == F.col("_rid"), "left").drop("_rid")
+                .withColumn("_ok_judge", F.coalesce(F.col("_v"), F.lit(False))))
         stages.append(("LLM judge", F.col("_ok_judge")))
     keep = F.lit(True)
     for _, pred in stages:

@@ -169,3 +169,18 @@ def test_generation_size_rules():
 def test_batch_plan_from_generation_batch_size(spark):
     plan = smp.batch_plan(spark.range(50), 2, 2, generation_batch_size=12, seed=1)
     assert plan.count() == 48 * 3
+
+
+def test_verdict_filter_and_judge_stage_with_long_ids(spark):
+    from chatsift.operators.filters import filter_by_verdict
+    from chatsift.plans.jobs import curate
+
+    chats = spark.createDataFrame(
+        [(1, [("user", "q"), ("assistant", "<think>t</think>a")]), (2, [("user", "q"), ("assistant", "<think>t</think>b")])],
+        "id long, messages array<struct<role:string,content:string>>")
+    replies = spark.createDataFrame([("1", "True", None), ("2", "False", None), ("c9", "True", None)],
+                                    "id string, reply string, error string")
+    assert [r.id for r in filter_by_verdict(chats, replies).collect()] == [1]
+    res = curate(chats, replies=replies)
+    assert [r.id for r in res.kept.collect()] == [1]
+    assert [r.after for r in res.funnel.orderBy("stage_order").collect()] == [2, 2, 2, 1, 1]
