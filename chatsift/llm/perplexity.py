@@ -35,7 +35,7 @@ from chatsift.llm.common import arrow_map, batches, split_words, staged
 ORDER = 5
 MAX_BROADCAST = 4_000_000  # entries of 16 bytes: 64 MB a worker
 WINDOW = 8
-BAND_LOW, BAND_HIGH = 6.0, 6.0
+BAND_LOW, BAND_HIGH = 5.0, 8.0
 BIN = 1e-3  # width of the histogram's bins of log perplexity
 _MASK = [(1 << (8 * k)) - 1 for k in range(9)]
 
