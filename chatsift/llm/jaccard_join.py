@@ -44,6 +44,8 @@ PERCENT = 85
 FREQUENT = 100_000
 BLOCK = 1024
 TILE_ROWS = 20_000
+MEMO = 100_000  # ids or edges that a task remembers, so as not to send them again
+HELD = 1_000_000  # shingles that a task holds to find frequent ones
 SMALL_TILE = 64
 FILTER_BITS = 1 << 23
 _SHORT, _LONG = 8, 32  # words of 64 bits in a signature, for sets up to and over LONG_SET
@@ -138,20 +140,20 @@ def _describe(size: int):
                 pa.array(counts[often].astype(np.int64))], names=names)
 
         names = ["doc_id", "text_hash", "n", "set_id", "sig", "found"]
-        for batch in batches(rows, 1024, "text", 1 << 20):
+        for batch in batches(rows, 1024, "text", 1 << 18):
             sets = shingle_sets(batch.column("text").to_pylist(), size)
             ids = [set_id(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids, pa.int64()),
                 pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.nulls(len(ids), pa.int64())], names=names)
-            if len(seen) > 500_000:
+            if len(seen) > MEMO:
                 seen.clear()
             for i, s in zip(ids, sets):
                 if i not in seen:
                     seen.add(i)
                     held.append(s)
                     n_held += len(s)
-            if n_held > 4_000_000:  # bounds the task
+            if n_held > HELD:  # bounds the task
                 yield frequent()
                 held, n_held = [], 0
         if held:
@@ -164,9 +166,9 @@ def _prefixes(size: int, percent: int, frequent):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late, order = frequent.value  # sorted shingles, their ranks
         seen: set[int] = set()
-        for batch in batches(rows, 1024, "text", 1 << 20):
+        for batch in batches(rows, 1024, "text", 1 << 18):
             shingles, owners = [], []
-            if len(seen) > 500_000:
+            if len(seen) > MEMO:
                 seen.clear()
             for s in shingle_sets(batch.column("text").to_pylist(), size):
                 i = set_id(s)
@@ -191,9 +193,9 @@ def _arrays(size: int, wanted):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = wanted.value
         seen: set[int] = set()
-        for batch in batches(rows, 1024, "text", 1 << 20):
+        for batch in batches(rows, 1024, "text", 1 << 18):
             ids, data = [], []
-            if len(seen) > 500_000:
+            if len(seen) > MEMO:
                 seen.clear()
             for s in shingle_sets(batch.column("text").to_pylist(), size):
                 i = set_id(s)
@@ -321,7 +323,7 @@ def _tile_forests(percent: int):
 
         def edges(found):
             fresh = []
-            if len(done) > 500_000:
+            if len(done) > MEMO:
                 done.clear()
             for a, b in found:
                 pair = (a, b) if a < b else (b, a)
@@ -342,7 +344,7 @@ def _tile_forests(percent: int):
                 n, percent, lambda i, others: may_link(int(n[i]), n[others], sigs.differing(i, others), percent))]
 
         out = []
-        for batch in rows:
+        for batch in batches(rows, 2048):
             for t, n, i, sig in zip(*(batch.column(c).to_pylist() for c in ("tile", "n", "set_id", "sig"))):
                 if t != tile:
                     if len(held) > 1 and not chained:
@@ -396,7 +398,7 @@ class _Sets:
 def _in_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, list[dict]]]:
     """Consecutive rows with the same keys; the caller bounds the groups."""
     key, held = None, []
-    for batch in rows:
+    for batch in batches(rows, 256):
         for r in batch.to_pylist():
             k = tuple(r[c] for c in keys)
             if k != key:
