@@ -4,6 +4,7 @@ A line's words lead it down the tree: first the number of words, then the first
 ``DEPTH`` words, with every word that holds a digit replaced by ``<*>``.  In a
 leaf, a word is part of a template where at least two different masked lines of
 the leaf have it at that place; other places are variable and become ``<*>``.
+Lines travel as hashes; only those of leaves with different lines travel as text.
 A template with too few fixed words says too little: there the masked line
 itself is the template, or the line as it is where masking left too little.
 
@@ -31,12 +32,22 @@ MIN_WORDS = 5
 MIN_DOCS = 3
 #: Share of fixed words that a generalised template needs, in tenths.
 FIXED_TENTHS = 6
-_MAYBE_DIGIT = r"[^\x20\x09-\x0D]*[0-9]" + WORD.replace("+", "*")
+#: Bits of the filter of shared leaves; a fuller filter lets more lines through, never fewer.
+FILTER_BITS = 1 << 22
+_WITH_DIGIT = r"[^\x20\x09-\x0D]*[0-9]" + WORD.replace("+", "*")
 
 
 def _masked(line: Column) -> Column:
-    """The words of a line joined by one blank, words with a digit as ``<*>``."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, _MAYBE_DIGIT, "<*>"), BLANK_CLASS + "+", " "))
+    """The words of a line joined by one blank, words with a digit as ``<*>``.  Most lines need neither regex."""
+    marked = F.when(line.rlike("[0-9]"), F.regexp_replace(line, _WITH_DIGIT, "<*>")).otherwise(line)
+    wide = line.startswith(" ") | line.endswith(" ") | line.contains("  ")
+    for control in "\t\x0b\x0c\r":
+        wide = wide | line.contains(control)
+    return F.when(wide, F.trim(F.regexp_replace(marked, BLANK_CLASS + "+", " "))).otherwise(marked)
+
+
+def _n_words(masked: Column) -> Column:
+    return F.length(masked) - F.length(F.replace(masked, F.lit(" "), F.lit(""))) + 1
 
 
 def _fixed_share_ok(words: Column) -> Column:
@@ -44,46 +55,82 @@ def _fixed_share_ok(words: Column) -> Column:
     return fixed * 10 >= F.size(words) * FIXED_TENTHS
 
 
-def line_templates(lines: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """``lines`` (line, masked, n_words, ...) with ``template``, a string; see the module for the rule."""
-    words = F.split("masked", " ")
-    kinds = lines.groupBy("masked", "n_words").agg(F.lit(1).alias("_one")).select(
-        "masked", F.concat_ws(" ", F.col("n_words").cast("string"), F.slice(words, 1, depth)).alias("leaf"))
-    shared = kinds.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("leaf")
-    inside = (kinds.join(shared, "leaf", "left_semi")
-              .select("leaf", "masked", F.posexplode(words).alias("place", "word")))
+def _leaf(masked: Column) -> Column:
+    """The leaf of the tree: number of words, then the first words."""
+    return F.xxhash64(_n_words(masked), F.substring_index(masked, " ", DEPTH))
+
+
+def _own_template(line: Column, masked: Column) -> Column:
+    """What stands for a line that is not generalised: masked, or as it is where masking left too little."""
+    short = masked.contains("<*>") & ~_fixed_share_ok(F.split(masked, " "))
+    return F.when(short, F.concat(F.lit("l "), line)).otherwise(F.concat(F.lit("m "), masked))
+
+
+def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(id, text_hash, place, line, masked) of every line that may be part of a template."""
+    both = F.transform(F.split(F.col(text_col), "\n"), lambda x: F.struct(x.alias("line"), _masked(x).alias("masked")))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
+                       F.posexplode(both).alias("place", "l"))
+    rows = rows.select("id", "text_hash", "place", "l.line", "l.masked")
+    return rows.where((F.col("masked") != "") & (_n_words(F.col("masked")) >= min_words))
+
+
+def _filter_of(leaves: DataFrame) -> DataFrame:
+    """One row, one array of FILTER_BITS / 64 numbers, whatever the number of leaves."""
+    bit = F.pmod("leaf", F.lit(FILTER_BITS))
+    words = leaves.groupBy(F.floor(bit / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(leaf, 64) as int))")).alias("m"))
+    every = leaves.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i")
+    dense = every.join(words, F.col("i") == F.col("w"), "left").select("i", F.coalesce("m", F.lit(0)).cast("long").alias("m"))
+    return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("bits"))
+
+
+def general_templates(lines: DataFrame) -> DataFrame:
+    """(leaf, masked, general) of different masked lines (leaf, masked) whose general template says enough."""
+    inside = lines.select("leaf", "masked", F.posexplode(F.split("masked", " ")).alias("place", "word"))
     # How many masked lines of the leaf have this word at this place.
     held = (inside.groupBy("leaf", "place", "word").agg(F.count(F.lit(1)).alias("n"))
             .where("n > 1").select(F.col("leaf").alias("h_leaf"), F.col("place").alias("h_place"),
                                    F.col("word").alias("h_word")))
-    general = (inside.join(held, F.expr("leaf = h_leaf AND place = h_place AND word = h_word"), "left")
-               .groupBy("masked")
-               .agg(F.sort_array(F.collect_list(F.struct(  # the words of one line: bounded by its length
-                   "place", F.coalesce("h_word", F.lit("<*>")).alias("w")))).alias("parts"))
-               .select(F.col("masked").alias("g_masked"), F.transform("parts", lambda p: p["w"]).alias("g_words"))
-               .where(_fixed_share_ok(F.col("g_words")))
-               .select("g_masked", F.concat_ws(" ", "g_words").alias("general")))
-    own = F.when(_fixed_share_ok(words), F.concat(F.lit("m "), "masked")).otherwise(F.concat(F.lit("l "), "line"))
-    return (lines.join(general, F.col("masked") == F.col("g_masked"), "left")
-            .withColumn("template", F.coalesce(F.concat(F.lit("m "), "general"), own)).drop("g_masked", "general"))
+    return (inside.join(held, F.expr("leaf = h_leaf AND place = h_place AND word = h_word"), "left")
+            .groupBy("leaf", "masked")
+            .agg(F.sort_array(F.collect_list(F.struct(  # the words of one line: bounded by its length
+                "place", F.coalesce("h_word", F.lit("<*>")).alias("w")))).alias("parts"))
+            .select("leaf", "masked", F.transform("parts", lambda p: p["w"]).alias("words"))
+            .where(_fixed_share_ok(F.col("words")))
+            .select("leaf", "masked", F.concat_ws(" ", "words").alias("general")))
+
+
+def _name(template: Column) -> list[Column]:
+    """128 bits for a template: texts of lines travel no further."""
+    return [F.xxhash64(template).alias("t1"), F.xxhash64(F.lit(7), template).alias("t2")]
 
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
                     min_words: int = MIN_WORDS) -> DataFrame:
     """The lines to drop: (id, text_hash, place) of every line of a recurring template but the first document's."""
-    lines = (docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
-                         F.posexplode(F.split(F.col(text_col), "\n")).alias("place", "line"))
-             .withColumn("masked", _masked(F.col("line")))
-             .withColumn("n_words", F.length("masked") - F.length(F.translate("masked", " ", "")) + 1)
-             .where((F.col("masked") != "") & (F.col("n_words") >= min_words)))
-    lines = staged(line_templates(lines.select("id", "text_hash", "place", "line", "masked", "n_words"))
-                   .select("id", "text_hash", "place", F.xxhash64("template").alias("t1"),
-                           F.xxhash64(F.lit(7), "template").alias("t2")), "lines")
+    masked = F.col("masked")
+    rows = _line_rows(docs, id_col, text_col, min_words)
+    lines = staged(rows.select("id", "text_hash", "place", _leaf(masked).alias("leaf"), F.xxhash64("masked").alias("kind"),
+                               *_name(_own_template(F.col("line"), masked))), "lines")
+    shared = staged(lines.groupBy("leaf").agg(F.min("kind").alias("a"), F.max("kind").alias("b"))
+                    .where("a <> b").select("leaf"), "leaves")
+    # Second scan: the words of lines in shared leaves; the filter is a single value, the join is exact.
+    bits = staged(_filter_of(shared), "leaf-filter").scalar()
+    words = rows.select(_leaf(masked).alias("leaf"), "masked")
+    inside = F.get(bits, F.floor(F.pmod("leaf", F.lit(FILTER_BITS)) / 64).cast("int"))
+    near = words.where(F.call_function("shiftright", inside, F.pmod("leaf", F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    near = staged(near.join(shared, "leaf", "left_semi").distinct(), "near-lines")
+    general = (general_templates(near)
+               .select(F.col("leaf").alias("g_leaf"), F.xxhash64("masked").alias("g_kind"),
+                       *_name(F.concat(F.lit("m "), F.col("general")))).toDF("g_leaf", "g_kind", "g1", "g2"))
+    named = (lines.join(general, F.expr("leaf = g_leaf AND kind = g_kind"), "left")
+             .select("id", "text_hash", "place", F.coalesce("g1", "t1").alias("t1"), F.coalesce("g2", "t2").alias("t2")))
+    named = staged(named, "templates")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
-    per_doc = lines.groupBy("t1", "t2", "id", "text_hash").agg(F.lit(1).alias("_one"))
+    per_doc = named.groupBy("t1", "t2", "id", "text_hash").agg(F.lit(1).alias("_one"))
     recurring = (per_doc.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
                  .where(F.col("n") >= min_docs))
-    return (lines.join(recurring, ["t1", "t2"])
+    return (named.join(recurring, ["t1", "t2"])
             .where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))))
             .select("id", "text_hash", "place"))
 
