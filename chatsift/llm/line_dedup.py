@@ -22,7 +22,7 @@ texts stay null and empty ones empty.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatsift.llm.common import BLANK_CLASS, WORD, fresh, staged
@@ -75,28 +75,32 @@ def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> D
     return rows.where((F.col("masked") != "") & (_n_words(F.col("masked")) >= min_words))
 
 
-def _filter_of(leaves: DataFrame) -> DataFrame:
-    """One row, one array of FILTER_BITS / 64 numbers, whatever the number of leaves."""
-    bit = F.pmod("leaf", F.lit(FILTER_BITS))
-    words = leaves.groupBy(F.floor(bit / 64).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(leaf, 64) as int))")).alias("m"))
-    every = leaves.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i")
+def _filter_of(numbers: DataFrame, name: str) -> DataFrame:
+    """One row, one array of FILTER_BITS / 64 numbers: a bit for each of ``numbers``, however many they are."""
+    words = (numbers.groupBy(F.floor(F.pmod(name, F.lit(FILTER_BITS)) / 64).alias("w"))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast(pmod({name}, 64) as int))")).alias("m")))
+    every = numbers.sparkSession.range(FILTER_BITS // 64).withColumnRenamed("id", "i")
     dense = every.join(words, F.col("i") == F.col("w"), "left").select("i", F.coalesce("m", F.lit(0)).cast("long").alias("m"))
     return dense.agg(F.transform(F.sort_array(F.collect_list(F.struct("i", "m"))), lambda x: x["m"]).alias("bits"))
 
 
+def _may_be_in(bits: DataFrame, number: Column) -> Column:
+    """False where ``number`` is certainly not among those of the filter; a full filter says true to all."""
+    word = F.get(bits.scalar(), F.floor(F.pmod(number, F.lit(FILTER_BITS)) / 64).cast("int"))
+    return F.call_function("shiftright", word, F.pmod(number, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+
 def general_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, masked, general) of different masked lines (leaf, masked) whose general template says enough."""
-    inside = lines.select("leaf", "masked", F.posexplode(F.split("masked", " ")).alias("place", "word"))
-    # How many masked lines of the leaf have this word at this place.
-    held = (inside.groupBy("leaf", "place", "word").agg(F.count(F.lit(1)).alias("n"))
-            .where("n > 1").select(F.col("leaf").alias("h_leaf"), F.col("place").alias("h_place"),
-                                   F.col("word").alias("h_word")))
-    return (inside.join(held, F.expr("leaf = h_leaf AND place = h_place AND word = h_word"), "left")
-            .groupBy("leaf", "masked")
-            .agg(F.sort_array(F.collect_list(F.struct(  # the words of one line: bounded by its length
-                "place", F.coalesce("h_word", F.lit("<*>")).alias("w")))).alias("parts"))
-            .select("leaf", "masked", F.transform("parts", lambda p: p["w"]).alias("words"))
-            .where(_fixed_share_ok(F.col("words")))
+    """(leaf, masked, general) of the different masked lines (leaf, masked) whose general template says enough."""
+    inside = lines.select("leaf", F.xxhash64("masked").alias("kind"), F.posexplode(F.split("masked", " ")).alias("place", "word"))
+    # How many masked lines of the leaf have this word at this place; words travel as hashes.
+    held = F.count(F.lit(1)).over(Window.partitionBy("leaf", "place", "word"))
+    fixed = (inside.select("leaf", "kind", "place", F.xxhash64("word").alias("word")).withColumn("held", held)
+             .where("held > 1").groupBy("leaf", "kind").agg(F.collect_set("place").alias("places"))  # of one line
+             .select(F.col("leaf").alias("f_leaf"), F.col("kind").alias("f_kind"), "places"))
+    words = F.transform(F.split("masked", " "), lambda w, i: F.when(F.array_contains("places", i), w).otherwise("<*>"))
+    return (lines.join(fixed, (F.col("leaf") == F.col("f_leaf")) & (F.xxhash64("masked") == F.col("f_kind")))
+            .select("leaf", "masked", words.alias("words")).where(_fixed_share_ok(F.col("words")))
             .select("leaf", "masked", F.concat_ws(" ", "words").alias("general")))
 
 
@@ -115,10 +119,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     shared = staged(lines.groupBy("leaf").agg(F.min("kind").alias("a"), F.max("kind").alias("b"))
                     .where("a <> b").select("leaf"), "leaves")
     # Second scan: the words of lines in shared leaves; the filter is a single value, the join is exact.
-    bits = staged(_filter_of(shared), "leaf-filter").scalar()
-    words = rows.select(_leaf(masked).alias("leaf"), "masked")
-    inside = F.get(bits, F.floor(F.pmod("leaf", F.lit(FILTER_BITS)) / 64).cast("int"))
-    near = words.where(F.call_function("shiftright", inside, F.pmod("leaf", F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1)
+    bits = staged(_filter_of(shared, "leaf"), "leaf-filter")
+    near = rows.select(_leaf(masked).alias("leaf"), "masked").where(_may_be_in(bits, F.col("leaf")))
     near = staged(near.join(shared, "leaf", "left_semi").distinct(), "near-lines")
     general = (general_templates(near)
                .select(F.col("leaf").alias("g_leaf"), F.xxhash64("masked").alias("g_kind"),
@@ -127,6 +129,8 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .select("id", "text_hash", "place", F.coalesce("g1", "t1").alias("t1"), F.coalesce("g2", "t2").alias("t2")))
     named = staged(named, "templates")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    often = named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("t1", "t2")
+    named = staged(named.join(often, ["t1", "t2"], "left_semi"), "repeated")
     per_doc = named.groupBy("t1", "t2", "id", "text_hash").agg(F.lit(1).alias("_one"))
     recurring = (per_doc.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
                  .where(F.col("n") >= min_docs))
@@ -141,13 +145,17 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     With ``counts``, ``n_lines`` and ``n_dropped`` are added (and replace columns of these names).
     """
-    dropped = (recurring_lines(docs, id_col, text_col, min_docs, min_words)
-               .groupBy("id", "text_hash").agg(F.collect_set("place").alias("_places")))  # of one document
+    dropped = staged(recurring_lines(docs, id_col, text_col, min_docs, min_words)
+                     .groupBy("id", "text_hash").agg(F.collect_set("place").alias("places")), "dropped")  # of one document
     names = docs.columns
-    d_id, d_hash, d_places = (fresh(names, x) for x in ("_drop_id", "_drop_hash", "_drop_places"))
-    dropped = dropped.toDF(d_id, d_hash, d_places)
-    joined = docs.join(dropped, F.col(id_col).eqNullSafe(F.col(d_id))
-                       & (F.xxhash64(F.col(text_col)) == F.col(d_hash)), "left")
+    d_id, d_hash, d_places, d_key = (fresh(names, x) for x in ("_drop_id", "_drop_hash", "_drop_places", "_drop_key"))
+    # Only rows that may lose a line are shuffled; the filter is one value, the join is exact.
+    bits = staged(_filter_of(dropped, "text_hash"), "text-filter")
+    keyed = docs.withColumn(d_key, F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col(d_id)) & (F.col(d_key) == F.col(d_hash))
+    joined = (keyed.where(_may_be_in(bits, F.col(d_key))).join(dropped.toDF(d_id, d_hash, d_places), same, "left")
+              .drop(d_id, d_hash))
+    joined = joined.unionByName(keyed.where(~_may_be_in(bits, F.col(d_key))).withColumn(d_places, F.lit(None).cast("array<int>")))
     lines = F.split(F.col(text_col), "\n")
     kept = F.array_join(F.filter(lines, lambda line, i: ~F.array_contains(F.col(d_places), i)), "\n")
     if counts:
@@ -155,4 +163,4 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"),
             "n_dropped": F.coalesce(F.size(d_places), F.lit(0)).cast("long")})
     out = joined.withColumn(text_col, F.when(F.col(d_places).isNull(), F.col(text_col)).otherwise(kept))
-    return out.drop(d_id, d_hash, d_places)
+    return out.drop(d_places, d_key)
