@@ -31,6 +31,7 @@ from chatsift.llm.common import arrow_map, batches
 POOL_ITEMS = 512
 POOL_TOKENS = 1 << 20
 MEMO_WORDS = 300_000
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "loss_tokens long")
 _PIECE_ARROW = pa.schema([(c.split()[0], pa.int64()) for c in _PIECE.split(", ")])
@@ -150,9 +151,10 @@ class WordTokens:
     of the four characters on which Python and the tokenizer disagree about
     white space are encoded whole.
 
-    Words that are letters only, or letters and one comma or full stop, give one
-    or two pieces that each end with an end-of-word id.  So many of them go
-    through the tokenizer as one text and are told apart by those ids.
+    A run of letters, a run of punctuation and a digit are a piece each, and each
+    piece ends with an end-of-word id.  So words of letters with punctuation
+    behind, and numbers, go through the tokenizer many at a time as one text and
+    are told apart by those ids.
     """
 
     ODD = "\x1c\x1d\x1e\x1f"
@@ -161,17 +163,21 @@ class WordTokens:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.memo, self.older = {}, {}  # two generations: frequent words outlive the turn
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
     @staticmethod
     def _pieces(word: str) -> int:
-        """1 or 2 where the number of end-of-word ids is certain, else 0.  (U+0130 falls apart in lower case.)"""
-        if "\u0130" in word:
+        """End-of-word ids of a word where their number is certain, else 0: other letters may fall apart when normalised."""
+        if not word.isascii() and max(word) >= "\u0130":
             return 0
-        return 1 if word.isalpha() else 2 if word[-1] in ",." and word[:-1].isalpha() else 0
+        letters = word.rstrip(PUNCTUATION)
+        if letters.isalpha() or not letters:
+            return (letters != "") + (letters != word)
+        return len(word) if word.isascii() and word.isdigit() else 0
 
     def _learn(self, words: list[str]) -> None:
         sure = [(w, p) for w in words if (p := self._pieces(w))]
@@ -189,11 +195,15 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        memo, out = self.memo, []
+            self.memo, self.older = {}, self.memo
+        memo, older, out = self.memo, self.older, []
         odd = {i for i, t in enumerate(texts) if any(c in t for c in self.ODD)}
         words = [[] if i in odd else (t.lower() if t.isascii() else t).split() for i, t in enumerate(texts)]
-        self._learn(list({w for ws in words for w in ws if w not in memo}))
+        fresh = set().union(*words).difference(memo)
+        if older:
+            memo.update({w: older[w] for w in fresh if w in older})
+            fresh.difference_update(memo)
+        self._learn(list(fresh))
         for i, ws in enumerate(words):
             if i in odd:
                 out.append(np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4"))
