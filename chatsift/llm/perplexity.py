@@ -156,7 +156,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def estimate(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """Tables (lang, gram, p, backoff) for orders 1 to ``order``: interpolated probability, weight of the n-gram as a context."""
+    """Tables (lang, gram, p, backoff) for orders 0 to ``order``: interpolated probability, weight of the n-gram as a context."""
     per_order = {order: counts}
     for k in range(order - 1, 0, -1):  # continuation counts: in how many ways an n-gram is preceded
         per_order[k] = (per_order[k + 1].groupBy("lang", F.col("gram").bitwiseAND(_MASK[k]).alias("gram"))
@@ -193,15 +193,15 @@ def estimate(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
         weights = contexts.select("c_lang", "c_ctx", "weight")
         out.append((table, weights))
         lower = table
-    tables = []
-    for k in range(1, order + 1):
-        if k < order:
-            w = out[k][1]
-            t = out[k - 1][0].join(w, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("gram") == F.col("c_ctx")), "left")
-            tables.append(t.select("lang", "gram", "p", F.coalesce("weight", F.lit(1.0)).alias("backoff")))
-        else:
-            tables.append(out[k - 1][0].select("lang", "gram", "p", F.lit(1.0).alias("backoff")))
-    return tables
+    empty = out[0][1].select(F.col("c_lang").alias("lang"), F.lit(0).cast("long").alias("gram"), F.lit(None).cast("double").alias("p"),
+                             F.col("weight").alias("backoff"))
+    tables = [empty]
+    for k in range(1, order):
+        # A context may open texts only and so be no n-gram that anything precedes: it has a weight and no probability.
+        t = out[k - 1][0].join(out[k][1], F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("gram") == F.col("c_ctx")), "full_outer")
+        tables.append(t.select(F.coalesce("lang", "c_lang").alias("lang"), F.coalesce("gram", "c_ctx").alias("gram"), "p",
+                               F.coalesce("weight", F.lit(1.0)).alias("backoff")))
+    return tables + [out[-1][0].select("lang", "gram", "p", F.lit(1.0).alias("backoff"))]
 
 
 def _hashed(k: int):
@@ -216,7 +216,7 @@ def _hashed(k: int):
             h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
             h ^= h >> np.uint64(31)
             yield pa.RecordBatch.from_arrays([
-                pa.array(h.view(np.int64)), pa.array(np.log(batch.column("p").to_numpy()).astype(np.float32)),
+                pa.array(h.view(np.int64)), pa.array(np.log(batch.column("p").to_numpy(zero_copy_only=False)).astype(np.float32)),
                 pa.array(np.log(batch.column("backoff").to_numpy()).astype(np.float32))], names=["hash", "logp", "logb"])
     return run
 
@@ -241,9 +241,10 @@ class Model:
         todo, k = np.arange(len(grams)), self.order
         while k and len(todo):
             at, hit = self._find(entry_hash(grams[todo] & np.uint64(_MASK[k]), k, lang))
+            hit &= ~np.isnan(self.logp[at]) if len(self.logp) else False
             out[todo[hit]] += self.logp[at[hit]]
             todo = todo[~hit]
-            if k > 1 and len(todo):
+            if len(todo):
                 at, known = self._find(entry_hash((grams[todo] >> np.uint64(8)) & np.uint64(_MASK[k - 1]), k - 1, lang))
                 out[todo[known]] += self.logb[at[known]]
             k -= 1
@@ -254,7 +255,7 @@ class Model:
 def model_table(tables: list[DataFrame]) -> DataFrame:
     """All orders as one table (hash, logp, logb)."""
     out = None
-    for k, t in enumerate(tables, 1):
+    for k, t in enumerate(tables):
         part = arrow_map(t, _hashed(k), "hash long, logp float, logb float")
         out = part if out is None else out.unionByName(part)
     return out
@@ -350,14 +351,14 @@ def score_by_join(docs: DataFrame, tables: list[DataFrame], order: int = ORDER)
     look = held.select("lang", "gram").distinct().withColumns({
         "logp": F.lit(0.0), "open": F.lit(True)})
     for k in range(order, 0, -1):
-        t = tables[k - 1].select(F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), F.col("p").alias("t_p"))
+        t = tables[k].select(F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), F.col("p").alias("t_p"))
         look = look.join(t, F.col("lang").eqNullSafe(F.col("t_lang"))
                          & (F.col("gram").bitwiseAND(_MASK[k]) == F.col("t_gram")), "left")
         hit = F.col("open") & F.col("t_p").isNotNull()
         look = look.withColumns({"logp": F.when(hit, F.col("logp") + F.log("t_p")).otherwise(F.col("logp")),
                                  "open": F.col("open") & ~hit}).drop("t_lang", "t_gram", "t_p")
-        if k > 1:
-            b = tables[k - 2].select(F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), F.col("backoff").alias("t_b"))
+        if k > 0:
+            b = tables[k - 1].select(F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), F.col("backoff").alias("t_b"))
             look = look.join(b, F.col("lang").eqNullSafe(F.col("t_lang"))
                              & (F.shiftright("gram", 8).bitwiseAND(_MASK[k - 1]) == F.col("t_gram")), "left")
             look = look.withColumn("logp", F.when(F.col("open") & F.col("t_b").isNotNull(),
