@@ -158,9 +158,9 @@ def think_contents(messages) -> Column:
 
 
 def render_judge_text(messages) -> Column:
-    """``ROLE:\\ncontent`` for every turn, joined by a blank line."""
+    """``ROLE:\\ncontent`` for every turn, joined by a blank line; missing content reads ``None``."""
     return F.array_join(
-        F.transform(_col(messages), lambda m: F.concat(F.upper(m["role"]), F.lit(":\n"), m["content"])),
+        F.transform(_col(messages), lambda m: F.concat(F.upper(m["role"]), F.lit(":\n"), F.coalesce(m["content"], F.lit("None")))),
         "\n\n",
     )
 

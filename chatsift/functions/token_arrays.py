@@ -25,6 +25,11 @@ def clip_left(ids, max_len: int) -> Column:
     return F.slice(a, F.greatest(F.size(a) - max_len + 1, F.lit(1)), max_len)
 
 
+def clip_right(ids, max_len: int) -> Column:
+    """Keep the first ``max_len`` ids (truncation on the right)."""
+    return F.slice(_col(ids), 1, max_len)
+
+
 def pad_to(ids, width: int, pad_id: int, side: str) -> Column:
     """Pad an array to ``width`` with ``pad_id`` on the ``left`` or ``right``."""
     a = _col(ids)

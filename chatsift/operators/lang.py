@@ -1,9 +1,7 @@
 """Language identification as Spark jobs: a character-trigram Naive Bayes.
 
 Training (:func:`train_lang_profiles`) is one ``groupBy(lang, gram)`` over
-labelled text.  Each language keeps its ``top_k`` most frequent trigrams, so
-the profile has at most ``#languages x top_k`` rows; that proven bound is what
-makes it safe to broadcast in :func:`detect_lang`.
+labelled text; every counted trigram is kept.
 
 Scoring, per text and language, with add-one smoothing over the vocabulary V:
 ``score = sum_g cnt(g) * log((c(lang, g) + 1) / (total(lang) + V))`` and
@@ -15,11 +13,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
-
-DEFAULT_TOP_K = 2000
-
-from chatsift.operators.partitioning import BROADCAST_MAX_ROWS  # noqa: E402
 
 
 def lang_text(text) -> Column:
@@ -34,20 +27,16 @@ def trigrams(text) -> Column:
     return F.regexp_extract_all(lang_text(text), F.lit("(?=(.{3}))"), 1)
 
 
-def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
-                        top_k: int = DEFAULT_TOP_K) -> DataFrame:
-    """``(lang, gram, cnt, logp, unseen_logp)``: at most ``top_k`` grams per language.
+def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """``(lang, gram, cnt, logp, unseen_logp)`` of every counted gram.
 
-    The kept counts are checkpointed (reliable, in ``spark.checkpoint.dir``):
+    The counts are checkpointed (reliable, in ``spark.checkpoint.dir``):
     they are small and read twice (per-language totals, then the profile).
     """
     from chatsift.session import checkpoint_root
 
     grams = df.select(F.col(lang_col).alias("lang"), F.explode(trigrams(text_col)).alias("gram"))
-    counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt"))
-    # The window runs over aggregated (lang, gram) rows: bounded by the vocabulary.
-    w = Window.partitionBy("lang").orderBy(F.col("cnt").desc(), F.col("gram"))
-    kept = counts.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= top_k).drop("_r")
+    kept = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt"))
     checkpoint_root(df.sparkSession)
     kept = kept.checkpoint()
     stats = kept.groupBy("lang").agg(F.sum("cnt").alias("total")).collect()  # one row per language
@@ -62,33 +51,26 @@ def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "
 
 
 def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
-                out_col: str = "detected_lang", max_grams_per_lang: int = DEFAULT_TOP_K) -> DataFrame:
+                out_col: str = "detected_lang") -> DataFrame:
     """``(id, detected_lang)`` for every input row (null when no trigram).
 
-    Plan: explode trigrams -> broadcast hash join with the bounded profile,
-    pivoted to one row per trigram -> one aggregate per id with a sum column
+    Plan: explode trigrams -> join with the profile, pivoted to one row per
+    trigram (Spark broadcasts it where its measured size allows) -> one aggregate per id with a sum column
     per language (partial aggregation inside the task, so only one small
     record per input row is shuffled) ->
     arg-max of ``n_grams * unseen + sum(logp - unseen)``.  Ties go to the
     larger language code.  The language list (bounded) is read on the driver.
-    The profile is broadcast only when ``#languages x max_grams_per_lang`` is
-    within the broadcast limit; beyond it the join is a shuffle join (AQE
-    splits skewed trigram keys).
     """
     langs = [(r["lang"], float(r["unseen_logp"]))
              for r in profiles.select("lang", "unseen_logp").distinct().orderBy("lang").collect()]
-    # One row per trigram with a delta column per language (the profile is
-    # bounded, so this pivot is small): each text trigram joins one row.
+    # One row per trigram with a delta column per language: each text trigram joins one row.
     delta = F.col("logp") - F.col("unseen_logp")
     wide = profiles.groupBy("gram").agg(
         *[F.sum(F.when(F.col("lang") == l, delta)).alias(f"_d{i}") for i, (l, _) in enumerate(langs)]
     )
     base = df.select(F.col(id_col).alias("_id"), trigrams(text_col).alias("_g"))
     grams = base.select("_id", F.coalesce(F.size("_g"), F.lit(0)).alias("_n"), F.explode_outer("_g").alias("gram"))
-    # Size check: the pivoted profile has at most #languages x top_k rows.
-    bound = len(langs) * max_grams_per_lang
-    side = F.broadcast(wide) if bound <= BROADCAST_MAX_ROWS else wide
-    joined = grams.join(side, "gram", "left")
+    joined = grams.join(wide, "gram", "left")
     aggs = [F.max("_n").alias("_n")] + [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(langs))]
     per_id = joined.groupBy("_id").agg(*aggs)
     scores = [

@@ -185,3 +185,26 @@ def grouped_quantile(df: DataFrame, group_cols: list[str], value_col: str, q: fl
         F.when(missed, F.raise_error(F.lit("grouped_quantile: approximate band missed the target rank")))
         .otherwise(result).alias(out_col),
     )
+
+
+def nth_key(df: DataFrame, key: str, n: int) -> tuple[int, int] | None:
+    """``(value, below)``: the n-th smallest value of the non-null long ``key`` and how many rows are below it.
+
+    None where there are n rows or fewer.  Each step counts rows in at most
+    1,025 ranges of equal width and goes on inside one of them, so it ends after
+    seven steps at most, ties or not, and the driver sees counts only.
+    """
+    n_rows, lo, hi = key_stats(df, key)
+    if n >= n_rows:
+        return None
+    below = 0
+    while lo < hi:
+        width = (hi - lo) // 1024 + 1
+        part = F.expr(f"CAST((CAST(`{key}` AS DECIMAL(20,0)) - {lo}BD) DIV {width}BD AS LONG)")
+        counts = df.where(F.col(key).between(lo, hi)).groupBy(part.alias("part")).count().collect()
+        for p, c in sorted(map(tuple, counts)):
+            if below + c >= n:
+                lo, hi = lo + p * width, min(hi, lo + (p + 1) * width - 1)
+                break
+            below += c
+    return lo, below

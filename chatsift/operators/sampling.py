@@ -1,27 +1,25 @@
 """Mixing, limits, seeded samples, train/validation splits, batch plans, resume.
 
-Row order is semantic in the reference (first n rows, shuffled splits).  Here
-every order is an explicit key: the id for "source order", and the md5 of
-``"<seed>:<id>"`` for "shuffled".  Limits, samples and splits find the exact
-cut key with :func:`nth_smallest` (an approximate-quantile band plus an exact
-sort of the band only) and then *filter*; no step moves n rows through one
-task, whatever n is.
+Row order is explicit: the id for "source order", the md5 of ``"<seed>:<id>"``
+for "shuffled".  Rows without an id are ordered by a hash of their content, so
+ids may be missing, null, repeated or of any type and every limit, sample and
+split still has its exact size.  The cut is found by counting rows in ranges of
+a number that narrow step by step; only rows that tie at the cut are numbered.
 """
 
 from __future__ import annotations
 
 import warnings
 from functools import reduce
+from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chatsift.operators.partitioning import (
-    hash_key, hash_prefix_long, key_at_most, nth_smallest,
-)
+from chatsift.operators.partitioning import hash_key, hash_prefix_long, nth_key
 
-_H, _HX = "_cs_h", "_cs_hx"
+_H, _HX, _C, _TIE = "_cs_h", "_cs_hx", "_cs_content", "_cs_tie"
 
 
 def mix(dfs: list[DataFrame]) -> DataFrame:
@@ -31,44 +29,64 @@ def mix(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
-def _numeric(df: DataFrame, col: str) -> bool:
-    return isinstance(df.schema[col].dataType, T.NumericType)
+def _content(df: DataFrame) -> Column:
+    """A hash of the whole row (maps cannot be hashed and are left out): 60 bits, never null."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    return F.shiftrightunsigned(F.xxhash64(F.lit(1), *hashed), 4)
 
 
-def max_samples(df: DataFrame, n: int | None, order_col: str = "id",
+def _first_n(df: DataFrame, key: str, n: int, ties: list):
+    """``(first, rest)``: the ``n`` rows of smallest ``key`` (a non-null long), ties in the order of ``ties``."""
+    cut = nth_key(df, key, n)
+    if cut is None:
+        return df, df.limit(0)
+    value, below = cut
+    tied = df.where(F.col(key) == value).withColumn(_TIE, F.row_number().over(Window.orderBy(*ties)))
+    return (df.where(F.col(key) < value).unionByName(tied.where(F.col(_TIE) <= n - below).drop(_TIE)),
+            df.where(F.col(key) > value).unionByName(tied.where(F.col(_TIE) > n - below).drop(_TIE)))
+
+
+def max_samples(df: DataFrame, n: int | None, order_col: str | None = "id",
                 tie_cols: tuple[str, ...] = ()) -> DataFrame:
-    """The first n rows by ``order_col`` (source order); n null/<=0 -> all rows.
+    """The first n rows by ``order_col`` (source order), null keys last; n null/<=0 -> all rows.
 
-    ``(order_col, *tie_cols)`` must be unique.  Numeric keys use the exact
-    distributed cut; other keys fall back to a sort + limit.
+    Whole-number keys are cut by counting; other keys by an exact rank over
+    range partitions.  Without the column, rows go by a hash of their content.
     """
     if not n or n <= 0:
         return df
-    if not _numeric(df, order_col):
-        return df.orderBy(order_col, *tie_cols).limit(int(n))
-    cut = nth_smallest(df, order_col, list(tie_cols), int(n))
-    if cut is None:  # n >= row count
-        return df
-    return df.where(key_at_most(order_col, list(tie_cols), cut))
+    n, content = int(n), _content(df)
+    if order_col is None or order_col not in df.columns:
+        return _first_n(df.withColumn(_H, content), _H, n, [_H])[0].drop(_H)
+    if not isinstance(df.schema[order_col].dataType, T.IntegralType):
+        keyed = df.withColumns({_H: content, _HX: F.col(order_col).isNull()})
+        ranked = global_rank(keyed, [_HX, order_col, *tie_cols, _H], _TIE)
+        return ranked.where(F.col(_TIE) < n).drop(_TIE, _H, _HX)
+    known = df.where(F.col(order_col).isNotNull()).withColumns({_H: F.col(order_col).cast("long"), _HX: content})
+    n_known = known.count()
+    if n <= n_known:
+        return _first_n(known, _H, n, [*tie_cols, _HX])[0].drop(_H, _HX)
+    unknown = df.where(F.col(order_col).isNull()).withColumn(_H, content)
+    return known.drop(_H, _HX).unionByName(_first_n(unknown, _H, n - n_known, [*tie_cols, _H])[0].drop(_H))
 
 
 def with_shuffle_key(df: DataFrame, id_col: str, seed: int) -> DataFrame:
-    hx = hash_key(seed, id_col)
-    return df.withColumns({_HX: hx, _H: hash_prefix_long(hx)})
+    by_content = F.md5(F.concat_ws(":", F.lit(str(seed)), F.lit("row"), _content(df).cast("string")))
+    hx = F.coalesce(hash_key(seed, id_col), by_content) if id_col in df.columns else by_content
+    return df.withColumns({_HX: hx, _C: _content(df)}).withColumn(_H, hash_prefix_long(F.col(_HX)))
 
 
-def _shuffled_cut(keyed: DataFrame, id_col: str, n: int):
-    return nth_smallest(keyed, _H, [_HX, id_col], n)
+def _shuffled(df: DataFrame, id_col: str, n: int, seed: int):
+    keyed = with_shuffle_key(df, id_col, seed)
+    ids = [id_col] if id_col in df.columns else []
+    return [part.drop(_H, _HX, _C) for part in _first_n(keyed, _H, n, [_HX, *ids, _C])]
 
 
 def seeded_sample(df: DataFrame, n: int, seed: int = 42, id_col: str = "id") -> DataFrame:
     """Exactly min(n, N) rows without replacement, chosen by the seeded hash order."""
     if n <= 0:
         return df.limit(0)
-    keyed = with_shuffle_key(df, id_col, seed)
-    cut = _shuffled_cut(keyed, id_col, int(n))
-    out = keyed if cut is None else keyed.where(key_at_most(_H, [_HX, id_col], cut))
-    return out.drop(_H, _HX)
+    return _shuffled(df, id_col, int(n), seed)[0]
 
 
 def validation_size(total: int, ratio: float | None, size: int | None) -> int | None:
@@ -90,16 +108,14 @@ def train_val_split(df: DataFrame, ratio: float | None = 0.0, size: int | None =
     n_val = validation_size(total, ratio, size)
     if n_val is None:
         return df, None
-    keyed = with_shuffle_key(df, id_col, seed)
     if n_val <= 0:
         warnings.warn("validation split is empty")
         return df, df.limit(0)
     if n_val >= total:
         warnings.warn("training split is empty")
         return df.limit(0), df
-    cut = _shuffled_cut(keyed, id_col, n_val)
-    in_val = key_at_most(_H, [_HX, id_col], cut)
-    return keyed.where(~in_val).drop(_H, _HX), keyed.where(in_val).drop(_H, _HX)
+    val, train = _shuffled(df, id_col, n_val, seed)
+    return train, val
 
 
 def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank") -> DataFrame:
@@ -121,38 +137,27 @@ def global_rank(df: DataFrame, order_cols: list[str], rank_col: str = "rank") ->
         .checkpoint()
     )
     pid = F.shiftright("_cs_mid", 33)
-    counts = dict(ordered.groupBy(pid.alias("p")).count().collect())
-    offsets, acc = {}, 0
-    for p in sorted(counts):
-        offsets[p] = acc
-        acc += counts[p]
-    off = F.create_map(*[x for p, o in offsets.items() for x in (F.lit(p).cast("long"), F.lit(o).cast("long"))]) if offsets else F.create_map()
+    counts = sorted(ordered.groupBy(pid.alias("p")).count().collect())  # one row per partition
+    ends = list(accumulate(c for _, c in counts))
+    offsets = spark.createDataFrame([(p, e - c) for (p, c), e in zip(counts, ends)], "_cs_part long, _cs_off long")
     local = F.col("_cs_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return ordered.withColumn(rank_col, off[pid] + local).drop("_cs_mid")
+    return (ordered.join(offsets, pid == F.col("_cs_part")).withColumn(rank_col, F.col("_cs_off") + local)
+            .drop("_cs_mid", "_cs_part", "_cs_off"))
 
 
 def resolve_generation_sizes(per_device_batch: int, num_processes: int,
                              generation_batch_size: int | None = None,
                              steps_per_generation: int | None = None,
                              gradient_accumulation_steps: int = 1) -> tuple[int, int]:
-    """``(generation_batch_size, steps_per_generation)`` from the trainer settings.
-
-    Neither given: steps = gradient accumulation steps.  Only the batch size:
-    it must be a multiple of the global batch (per-device x processes).  Only
-    the steps: batch = global batch x steps.  Both: an error.
-    """
-    global_batch = per_device_batch * num_processes
-    if generation_batch_size is None and steps_per_generation is None:
-        steps_per_generation = gradient_accumulation_steps
-        return global_batch * steps_per_generation, steps_per_generation
-    if generation_batch_size is not None and steps_per_generation is None:
-        if generation_batch_size % global_batch != 0:
-            raise ValueError(f"generation_batch_size ({generation_batch_size}) must be divisible by the "
-                             f"global batch size ({global_batch}).")
-        return generation_batch_size, generation_batch_size // global_batch
-    if generation_batch_size is None:
-        return global_batch * steps_per_generation, steps_per_generation
-    raise ValueError("'generation_batch_size' and 'steps_per_generation' can not be both configured at the same time")
+    """``(rows per generation batch, optimizer steps it serves)``; at most one of the two may be set."""
+    if None not in (generation_batch_size, steps_per_generation):
+        raise ValueError("the rows of a generation batch and its steps cannot both be given")
+    step_rows = per_device_batch * num_processes
+    rows = generation_batch_size or step_rows * (steps_per_generation or gradient_accumulation_steps)
+    steps, left = divmod(rows, step_rows)
+    if left:
+        raise ValueError(f"{rows} rows are not divisible into steps of {step_rows} rows")
+    return rows, steps
 
 
 def batch_plan(df: DataFrame, per_device_batch: int, num_processes: int,

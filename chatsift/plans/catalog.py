@@ -236,15 +236,16 @@ def q_rejected_preview(spark, sf_dir):
 @query("clip_pad")
 def q_clip_pad(spark, sf_dir):
     s = tb.sequence_log(spark, sf_dir)
-    clipped = ta.clip_left("completion_ids", CLIP_LEN)
-    padded = ta.pad_to(clipped, CLIP_LEN, tb.PAD_ID, "left")
-    mask = ta.pad_mask(clipped, CLIP_LEN, "left")
-    right = ta.pad_to(F.col("prompt_ids"), CLIP_LEN, tb.PAD_ID, "right")
+    # Prompts keep their end and are padded on the left, completions keep their start and are padded on the right.
+    clipped = ta.clip_right("completion_ids", CLIP_LEN)
+    padded = ta.pad_to(clipped, CLIP_LEN, tb.PAD_ID, "right")
+    mask = ta.pad_mask(clipped, CLIP_LEN, "right")
+    left = ta.pad_to(ta.clip_left("prompt_ids", CLIP_LEN), CLIP_LEN, tb.PAD_ID, "left")
     return s.select(
         "seq_id",
         F.array_join(padded, ",").alias("completion_padded"),
         F.aggregate(mask, F.lit(0), lambda a, x: a + x).alias("mask_sum"),
-        F.array_join(right, ",").alias("prompt_padded"),
+        F.array_join(left, ",").alias("prompt_padded"),
     )
 
 

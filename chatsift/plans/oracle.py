@@ -69,8 +69,7 @@ def trigram_list(t: str) -> str:
 PROFILES = f"""ld AS (SELECT lang, {norm_lang('text')} AS t FROM documents),
 lg AS (SELECT lang, unnest({trigram_list('t')}) AS gram FROM ld WHERE t IS NOT NULL),
 lc AS (SELECT lang, gram, count(*) AS cnt FROM lg GROUP BY lang, gram),
-lk AS (SELECT lang, gram, cnt FROM (
-        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY cnt DESC, gram) AS r FROM lc) WHERE r <= 2000),
+lk AS (SELECT lang, gram, cnt FROM lc),
 lt AS (SELECT lang, sum(cnt) AS total FROM lk GROUP BY lang),
 lv AS (SELECT count(DISTINCT gram) AS v FROM lk),
 prof AS (SELECT lk.lang, lk.gram, lk.cnt,
@@ -308,14 +307,13 @@ SELECT doc_id, md5(t) AS preview_md5, CAST(length(t) AS INTEGER) AS preview_char
 
 q("clip_pad", f"""
 WITH {SEQS},
-c AS (SELECT seq_id, prompt_ids,
-             list_slice(completion_ids, greatest(len(completion_ids) - {cat.CLIP_LEN} + 1, 1),
-                        greatest(len(completion_ids) - {cat.CLIP_LEN} + 1, 1) + {cat.CLIP_LEN - 1}) AS cl
+c AS (SELECT seq_id, list_slice(completion_ids, 1, {cat.CLIP_LEN}) AS cl,
+             list_slice(prompt_ids, greatest(len(prompt_ids) - {cat.CLIP_LEN} + 1, 1), len(prompt_ids)) AS pr
       FROM seqs)
 SELECT seq_id,
-       array_to_string(list_concat(list_transform(range(greatest({cat.CLIP_LEN} - len(cl), 0)), lambda x: 0), cl), ',') AS completion_padded,
+       array_to_string(list_concat(cl, list_transform(range(greatest({cat.CLIP_LEN} - len(cl), 0)), lambda x: 0)), ',') AS completion_padded,
        CAST(len(cl) AS INTEGER) AS mask_sum,
-       array_to_string(list_concat(prompt_ids, list_transform(range(greatest({cat.CLIP_LEN} - len(prompt_ids), 0)), lambda x: 0)), ',') AS prompt_padded
+       array_to_string(list_concat(list_transform(range(greatest({cat.CLIP_LEN} - len(pr), 0)), lambda x: 0), pr), ',') AS prompt_padded
 FROM c""")
 
 # ------------------------------------------------------------- filters ---

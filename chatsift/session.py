@@ -46,6 +46,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="chatsift-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if not sc.getCheckpointDir():

@@ -1,8 +1,7 @@
-"""Registration hook for the streaming queries (filled in by chatsift.streaming.jobs)."""
+"""Registration of the streaming queries: importing the jobs registers them."""
+
+from chatsift.streaming import jobs  # noqa: F401
 
 
 def register() -> None:
-    try:
-        from chatsift.streaming import jobs  # noqa: F401  (registers on import)
-    except ImportError:
-        pass
+    """Nothing is left to do once this module is imported."""

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from chatsift.operators import reports as rep
 from chatsift.operators import sampling as smp
 from chatsift.operators import shape as shp
-from chatsift.operators.ngrams import has_ngram_loop_py, ngram_loop, ngram_loop_exploded, ngram_loop_native
+from brute import has_ngram_loop_py
+from chatsift.operators.ngrams import ngram_loop, ngram_loop_exploded, ngram_loop_native
 from chatsift.session import read_table
 
 from conftest import SF_MID, SF_SMALL
@@ -148,7 +149,7 @@ def test_lang_detection_accuracy(spark):
     det = detect_lang(docs, prof, "doc_id", "text").join(docs.select("doc_id", "lang"), "doc_id")
     acc = det.select(F.avg((F.col("detected_lang") == F.col("lang")).cast("double"))).first()[0]
     assert acc > 0.95
-    assert prof.groupBy("lang").count().agg(F.max("count")).first()[0] <= 2000
+    assert prof.where("cnt = 1").count() > 0  # rare grams stay
 
 
 def test_mix_needs_input():
@@ -184,3 +185,23 @@ def test_verdict_filter_and_judge_stage_with_long_ids(spark):
     res = curate(chats, replies=replies)
     assert [r.id for r in res.kept.collect()] == [1]
     assert [r.after for r in res.funnel.orderBy("stage_order").collect()] == [2, 2, 2, 1, 1]
+
+
+def test_splits_are_exact_with_null_missing_and_repeated_ids(spark):
+    rows = [(None if i % 4 == 0 else i % 7, f"t{i // 2}") for i in range(100)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    for frame in (df, df.withColumn("id", F.col("id").cast("string")), df.drop("id")):
+        for n in (0, 1, 50, 90, 99, 100):
+            train, val = smp.train_val_split(frame, size=n) if n else (frame, frame.limit(0))
+            assert (train.count(), val.count()) == (100 - n, n)
+            both = sorted(map(repr, train.unionByName(val).collect()))
+            assert both == sorted(map(repr, frame.collect()))
+            assert smp.max_samples(frame, n).count() == (n or 100)
+            assert smp.seeded_sample(frame, n).count() == n
+
+
+def test_judge_text_keeps_a_turn_without_content(spark):
+    from chatsift.functions.text import render_judge_text
+
+    df = spark.createDataFrame([([("user", "a"), ("assistant", None)],)], "m array<struct<role:string,content:string>>")
+    assert df.select(render_judge_text("m")).first()[0] == "USER:\na\n\nASSISTANT:\nNone"
