@@ -3,6 +3,7 @@ tables and clashing column names included.  Queries with SQL are held against Du
 
 import collections
 import hashlib
+import json
 import random
 import re
 import sys
@@ -206,6 +207,29 @@ def test_words_tokenise_as_whole_texts():
         assert tok.encode(text, add_special_tokens=False).ids == ids.tolist()
 
 
+def test_merging_by_ranks_equals_the_tokenizer(documents):
+    """Each token merges to itself alone, in both libraries: then no other pair can make it. And all words agree."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok, words = Tokenizer.from_file(path), packing.WordTokens(path)
+    vocabulary = json.load(open(path, encoding="utf-8"))["model"]
+    rank = {tuple(m): i for i, m in enumerate(vocabulary["merges"])}
+    assert all(vocabulary["vocab"][a + b] == 512 + i for (a, b), i in rank.items())
+    for token, i in vocabulary["vocab"].items():
+        assert words.merger.encode_single_token(packing._token_bytes(token)) == i
+        body = token.removesuffix("</w>")
+        parts = list(body[:-1]) + [body[-1] + token[len(body):]]
+        while len(parts) > 1:
+            best = min(range(len(parts) - 1), key=lambda k: rank.get((parts[k], parts[k + 1]), len(rank)))
+            assert (parts[best], parts[best + 1]) in rank, token
+            parts[best:best + 2] = [parts[best] + parts[best + 1]]
+    every = sorted({w for d in documents for w in (d["text"] or "").split()})
+    for w, e, ids in zip(every, tok.encode_batch(every, add_special_tokens=False), words.encode(every)):
+        assert e.ids == ids.tolist(), w
+
+
 def test_packing_holds_all_limits():
     limits = packing.Limits(tokens=64, segments=4, loss=20)
     packer, rng = packing.Packer(limits, 0), random.Random(3)
