@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
-from typing import Callable, Iterator
+from typing import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -37,7 +37,8 @@ JUDGE_OPTIONS = SamplingOptions(temperature=0.15, top_p=0.1, max_tokens=10)
 GENERATION_OPTIONS = SamplingOptions(temperature=0.6, top_p=0.95)
 
 
-def _call(client, request: dict, options: dict, attempts: int, retry_empty: bool) -> dict:
+def _call(client, request: dict, options: dict, attempts: int, retry_empty: bool,
+          accept: Callable[[str | None], bool] | None) -> dict:
     last = "no attempt"
     for _ in range(max(attempts, 1)):
         try:
@@ -46,6 +47,9 @@ def _call(client, request: dict, options: dict, attempts: int, retry_empty: bool
             if retry_empty and not reply:
                 last = "empty reply"
                 continue
+            if accept is not None and not accept(reply):
+                last = f"reply not accepted: {reply!r}"
+                continue
             return {
                 "reply": reply,
                 "finish_reason": out.get("finish_reason"),
@@ -61,8 +65,13 @@ def _call(client, request: dict, options: dict, attempts: int, retry_empty: bool
 def map_model(df: DataFrame, client_factory: Callable, endpoints: list[str] | None = None,
               request_cols: list[str] | None = None, id_col: str = "id",
               options: SamplingOptions | None = None, concurrency: int = 8,
-              attempts: int = 1, retry_empty: bool = False) -> DataFrame:
-    """``(id, reply, finish_reason, completion_tokens, error)`` for every input row."""
+              attempts: int = 1, retry_empty: bool = False,
+              accept: Callable[[str | None], bool] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """``(id, reply, finish_reason, completion_tokens, error)`` for every input row.
+
+    A reply that ``accept`` turns down counts as a failed attempt.  String columns
+    named in ``keep`` travel along, so a reply needs no join back by id.
+    """
     from chatsift.session import ship_package
 
     ship_package(df.sparkSession)
@@ -76,16 +85,19 @@ def map_model(df: DataFrame, client_factory: Callable, endpoints: list[str] | No
             for pdf in batches:
                 records = pdf[cols].to_dict("records")
                 futures = [
-                    pool.submit(_call, clients[i % len(clients)], rec, opts, attempts, retry_empty)
+                    pool.submit(_call, clients[i % len(clients)], rec, opts, attempts, retry_empty, accept)
                     for i, rec in enumerate(records)
                 ]
                 results = [f.result() for f in futures]
                 out = pd.DataFrame(results, columns=["reply", "finish_reason", "completion_tokens", "error"])
                 out.insert(0, "id", pdf[id_col].astype("string").to_numpy())
                 out["completion_tokens"] = out["completion_tokens"].astype("Int64")
+                for c in keep:
+                    out[c] = pdf[c].to_numpy()
                 yield out
 
-    return df.select(*dict.fromkeys([id_col] + list(cols))).mapInPandas(run, REPLY_SCHEMA)
+    schema = ", ".join([REPLY_SCHEMA] + [f"`{c}` string" for c in keep])
+    return df.select(*dict.fromkeys([id_col] + list(cols) + list(keep))).mapInPandas(run, schema)
 
 
 class LabelStubClient:

@@ -87,10 +87,10 @@ def main(argv=None) -> None:
     s.add_argument("--output", default=None, help="JSON report path")
     args = p.parse_args(argv)
 
-    from chatsift.session import local_session
     from pyspark.sql import SparkSession
 
-    spark = SparkSession.getActiveSession() or local_session()
+    # spark-submit, the environment or spark-defaults.conf name the master; local[*] where none does
+    spark = SparkSession.builder.appName("chatsift").getOrCreate()
     if args.cmd == "prepare-sft":
         _write_splits(*jobs.prepare_sft(spark, load_config(args.config)), args.out)
     elif args.cmd == "prepare-dpo":

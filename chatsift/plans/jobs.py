@@ -72,6 +72,11 @@ def curate(df: DataFrame, profiles: DataFrame | None = None, lang: str = "fr",
 
 # -------------------------------------------------------------- E2 judge ---
 
+def states_verdict(reply: str | None) -> bool:
+    """Whether ``parse_verdict`` finds a verdict in the reply."""
+    return any(word in (reply or "").lower() for word in ("true", "false"))
+
+
 def judge(df: DataFrame, client_factory, endpoints=None, preset: str = "dataset",
           concurrency: int = 8, attempts: int = 3, extra_cols: list[str] | None = None):
     """Judge every conversation; keep the ones whose reply says true.
@@ -83,7 +88,8 @@ def judge(df: DataFrame, client_factory, endpoints=None, preset: str = "dataset"
     if extra_cols:
         req = req.join(df.select("id", *extra_cols), "id")
     replies = map_model(req, client_factory, endpoints, request_cols=["id", "request"] + (extra_cols or []),
-                        options=JUDGE_OPTIONS, concurrency=concurrency, attempts=attempts, retry_empty=True)
+                        options=JUDGE_OPTIONS, concurrency=concurrency, attempts=attempts, retry_empty=True,
+                        accept=states_verdict if preset == "pipeline" else None)
     return replies
 
 
@@ -183,12 +189,13 @@ def report_loops(questions: DataFrame, client_factory, n_samples: int = 100, see
     return flags, rep.loop_summary(flags)
 
 
-def generate_requests(df: DataFrame, done_ids: DataFrame, max_samples: int | None = None) -> DataFrame:
+def generate_requests(df: DataFrame, done_ids: DataFrame, max_samples: int | None = None,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
     """E3 front half: check columns, drop done ids, limit, build requests."""
     require_columns(df, ("id", "prompt", "demonstration"))
     remaining = smp.resume(df, done_ids, "id")
     remaining = smp.max_samples(remaining, max_samples, "id")
-    return shp.generation_requests(remaining)
+    return shp.generation_requests(remaining, keep=keep)
 
 
 # ---------------------------------------------------- runnable job entries ---
@@ -238,15 +245,13 @@ def run_generate(spark: SparkSession, dataset: str, output_path: str, client_fac
 
     df = read_dataset(spark, dataset, "train")
     done = read_done_ids(spark, output_path)
-    req = generate_requests(df, done, max_samples)
-    extra = [c for c in request_cols if c not in req.columns]
-    if extra:
-        req = req.join(df.select("id", *extra), "id")
+    extra = tuple(c for c in request_cols if c not in ("id", "prompt", "messages"))
+    req = generate_requests(df, done, max_samples, keep=extra)
     replies = map_model(req, client_factory, endpoints, request_cols=list(request_cols),
-                        options=GENERATION_OPTIONS, concurrency=concurrency)
+                        options=GENERATION_OPTIONS, concurrency=concurrency, keep=("prompt",))
     checkpoint_root(spark)
     replies = replies.checkpoint()
-    gens = shp.assemble_generations(req.withColumn("id", F.col("id").cast("string")), replies)
+    gens = shp.assemble_generations(None, replies)
     append_jsonl(gens, output_path)
     summary = rep.generation_summary(df, done, replies)
     if release_path:

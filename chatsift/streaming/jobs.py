@@ -7,7 +7,8 @@
   micro-batch drops ids already in the sink (anti-join), calls the model,
   and appends JSON lines; the checkpoint makes a restarted query continue
   from the last committed batch, and the anti-join makes a replayed batch a
-  no-op for ids already written.
+  no-op for ids already written.  Requests whose call failed wait in a table
+  beside the checkpoint and are tried again with the next batch.
 """
 
 from __future__ import annotations
@@ -53,18 +54,29 @@ def curate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str,
 
 
 def generation_batch(batch: DataFrame, sink: str, client_factory, endpoints=None,
-                     concurrency: int = 8, request_cols=("id", "quality")) -> None:
-    """One micro-batch of the generation job (used by ``foreachBatch``)."""
+                     concurrency: int = 8, request_cols=("id", "messages"),
+                     waiting: str | None = None, epoch: int = 0) -> None:
+    """One micro-batch of the generation job (used by ``foreachBatch``).
+
+    ``waiting``: folder of the failed requests, one table per epoch.  A batch
+    takes over those of the epoch before and leaves its own; a replayed batch
+    overwrites what it left.
+    """
     spark = batch.sparkSession
+    if waiting and epoch > 0:
+        batch = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{waiting}/{epoch - 1}"))
     done = read_done_ids(spark, sink)
     todo = smp.resume(batch, done, "id")
-    req = shp.generation_requests(todo).join(todo.select("id", *[c for c in request_cols if c != "id"]), "id")
+    req = shp.generation_requests(todo, keep=tuple(c for c in request_cols if c not in ("id", "prompt", "messages")))
     replies = map_model(req, client_factory, endpoints, request_cols=list(request_cols),
-                        options=GENERATION_OPTIONS, concurrency=concurrency)
+                        options=GENERATION_OPTIONS, concurrency=concurrency, keep=("prompt",))
     checkpoint_root(spark)
-    replies = replies.checkpoint()  # written records and progress counts see the same replies
-    gens = shp.assemble_generations(req.withColumn("id", F.col("id").cast("string")), replies)
-    gens.write.mode("append").json(sink)
+    replies = replies.checkpoint()  # written records, failures and progress counts see the same replies
+    if waiting:
+        failed = replies.where("error IS NOT NULL").select(F.col("id").alias("_failed")).distinct()
+        (batch.join(failed, F.col("id").cast("string").eqNullSafe(F.col("_failed")), "left_semi")
+         .write.mode("overwrite").parquet(f"{waiting}/{epoch}"))
+    shp.assemble_generations(None, replies).write.mode("append").json(sink)
     progress = replies.agg(
         F.count(F.lit(1)).alias("processed"),
         F.sum(F.when(F.col("error").isNull(), 1).otherwise(0)).alias("generated"),
@@ -76,15 +88,19 @@ def generation_batch(batch: DataFrame, sink: str, client_factory, endpoints=None
 
 def generate_stream(spark: SparkSession, source: str, sink: str, checkpoint: str, client_factory,
                     endpoints=None, concurrency: int = 8, schema: str = REQUEST_SCHEMA,
-                    max_files_per_trigger: int | None = None):
-    """Start the generation stream over request files; returns the query."""
+                    max_files_per_trigger: int | None = None, request_cols=("id", "messages")):
+    """Start the generation stream over request files; returns the query.
+
+    ``request_cols`` go to the client.  Failed calls are tried again with the next batch.
+    """
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     requests = reader.parquet(source)
     return (
         requests.writeStream
-        .foreachBatch(lambda df, _epoch: generation_batch(df, sink, client_factory, endpoints, concurrency))
+        .foreachBatch(lambda df, epoch: generation_batch(df, sink, client_factory, endpoints, concurrency, request_cols,
+                                                         checkpoint.rstrip("/") + "-waiting", epoch))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -113,7 +129,8 @@ def _q_generate_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     reqs = tb.label_requests(pairs, spark, sf_dir).select("id", "prompt", "demonstration", F.col("quality").cast("int"))
     src, out, ck = work_path(spark, "gen-src"), work_path(spark, "gen-out"), work_path(spark, "gen-ck")
     reqs.repartition(4).write.parquet(src)
-    q = generate_stream(spark, src, out, ck, LabelStubClient, max_files_per_trigger=2)
+    q = generate_stream(spark, src, out, ck, LabelStubClient, max_files_per_trigger=2,
+                        request_cols=("id", "messages", "quality"))
     q.awaitTermination()
     gens = spark.read.schema(GENERATION_SCHEMA).json(out)
     return gens.select(F.col("id").cast("long").alias("id"), "finish_reason")

@@ -45,17 +45,64 @@ def test_generate_stream_resumes(spark):
     reqs = spark.range(20).select("id", F.lit("p").alias("prompt"), F.lit("d").alias("demonstration"),
                                   (F.col("id") % 2).cast("int").alias("quality"))
     reqs.where("id < 10").write.parquet(f"{src}/part1")
-    q = generate_stream(spark, f"{src}/*", sink, ck, LabelStubClient)
+    q = generate_stream(spark, f"{src}/*", sink, ck, LabelStubClient, request_cols=("id", "messages", "quality"))
     q.awaitTermination()
     first = spark.read.json(sink).count()
     # second run: new files plus a replay of old ids under a fresh checkpoint
     reqs.write.parquet(f"{src}/part2")
-    q = generate_stream(spark, f"{src}/*", sink, ck + "2", LabelStubClient)
+    q = generate_stream(spark, f"{src}/*", sink, ck + "2", LabelStubClient, request_cols=("id", "messages", "quality"))
     q.awaitTermination()
     ids = [r.id for r in spark.read.json(sink).collect()]
     assert first == 10 and len(ids) == 20 and len(set(ids)) == 20
 
 
+def test_generate_stream_sends_messages_and_tries_failed_rows_again(spark):
+    from chatsift.streaming.jobs import generate_stream
+
+    root = tempfile.mkdtemp(prefix="cs-gen-")
+    src, sink, ck, up = f"{root}/src", f"{root}/sink", f"{root}/ck", f"{root}/up"
+
+    class Echo:
+        def __init__(self, endpoint="default"):
+            pass
+
+        def complete(self, request, **_options):
+            import os
+
+            if request["id"] == 3 and not os.path.exists(up):
+                raise RuntimeError("down")
+            return {"reply": request["messages"][0]["content"][:2]}
+
+    reqs = spark.range(6).select("id", F.format_string("p%d and more", "id").alias("prompt"),
+                                 F.lit("d").alias("demonstration"), F.lit(1).alias("quality"))
+    reqs.where("id < 4").union(reqs.where("id = 2")).write.parquet(f"{src}/part1")
+    generate_stream(spark, f"{src}/*", sink, ck, Echo).awaitTermination()
+    assert sorted(int(r.id) for r in spark.read.json(sink).collect()) == [0, 1, 2, 2]
+    open(up, "w").close()
+    reqs.where("id >= 4").write.parquet(f"{src}/part2")
+    generate_stream(spark, f"{src}/*", sink, ck, Echo).awaitTermination()
+    rows = spark.read.json(sink).collect()
+    assert sorted(int(r.id) for r in rows) == [0, 1, 2, 2, 3, 4, 5]
+    assert all(r.messages[1].content.endswith(f"p{r.id}") for r in rows)
+
+
+def test_unparsable_verdicts_are_asked_for_again(spark):
+    from chatsift.plans.jobs import states_verdict
+
+    class Third:
+        def __init__(self, endpoint="default"):
+            self.calls = 0
+
+        def complete(self, request, **_options):
+            self.calls += 1
+            return {"reply": "TRUE" if self.calls == 3 else "yes"}
+
+    row = map_model(spark.range(1), Third, request_cols=["id"], attempts=3, accept=states_verdict).first()
+    assert row.reply == "TRUE" and row.error is None
+    row = map_model(spark.range(1), Third, request_cols=["id"], attempts=2, accept=states_verdict).first()
+    assert row.reply is None and "not accepted" in row.error
+
+
 def test_curate_stream_equals_batch(spark):
     from chatsift.plans.jobs import curate
     from chatsift.sources.fixtures import chat_table
