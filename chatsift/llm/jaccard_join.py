@@ -510,14 +510,14 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
 
 
 def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links between blocks of one cluster; ``member`` holds the clusters of several blocks."""
-    def rooted(links):
-        r = connected_components(links).select(F.col("node").alias("r_node"), "root")
+    """Links between blocks of one cluster; ``member`` holds the clusters of several blocks, ``roots`` the components of ``links``."""
+    def rooted(components):
+        r = components.select(F.col("node").alias("r_node"), "root")
         return member.join(r, F.col("set_id") == F.col("r_node"), "left").withColumn(
             "root", F.coalesce("root", "set_id")).drop("r_node")
 
     # Up to 8 sets of each block's component of 32 sets or more, a quarter of a block at most.
-    now = rooted(links)
+    now = rooted(roots)
     sizes = now.groupBy("cluster", "block", "root").agg(F.count(F.lit(1)).alias("held")).where("held >= 32")
     pick = Window.partitionBy("cluster", "block", "root").orderBy(F.xxhash64("set_id"), "set_id")
     chosen = (now.select("cluster", "block", "root", "set_id").join(sizes, ["cluster", "block", "root"])
@@ -528,7 +528,7 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
     links = links.unionByName(arrow_map(_blocked(sample, ["cluster", "block"], ["n", "set_id"]),
                                         _block_links(percent, ["cluster", "block"]), "a long, b long"))
     links = staged(links, "links")
-    now = staged(rooted(links), "rooted")
+    now = staged(rooted(connected_components(links)), "rooted")
     count = now.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("held"))
     main = count.groupBy("cluster").agg(F.max(F.struct("held", "root")).alias("m")).select("cluster", F.col("m.root").alias("main"))
     now = now.join(main, "cluster")
