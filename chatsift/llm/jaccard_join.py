@@ -435,25 +435,17 @@ def _outside_links(percent: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, held in _in_groups(rows, ["cluster", "out_block", "block"]):
             found = []
-            ids, parent = [r["set_id"] for r in held], {}
+            ids = [r["set_id"] for r in held]
             sets = _Sets([r["shingles"] for r in held])
-            roots = np.array([r["root"] for r in held], np.int64)
+            tops = np.array([r["root"] for r in held], np.int64)  # components as the links found here join them
             outer = np.array([r["outer"] for r in held])
-
-            def top(x):
-                while parent.get(x, x) != x:
-                    x = parent[x]
-                return x
-
             for i in np.flatnonzero(outer).tolist():
-                mine = top(int(roots[i]))
-                tops = np.array([top(int(r)) for r in roots])
-                others = np.flatnonzero(~outer & (tops != mine))
+                others = np.flatnonzero(~outer & (tops != tops[i]))
                 hit = others[sets.links(i, others, percent)] if len(others) else others
                 for j in hit.tolist():
-                    a, b = top(int(roots[i])), top(int(roots[j]))
-                    if a != b:
-                        parent[max(a, b)] = min(a, b)
+                    if tops[i] != tops[j]:
+                        low, high = min(tops[i], tops[j]), max(tops[i], tops[j])
+                        tops[tops == high] = low
                         found.append((ids[i], ids[j]))
             yield _edge_batch(found)
     return run
