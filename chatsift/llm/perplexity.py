@@ -13,8 +13,10 @@ the default order 5 is a 40-bit number and the model covers any script.
   measured before, it travels as two sorted arrays to every worker; beyond it,
   distinct n-grams of each row are joined with it instead.
 * Bands: a row's log perplexity is compared with those of its language and
-  length class (median and spread over all rows, by a histogram); outside
-  ``median -/+ width x spread`` it is rejected.
+  length class (median and spread over the different texts, so copies count
+  once); outside ``median -/+ width x spread`` it is rejected.  Classes of few
+  texts take median and spread from their language, languages of few texts from
+  all texts, and no spread falls below what is usual for texts of that length.
 
 Null texts have no words, a null language is a language of its own.
 """
@@ -37,6 +39,9 @@ MAX_BROADCAST = 4_000_000  # entries of 16 bytes: 64 MB a worker
 WINDOW = 8
 BAND_LOW, BAND_HIGH = 5.0, 8.0
 BIN = 1e-3  # width of the histogram's bins of log perplexity
+LOG_BIN = 0.01  # the same for the logarithm of distances times the root of the length
+MIN_TEXTS = 20  # different texts that a class or language needs for a median of its own
+FLOOR = 1.0  # least spread, as a multiple of what is usual for the length
 _MASK = [(1 << (8 * k)) - 1 for k in range(9)]
 
 
@@ -274,6 +279,11 @@ _STATS = ("doc_id long, lang string, n_words long, word_chars long, n_symbols lo
           "n_repeat_words long")
 
 
+def _text_hashes(all_words: list[list[bytes]]) -> pa.Array:
+    """One number for all texts of the same words."""
+    return pa.array(np.array([xxhash.xxh3_64_intdigest(b" ".join(w)) for w in all_words], np.uint64).view(np.int64))
+
+
 def _stat_arrays(batch: pa.RecordBatch, word_ids: dict) -> tuple[list, list[list[bytes]]]:
     rows, all_words = [], []
     if len(word_ids) > 400_000:
@@ -308,8 +318,8 @@ def _scorer(shared, order: int):
             columns = [pa.array(c, pa.int64()) for c in zip(*stats)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("lang"), *columns,
-                 pa.array(sizes), pa.array(-logs / np.maximum(sizes, 1))],
-                names=[c.split()[0] for c in _STATS.split(", ")] + ["n_bytes", "log_ppl"])
+                 _text_hashes(all_words), pa.array(sizes), pa.array(-logs / np.maximum(sizes, 1))],
+                names=[c.split()[0] for c in _STATS.split(", ")] + ["text_hash", "n_bytes", "log_ppl"])
     return run
 
 
@@ -322,8 +332,8 @@ def _statistics(order: int):
             sizes = [len(_units(w, order)) - order + 1 if w else 0 for w in all_words]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row_key"), batch.column("doc_id"), batch.column("lang"),
-                 *[pa.array(c, pa.int64()) for c in zip(*stats)], pa.array(sizes, pa.int64())],
-                names=["row_key"] + [c.split()[0] for c in _STATS.split(", ")] + ["n_bytes"])
+                 *[pa.array(c, pa.int64()) for c in zip(*stats)], _text_hashes(all_words), pa.array(sizes, pa.int64())],
+                names=["row_key"] + [c.split()[0] for c in _STATS.split(", ")] + ["text_hash", "n_bytes"])
     return run
 
 
@@ -379,7 +389,7 @@ def perplexity_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     counts = staged(count_grams(src, order), "kn-grams")
     tables = estimate(counts, order)
     table = staged(model_table(tables), "kn-model")
-    schema = _STATS + ", n_bytes long, log_ppl double"
+    schema = _STATS + ", text_hash long, n_bytes long, log_ppl double"
     if table.count() <= max_broadcast:
         shared = docs.sparkSession.sparkContext.broadcast(_collected(table, order))
         scored = arrow_map(src, _scorer(shared, order), schema)
@@ -387,41 +397,70 @@ def perplexity_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         # Written once, so that the number of a row is the same for both readers.
         keyed = staged(src.withColumn("row_key", F.monotonically_increasing_id()), "kn-rows")
         logs = score_by_join(keyed, tables, order).withColumnRenamed("row_key", "j_key")
-        stats = arrow_map(keyed, _statistics(order), "row_key long, " + _STATS + ", n_bytes long")
+        stats = arrow_map(keyed, _statistics(order), "row_key long, " + _STATS + ", text_hash long, n_bytes long")
         scored = (stats.join(logs, F.col("row_key") == F.col("j_key"), "left").drop("row_key", "j_key")
                   .withColumn("log_ppl", F.coalesce("log_ppl", F.lit(0.0))))
     scored = staged(scored, "kn-scored")
     return _verdict(scored, low, high)
 
 
+def _median(value, width: float):
+    """From a histogram of fixed bins: what is held and sent does not grow with the rows."""
+    return (F.percentile(F.floor(value / width), F.lit(0.5)) + 0.5) * width
+
+
+def _bands(texts: DataFrame) -> DataFrame:
+    """(m_lang, m_class, middle, spread) of every class of ``texts`` (lang, size_class, n_bytes, log_ppl), one row a text.
+
+    A class of fewer than ``MIN_TEXTS`` texts takes those of its language, a
+    language of fewer those of all texts; where all texts are fewer both are null.
+    """
+    none = F.lit(None)
+    pools = F.explode(F.array(*[F.struct(
+        F.lit(k).alias("level"), (F.col("lang") if k < 2 else none.cast("string")).alias("p_lang"),
+        (F.col("size_class") if k < 1 else none.cast("int")).alias("p_class")) for k in range(3)]))
+    pooled = texts.select(pools.alias("pool"), "log_ppl").select("pool.*", "log_ppl")
+    keys = ["level", "p_lang", "p_class"]
+    middles = staged(pooled.groupBy(keys).agg(_median(F.col("log_ppl"), BIN).alias("middle"), F.count(F.lit(1)).alias("n")), "kn-middle")
+    same = ((F.col("level") == F.col("o_level")) & F.col("p_lang").eqNullSafe(F.col("o_lang"))
+            & F.col("p_class").eqNullSafe(F.col("o_class")))
+    away = (pooled.join(middles.toDF("o_level", "o_lang", "o_class", "middle", "n"), same)
+            .groupBy(keys).agg(_median(F.abs(F.col("log_ppl") - F.col("middle")), BIN).alias("away"))
+            .toDF("o_level", "o_lang", "o_class", "away"))
+    found = staged(middles.join(away, same).select(*keys, "middle", "away", "n"), "kn-spread")
+    own = found.where("level = 0").drop("level").toDF("m_lang", "m_class", "middle0", "away0", "n0")
+    of_lang = found.where("level = 1").drop("level", "p_class").toDF("l_lang", "middle1", "away1", "n1")
+    of_all = found.where("level = 2").select("middle", "away", "n").toDF("middle2", "away2", "n2")
+    classes = own.join(of_lang, F.col("m_lang").eqNullSafe(F.col("l_lang"))).crossJoin(of_all)
+    classes = staged(classes.select("m_lang", "m_class", *[
+        F.when(F.col("n0") >= MIN_TEXTS, F.col(x + "0")).when(F.col("n1") >= MIN_TEXTS, F.col(x + "1"))
+        .when(F.col("n2") >= MIN_TEXTS, F.col(x + "2")).alias(x) for x in ("middle", "away")]), "kn-classes")
+    # Means of n bytes lie apart by about 1 / sqrt(n): one figure over all texts says what is usual for each length.
+    far = F.abs(F.col("log_ppl") - F.col("middle")) * F.sqrt("n_bytes")
+    usual = (texts.join(classes, _of_class()).agg(F.exp(_median(F.log(F.greatest(far, F.lit(1e-6))), LOG_BIN)).alias("usual")))
+    least = FLOOR * F.col("usual") / F.sqrt(F.pow(F.lit(2.0), F.col("m_class") + 0.5))
+    return classes.crossJoin(usual).select("m_lang", "m_class", "middle", F.when(
+        F.col("middle").isNotNull(), F.greatest("away", least)).alias("spread"))
+
+
+def _of_class():
+    return F.col("lang").eqNullSafe(F.col("m_lang")) & (F.col("size_class") == F.col("m_class"))
+
+
 def _verdict(scored: DataFrame, low: float, high: float) -> DataFrame:
     """Bands: median -/+ width x spread of log_ppl, per language and class of length (doubling byte counts).
 
-    The spread is 1.4826 x the median distance from the median, both from a
-    histogram of fixed bins, so they cover all rows and no group is collected.
+    The spread is 1.4826 x the median distance from the median.  Without any
+    band (see :func:`_bands`) the base rules alone decide.
     """
     rows = scored.withColumn("size_class", F.floor(F.log2(F.greatest("n_bytes", F.lit(1)))).cast("int"))
-    some = rows.where("n_words > 0")
-
-    def medians(df: DataFrame, value, name: str) -> DataFrame:
-        from pyspark.sql import Window
-
-        bins = df.groupBy("lang", "size_class", F.floor(value / BIN).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-        below = Window.partitionBy("lang", "size_class").orderBy("bin")
-        bins = bins.withColumn("upto", F.sum("n").over(below)).withColumn(
-            "all", F.sum("n").over(Window.partitionBy("lang", "size_class")))
-        return (bins.where(F.col("upto") * 2 >= F.col("all")).groupBy("lang", "size_class")
-                .agg(((F.min("bin") + 0.5) * BIN).alias(name))
-                .select(F.col("lang").alias("m_lang"), F.col("size_class").alias("m_class"), name))
-
-    same = F.col("lang").eqNullSafe(F.col("m_lang")) & (F.col("size_class") == F.col("m_class"))
-    middle = staged(medians(some, F.col("log_ppl"), "middle"), "kn-middle")
-    away = some.join(middle, same).drop("m_lang", "m_class")
-    spread = staged(medians(away, F.abs(F.col("log_ppl") - F.col("middle")), "away"), "kn-spread")
-    out = (rows.join(middle, same, "left").drop("m_lang", "m_class").join(spread, same, "left").drop("m_lang", "m_class")
-           .withColumn("band_low", F.col("middle") - low * 1.4826 * F.col("away"))
-           .withColumn("band_high", F.col("middle") + high * 1.4826 * F.col("away"))
+    texts = staged(rows.where("n_words > 0").groupBy("lang", "size_class", "text_hash")
+                   .agg(F.min("n_bytes").alias("n_bytes"), F.min("log_ppl").alias("log_ppl")), "kn-texts")
+    bands = staged(_bands(texts), "kn-bands")
+    out = (rows.join(bands, _of_class(), "left").drop("m_lang", "m_class")
+           .withColumn("band_low", F.col("middle") - low * 1.4826 * F.col("spread"))
+           .withColumn("band_high", F.col("middle") + high * 1.4826 * F.col("spread"))
            .withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))))
-    inside = F.coalesce(F.col("log_ppl").between(F.col("band_low"), F.col("band_high")), F.lit(False))
+    inside = F.coalesce(F.col("log_ppl").between(F.col("band_low"), F.col("band_high")), F.lit(True))
     return out.select("doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", (~F.col("base_failed") & inside).alias("kept"), "log_ppl", "band_low", "band_high")

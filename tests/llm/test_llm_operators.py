@@ -171,6 +171,56 @@ def test_model_sums_to_one_and_the_join_agrees(spark):
     assert small.keys() == joined.keys() and all(small[k] == pytest.approx(joined[k], abs=1e-5) for k in small)
 
 
+def _scored(spark, rows):
+    """Rows (lang, n_bytes, text_hash, log_ppl) as the scorer gives them, of texts that no base rule rejects."""
+    return spark.createDataFrame([(i, lang, 100, 500, 0, 0, 0, h, n, x) for i, (lang, n, h, x) in enumerate(rows)],
+                                 perplexity._STATS + ", text_hash long, n_bytes long, log_ppl double")
+
+
+def _bands_by_brute_force(rows, least=20):
+    """(middle, spread) of each (lang, class) from plain lists."""
+    texts = {(lang, n.bit_length() - 1, h): (n, x) for lang, n, h, x in rows}
+    pools = collections.defaultdict(list)
+    for (lang, c, _), (n, x) in texts.items():
+        for pool in ((lang, c), (lang,), ()):
+            pools[pool].append(x)
+    chosen = {(lang, c): next((p for p in ((lang, c), (lang,), ()) if len(pools[p]) >= least), None) for lang, c, _ in texts}
+    if None in chosen.values():
+        return {k: None for k in chosen}
+    middle = {p: np.median(v) for p, v in pools.items()}
+    away = {p: np.median(np.abs(np.array(v) - middle[p])) for p, v in pools.items()}
+    usual = np.median([abs(x - middle[chosen[lang, c]]) * n ** 0.5 for (lang, c, _), (n, x) in texts.items()])
+    return {k: (middle[p], max(away[p], usual / 2 ** ((k[1] + 0.5) / 2))) for k, p in chosen.items()}
+
+
+def test_perplexity_bands_by_brute_force(spark):
+    rng = random.Random(3)
+    rows = [("en", 1500, i, rng.gauss(1.5, 0.02)) for i in range(40)]
+    rows += [("en", 1500, 40, 1.52)] * 60 + [("en", 1600, 1000 + i, 1.5 + 1e-6 * i) for i in range(60)]  # copies and near copies
+    rows += [("de", 600, i, rng.gauss(1.3, 0.03)) for i in range(50)] + [("de", 2500, i, rng.gauss(1.3, 0.01)) for i in range(90)]
+    rows += [("de", 9000, 1, 1.31), ("de", 9000, 2, 1.29), ("de", 40_000, 3, 1.3), ("de", 40_001, 3, 5.0)]  # classes of one and two texts
+    rows += [(None, 700, 1, 1.4), ("fr", 1100, 1, 4.0)]
+    got = _rows(perplexity._verdict(_scored(spark, rows), 5.0, 8.0))
+    want = _bands_by_brute_force([r for r in rows if r[3] != 5.0] + [("de", 40_001, 4, 5.0)])
+    assert len(got) == len(rows)
+    for r in got:
+        lang, n, h, x = rows[r["doc_id"]]
+        middle, spread = want[lang, n.bit_length() - 1]
+        assert r["band_low"] == pytest.approx(middle - 5 * 1.4826 * spread, abs=0.01)
+        assert r["band_high"] == pytest.approx(middle + 8 * 1.4826 * spread, abs=0.015)
+        assert r["kept"] == (x not in (4.0, 5.0))  # nothing clean is lost to copies or to a small class; a stray text is
+
+
+def test_perplexity_bands_do_not_collapse_over_copies(spark):
+    rng = random.Random(4)
+    clean = [("en", 1500, i, rng.gauss(1.5, 0.02)) for i in range(60)]
+    bands = [{(r["band_low"], r["band_high"]) for r in _rows(perplexity._verdict(_scored(spark, clean + copies), 5.0, 8.0))}
+             for copies in ([], [clean[0]] * 90)]
+    assert bands[0] == bands[1] and len(bands[0]) == 1
+    few = _rows(perplexity._verdict(_scored(spark, [("en", 1500, 1, 1.5), ("en", 1500, 2, 1.6)]), 5.0, 8.0))
+    assert all(r["kept"] and r["band_low"] is None for r in few)
+
+
 def test_packing_keeps_every_id_in_one_place(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer
