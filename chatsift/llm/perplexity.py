@@ -37,7 +37,7 @@ from chatsift.llm.common import arrow_map, batches, split_words, staged
 ORDER = 5
 MAX_BROADCAST = 4_000_000  # entries of 16 bytes: 64 MB a worker
 WINDOW = 8
-BAND_LOW, BAND_HIGH = 5.0, 8.0
+BAND_LOW, BAND_HIGH = 3.5, 1.75  # best F1 against labels that may be learned from, see README
 BIN = 1e-3  # width of the histogram's bins of log perplexity
 LOG_BIN = 0.01  # the same for the logarithm of distances times the root of the length
 MIN_TEXTS = 20  # different texts that a class or language needs for a median of its own

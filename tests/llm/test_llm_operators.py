@@ -221,6 +221,17 @@ def test_perplexity_bands_do_not_collapse_over_copies(spark):
     assert all(r["kept"] and r["band_low"] is None for r in few)
 
 
+def test_perplexity_bands_reject_low_quality_of_held_out_labels(spark):
+    """The widths were chosen on rows whose crc32 mod 3 is not 1 of another table; these are the others."""
+    sf = SMALL.replace("0.001", "0.1")
+    quality = {r["doc_id"]: r["quality"] for r in pq.read_table(sf + "/labels.parquet").to_pylist()}
+    rows = [(quality[r["doc_id"]], r["kept"]) for r in _rows(QUERIES["op4_perplexity_rules"](spark, sf))
+            if not r["base_failed"] and r["doc_id"] in quality and zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1]
+    bad, good = [k for q, k in rows if q == 0], [k for q, k in rows if q == 1]
+    assert len(bad) >= 50 and len(good) >= 500
+    assert bad.count(False) >= 0.4 * len(bad) and sum(good) >= 0.9 * len(good)
+
+
 def test_packing_keeps_every_id_in_one_place(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer
