@@ -26,8 +26,11 @@ from chatsift.llm.common import arrow_map, batches
 # Element classes of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
-HIDDEN = frozenset("head script style template noscript iframe object svg math canvas audio video datalist "
-                   "noembed noframes title select".split())
+HIDDEN = frozenset("head script style template noscript iframe object canvas audio video datalist "
+                   "noembed noframes title".split())
+#: Inside <svg> only text elements show; inside <math> all but the annotations.
+SVG_HIDDEN = frozenset("title desc defs metadata symbol clippath mask marker pattern lineargradient radialgradient filter".split())
+MATH_HIDDEN = frozenset("annotation annotation-xml".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption "
                   "figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre "
                   "search section summary table tbody td tfoot th thead tr ul caption".split())
@@ -51,7 +54,7 @@ _TAG = re.compile(r"<(?:!--(?P<comment>.*?)(?:-->|\Z)|(?P<decl>[!?])[^>]*>?|/(?P
                   r"|(?P<open>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?P<end>>|\Z)"
                   r"|(?P<loose>[a-zA-Z][^\s/>]*)[^>]*>?)", re.S)
 #: Attributes that matter here; the others are not read.
-_USED = re.compile(r"hidden|style|type|value|alt|colspan|start", re.I)
+_USED = re.compile(r"hidden|style|type|value|alt|colspan|start|selected|label|multiple|size", re.I)
 _ATTR = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _HIDING = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)|content-visibility\s*:\s*hidden)\b", re.I)
 _BLANKS = re.compile(r"[ \t\n\r\f]+")
@@ -63,8 +66,7 @@ class Node:
     def __init__(self, tag: str, attrs: dict | None = None):
         self.tag, self.attrs, self.children = tag, attrs or {}, []
         a = self.attrs
-        self.hidden = bool(a) and ("hidden" in a or a.get("aria-hidden", "").strip().lower() == "true"
-                                   or tag == "input" and a.get("type", "").lower() == "hidden"
+        self.hidden = bool(a) and ("hidden" in a or tag == "input" and a.get("type", "").lower() == "hidden"
                                    or "style" in a and bool(_HIDING.search(a["style"])))
 
 
@@ -132,6 +134,9 @@ def build_tree(page: str) -> Node:
                 stack[-1].children.append(row)
                 push(row)
             node = Node(name, attrs)
+            if (name in MATH_HIDDEN and opened.get("math")
+                    or name in SVG_HIDDEN and opened.get("svg") and not opened.get("foreignobject")):
+                node.hidden = True
             stack[-1].children.append(node)
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}(?=[\s/>]|\Z)[^>]*>?", re.I).search(page, at)
@@ -267,6 +272,57 @@ def _grid(rows: list[list[str]], spans: list[list[int]]) -> list[str]:
     return out
 
 
+def _options(select: Node) -> list[str]:
+    """The labels that a <select> shows: the selected or else first option of a menu, all options of a list box."""
+    found, todo = [], [iter(select.children)]
+    while todo:
+        for node in todo[-1]:
+            if isinstance(node, str) or node.hidden:
+                continue
+            if node.tag == "option":
+                found.append(node)
+            elif node.tag == "optgroup":
+                if node.attrs.get("label"):
+                    found.append(node)
+                todo.append(iter(node.children))
+                break
+            else:
+                todo.append(iter(node.children))
+                break
+        else:
+            todo.pop()
+    rows = select.attrs.get("size", "")
+    if not ("multiple" in select.attrs or rows.isascii() and rows.isdigit() and int(rows) > 1):
+        found = [x for x in found if x.tag == "option"]
+        found = ([x for x in found if "selected" in x.attrs] or found[:1])[-1:]
+    return [x.attrs.get("label") or _all_text(x) for x in found]
+
+
+def _all_text(node: Node) -> str:
+    out, todo = [], [node]
+    while todo:
+        x = todo.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x.tag not in HIDDEN:
+            todo.extend(reversed(x.children))
+    return "".join(out)
+
+
+def _svg_texts(svg: Node) -> list[Node]:
+    """The visible <text> elements and foreign content of an <svg>, in order."""
+    out, todo = [], [svg]
+    while todo:
+        node = todo.pop()
+        if isinstance(node, str) or node.hidden:
+            continue
+        if node.tag in ("text", "foreignobject"):
+            out.append(node)
+        else:
+            todo.extend(reversed(node.children))
+    return out
+
+
 def render(root: Node) -> str:
     """All visible text of a tree.  Walks with its own stack: depth of nesting is no limit."""
     # A frame renders one box: the page, or one cell or caption of a table.
@@ -307,6 +363,14 @@ def render(root: Node) -> str:
         tag = node.tag
         if node.hidden or tag in HIDDEN:
             continue
+        if tag == "select":
+            for label in _options(node):
+                page.inline(f" {label} ")
+            continue
+        if tag == "svg":
+            for x in reversed(_svg_texts(node)):
+                work += [("enter", " ", False, None), ("enter", x, False, None), ("enter", " ", False, None)]
+            continue
         if tag == "br":
             if page.open:
                 page.flush()
@@ -374,7 +438,11 @@ def render(root: Node) -> str:
             label = None
             if number is not None and not isinstance(child, str) and child.tag == "li" and not child.hidden:
                 label, number = number, number + 1
+            if tag == "mfrac" and not isinstance(child, str) and any(not isinstance(x, str) for x in node.children[:i]):
+                children.append(("enter", "/", inner_pre, None))
             children.append(("enter", child, inner_pre, label))
+        if tag == "mtd":
+            children = [("enter", " ", False, None), *children, ("enter", " ", False, None)]
         work.extend(reversed(children))
     return result[0].strip("\n")
 

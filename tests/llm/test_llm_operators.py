@@ -232,6 +232,22 @@ def test_perplexity_bands_reject_low_quality_of_held_out_labels(spark):
     assert bad.count(False) >= 0.4 * len(bad) and sum(good) >= 0.9 * len(good)
 
 
+@pytest.mark.parametrize("page, want", [
+    ("<p>Let <math><mi>x</mi><mo>+</mo><mn>1</mn><annotation>x+1</annotation></math> be</p>", "Let x+1 be"),
+    ("<p>if <math><semantics><mrow><mtext>rate of</mtext> <mi>y</mi></mrow><annotation-xml>z</annotation-xml></semantics></math></p>",
+     "if rate of y"),
+    ("<p>a<svg><title>t</title><desc>d</desc><defs><text>no</text></defs><g><text>North</text><text x=1>South <tspan>pole</tspan></text></g>"
+     "<style>q</style></svg>b</p>", "a North South pole b"),
+    ("<p><math><mfrac><mn>1</mn><mn>2</mn></mfrac></math> <annotation>note</annotation> <desc>seen</desc></p>", "1/2 note seen"),
+    ("<p>Size <select><option>S<option selected>M<option>L</select> now</p>", "Size M now"),
+    ("<p>Size <select><optgroup label=g><option>S</option><option>M</option></optgroup></select> now</p>", "Size S now"),
+    ("<p>Pick <select multiple><option>S<option>M</select></p>", "Pick S M"),
+    ("<p>Save <span aria-hidden=true>now</span> <span hidden>no</span></p>", "Save now"),
+])
+def test_html_shows_formulas_labels_choices_and_aria_hidden(page, want):
+    assert html_text.page_text(page) == want
+
+
 def test_packing_keeps_every_id_in_one_place(spark, documents):
     import public_tokenizers
     from tokenizers import Tokenizer
