@@ -72,3 +72,22 @@ def text_or_empty(name: str = "text"):
 
 
 import pyarrow.compute  # noqa: E402  (binds pa.compute, used above)
+
+
+#: A key with over one part in so many of all rows is hot; there are fewer such keys than this.
+HOT_PARTS = 2000
+
+
+def skewed_left_join(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``values`` (one row for each key, ``count`` = its rows in ``rows``).
+
+    Keys that hold over 1 / ``HOT_PARTS`` of all rows are fewer than ``HOT_PARTS``,
+    so they are broadcast; the rows of all others are joined by a shuffle, in
+    which no key can be larger than that.  Both inputs should be staged.
+    """
+    total = values.agg(F.sum(count)).first()[0] or 0
+    hot = F.broadcast(values.where(F.col(count) * HOT_PARTS > total).drop(count).withColumn("_hot", F.lit(True)))
+    cold = values.where(F.col(count) * HOT_PARTS <= total).drop(count)
+    marked = rows.drop(count).join(hot.select(key, "_hot"), key, "left")
+    return (rows.drop(count).join(hot.drop("_hot"), key)
+            .unionByName(marked.where("_hot is null").drop("_hot").join(cold, key, "left")))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import zlib
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chatsift.llm import (chat_format, exact_dedup, html_text, jaccard_join, line_dedup, mixing, packing, perplexity,
-                          quality_fm, suffix_dedup)
+from chatsift.llm import (chat_format, exact_dedup, hard_negatives, html_text, jaccard_join, line_dedup, mixing, packing,
+                          periodic_runs, perplexity, quality_fm, simhash, suffix_dedup)
 from chatsift.session import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,6 +190,49 @@ def op10(spark, sf_dir):
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@_query("op11_hard_negatives", """
+WITH e AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+    list_dot_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+  FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER o AS rank, s.other AS negative_id, positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+WINDOW o AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.other) QUALIFY rank <= 10""")
+def op11(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.integer_vectors(rows, "vec_id", label, hard_negatives.floor_components("embedding"),
+                                             F.col("vec_id") % 100 == 0)
+    return hard_negatives.mine_hard_negatives(vectors)
+
+
+def repeat_words(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of one row in ten, by the crc32 of its id, from a word on repeated at a fixed distance."""
+    n = len(words)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if not n or h % 10:
+        return words
+    g = h // 10
+    a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@_query("op12_periodic_runs")
+def op12(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs, prepare=repeat_words))
+
+
+@_query("op13_simhash")
+def op13(spark, sf_dir):
+    return simhash.simhash_components(read_table(spark, sf_dir, "documents"))
+
+
 @_query("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline

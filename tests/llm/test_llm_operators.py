@@ -58,7 +58,7 @@ def _rows(df):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SMALL}/{t}.parquet')")
     df = QUERIES[name](spark, SMALL)
     res = con.execute(ORACLE[name])
@@ -69,7 +69,7 @@ def test_query_matches_sql(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {int(m[1]) for k in se.queries() if (m := re.match(r"op(\d+)_", k))} == set(range(1, 11))
+    assert {int(m[1]) for k in se.queries() if (m := re.match(r"op(\d+)_", k))} == set(range(1, 14))
     assert "pipeline" in se.queries()
 
 
