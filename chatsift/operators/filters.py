@@ -65,15 +65,11 @@ def conversation_text(messages: str = MESSAGES) -> Column:
     return join_contents(messages, None)
 
 
-def filter_language(df: DataFrame, profiles: DataFrame, lang: str = "fr", id_col: str = "id",
-                    messages: str = MESSAGES) -> DataFrame:
-    """Keep rows detected as ``lang``; a failed detection drops the row."""
-    from chatsift.operators.lang import detect_lang
-
-    texts = df.select(F.col(id_col), conversation_text(messages).alias("_text"))
-    det = detect_lang(texts, profiles, id_col=id_col, text_col="_text", out_col="_lang")
-    keep = det.where(F.col("_lang") == lang).select(id_col)
-    return df.join(keep, id_col, "left_semi")
+def filter_language(df: DataFrame, profiles: DataFrame, lang: str = "fr", messages: str = MESSAGES) -> DataFrame:
+    """Keep rows detected as ``lang``; a failed detection drops the row.  Row-local: ids play no part."""
+    from chatsift.operators.lang import with_language
+
+    return with_language(df, profiles, conversation_text(messages), "_cs_lang").where(F.col("_cs_lang") == lang).drop("_cs_lang")
 
 
 def filter_by_verdict(df: DataFrame, replies: DataFrame, id_col: str = "id") -> DataFrame:

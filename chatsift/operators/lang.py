@@ -4,16 +4,37 @@ Training (:func:`train_lang_profiles`) is one ``groupBy(lang, gram)`` over
 labelled text; every counted trigram is kept.
 
 Scoring, per text and language, with add-one smoothing over the vocabulary V:
-``score = sum_g cnt(g) * log((c(lang, g) + 1) / (total(lang) + V))`` and
-unseen trigrams take ``log(1 / (total(lang) + V))``; the best score wins (ties
-by language code).  A text with no trigram gets null: the detector "fails".
+``log((c(lang, g) + 1) / (total(lang) + V))`` for each trigram g, and
+``log(1 / (total(lang) + V))`` for an unseen one.  The model's numbers are whole
+millionths, so a score is a sum of integers: it does not depend on the order in
+which grams are added, and ties are exact (the larger language code wins).  A
+text with no trigram gets null: the detector "fails".
+
+A text is scored inside its own row (:func:`with_language`): its trigrams are
+looked up in one sorted array of gram numbers with a weight column per language,
+so nothing is exploded, shuffled or joined by id.  Rows may have null or repeated
+ids.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatsift.session import ship_package, staged
+
+#: (language, trigram) entries of a profile that are sent to every task (at most 28 bytes each, 112 MB);
+#: a larger profile stays a table, with the same results.
+MAX_ENTRIES = 4_000_000
+#: Scores are sums of whole parts of this size.
+UNIT = 1_000_000
+#: Characters scored at a time.
+CHUNK = 1 << 19
+
 
 def lang_text(text) -> Column:
     """Lower-case, letters only, single spaces, padded with one space per side."""
@@ -33,12 +54,8 @@ def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "
     The counts are checkpointed (reliable, in ``spark.checkpoint.dir``):
     they are small and read twice (per-language totals, then the profile).
     """
-    from chatsift.session import checkpoint_root
-
     grams = df.select(F.col(lang_col).alias("lang"), F.explode(trigrams(text_col)).alias("gram"))
-    kept = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt"))
-    checkpoint_root(df.sparkSession)
-    kept = kept.checkpoint()
+    kept = staged(grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt")), "lang-counts")
     stats = kept.groupBy("lang").agg(F.sum("cnt").alias("total")).collect()  # one row per language
     vocab = kept.select("gram").distinct().count()
     total = F.create_map(*[x for r in stats for x in (F.lit(r["lang"]), F.lit(int(r["total"])))])
@@ -50,38 +67,137 @@ def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "
     )
 
 
-def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
-                out_col: str = "detected_lang") -> DataFrame:
-    """``(id, detected_lang)`` for every input row (null when no trigram).
-
-    Plan: explode trigrams -> join with the profile, pivoted to one row per
-    trigram (Spark broadcasts it where its measured size allows) -> one aggregate per id with a sum column
-    per language (partial aggregation inside the task, so only one small
-    record per input row is shuffled) ->
-    arg-max of ``n_grams * unseen + sum(logp - unseen)``.  Ties go to the
-    larger language code.  The language list (bounded) is read on the driver.
+# ----------------------------------------------------------------- scoring ---
+
+def _whole(c: Column) -> Column:
+    return F.round(c * UNIT).cast("long")
+
+
+def _weights(profiles: DataFrame) -> DataFrame:
+    """``(lang, gram, w)``: what a trigram adds to a language's score beyond an unseen one."""
+    return profiles.select("lang", "gram", _whole(F.col("logp") - F.col("unseen_logp")).alias("w"))
+
+
+def _languages(profiles: DataFrame) -> list[tuple[str, int]]:
+    """``(language, whole score of an unseen trigram)`` by code; one row per language."""
+    rows = profiles.groupBy("lang").agg(_whole(F.max("unseen_logp")).alias("u")).orderBy("lang").collect()
+    return [(r["lang"], int(r["u"])) for r in rows]
+
+
+@dataclass
+class ProfileArrays:
+    """A profile as arrays: trigrams as ascending numbers and a weight row for each, one column per language."""
+
+    langs: list[str]
+    unseen: np.ndarray
+    grams: np.ndarray
+    weights: np.ndarray
+
+    @staticmethod
+    def gram_numbers(points: np.ndarray) -> np.ndarray:
+        """Three code points of 21 bits each, for every place but the last two."""
+        p = points.astype(np.uint64)
+        return p[:-2] | p[1:-1] << np.uint64(21) | p[2:] << np.uint64(42)
+
+    @classmethod
+    def load(cls, profiles: DataFrame) -> ProfileArrays:
+        langs = _languages(profiles)
+        place = {lang: i for i, (lang, _) in enumerate(langs)}
+        table = _weights(profiles).toArrow()
+        numbers = cls.gram_numbers(_points(table.column("gram").to_pylist()))[::3]
+        grams, row = np.unique(numbers, return_inverse=True)
+        weights = np.zeros((len(grams), len(langs)), dtype=np.int32)
+        column = np.array([place[x] for x in table.column("lang").to_pylist()], dtype=np.int64)
+        weights[row, column] = table.column("w").to_numpy()
+        return cls([lang for lang, _ in langs], np.array([u for _, u in langs], dtype=np.int64), grams, weights)
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """Score of each text (of :func:`lang_text`) in each language."""
+        out = np.zeros((len(texts), len(self.langs)), dtype=np.int64)
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        at = 0
+        while at < len(texts):
+            if sizes[at] > CHUNK:  # in pieces that share two characters
+                for k in range(0, int(sizes[at]) - 2, CHUNK):
+                    out[at] += self._piece([texts[at][k:k + CHUNK + 2]])[0]
+                at += 1
+                continue
+            stop = at + max(1, int(np.searchsorted(np.cumsum(sizes[at:]), CHUNK, "right")))
+            out[at:stop] = self._piece(texts[at:stop])
+            at = stop
+        return out
+
+    def _piece(self, texts: list[str]) -> np.ndarray:
+        sizes = np.array([len(t) for t in texts], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        counts = np.maximum(sizes - 2, 0)
+        out = counts[:, None] * self.unseen[None, :]
+        if ends[-1] < 3 or not len(self.grams):
+            return out
+        found = self.gram_numbers(_points(texts))  # grams across two texts are passed over below
+        row = np.minimum(np.searchsorted(self.grams, found), len(self.grams) - 1)
+        known = self.grams[row] == found
+        first = ends - sizes
+        for k in range(len(self.langs)):
+            total = np.concatenate([[0], np.cumsum(np.where(known, self.weights[row, k], 0))])
+            out[:, k] += total[np.minimum(first + counts, len(found))] - total[np.minimum(first, len(found))]
+        return out
+
+    def best(self, texts: list[str | None]) -> list[str | None]:
+        """The best language of each text, the larger code on a tie; null for null."""
+        some = [i for i, t in enumerate(texts) if t is not None]
+        out: list[str | None] = [None] * len(texts)
+        if some and self.langs:
+            scores = self.scores([texts[i] for i in some])
+            best = len(self.langs) - 1 - np.argmax(scores[:, ::-1], axis=1)
+            for i, k in zip(some, best):
+                out[i] = self.langs[k]
+        return out
+
+
+def _points(texts: list[str]) -> np.ndarray:
+    return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def language_column(profiles: DataFrame, text: Column) -> Column:
+    """The detected language of ``text`` as a column; the profile (bounded by ``MAX_ENTRIES``) goes to every task once."""
+    spark = profiles.sparkSession
+    ship_package(spark)
+    sent = spark.sparkContext.broadcast(ProfileArrays.load(profiles))
+
+    @F.pandas_udf("string")
+    def best(texts: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.best(texts.tolist()), dtype="object")
+
+    return best(lang_text(text))
+
+
+def with_language(df: DataFrame, profiles: DataFrame, text: Column, out_col: str = "detected_lang",
+                  max_entries: int = MAX_ENTRIES) -> DataFrame:
+    """``df`` with the detected language of ``text`` of every row.
+
+    A profile of more than ``max_entries`` entries (counted here) is not sent to
+    the tasks: rows are staged with a row number, their trigrams joined with the
+    profile, and the sums joined back by that number.
     """
-    langs = [(r["lang"], float(r["unseen_logp"]))
-             for r in profiles.select("lang", "unseen_logp").distinct().orderBy("lang").collect()]
-    # One row per trigram with a delta column per language: each text trigram joins one row.
-    delta = F.col("logp") - F.col("unseen_logp")
-    wide = profiles.groupBy("gram").agg(
-        *[F.sum(F.when(F.col("lang") == l, delta)).alias(f"_d{i}") for i, (l, _) in enumerate(langs)]
-    )
-    base = df.select(F.col(id_col).alias("_id"), trigrams(text_col).alias("_g"))
-    grams = base.select("_id", F.coalesce(F.size("_g"), F.lit(0)).alias("_n"), F.explode_outer("_g").alias("gram"))
-    joined = grams.join(wide, "gram", "left")
-    aggs = [F.max("_n").alias("_n")] + [F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(langs))]
-    per_id = joined.groupBy("_id").agg(*aggs)
-    scores = [
-        F.struct(
-            F.round(F.col("_n") * F.lit(u) + F.coalesce(F.col(f"_s{i}"), F.lit(0.0)), 6).alias("s"),
-            F.lit(l).alias("l"),
-        )
-        for i, (l, u) in enumerate(langs)
-    ]
+    if profiles.count() <= max_entries:
+        return df.withColumn(out_col, language_column(profiles, text))
+    langs = _languages(profiles)
+    wide = _weights(profiles).groupBy("gram").agg(
+        *[F.sum(F.when(F.col("lang") == lang, F.col("w"))).alias(f"_d{i}") for i, (lang, _) in enumerate(langs)])
+    rows = staged(df.withColumns({"_lang_row": F.monotonically_increasing_id(), "_lang_text": lang_text(text)}), "lang-rows")
+    grams = rows.select("_lang_row", F.explode(F.regexp_extract_all("_lang_text", F.lit("(?=(.{3}))"), 1)).alias("gram"))
+    sums = grams.join(wide, "gram", "left").groupBy("_lang_row").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_d{i}").alias(f"_s{i}") for i in range(len(langs))])
+    scores = [F.struct((F.col("_n") * u + F.coalesce(F.col(f"_s{i}"), F.lit(0))).alias("s"), F.lit(lang).alias("l"))
+              for i, (lang, u) in enumerate(langs)]
     best = F.greatest(*scores) if len(scores) > 1 else scores[0]
-    return per_id.select(
-        F.col("_id").alias(id_col),
-        F.when(F.col("_n") > 0, best["l"]).alias(out_col),
-    )
+    named = sums.select("_lang_row", best["l"].alias(out_col))
+    return rows.join(named, "_lang_row", "left").drop("_lang_row", "_lang_text")
+
+
+def detect_lang(df: DataFrame, profiles: DataFrame, id_col: str = "id", text_col: str = "text",
+                out_col: str = "detected_lang", max_entries: int = MAX_ENTRIES) -> DataFrame:
+    """``(id, detected_lang)`` of every input row (null when no trigram); ids may be null or repeat."""
+    rows = df.select(F.col(id_col), F.col(text_col).alias("_text"))
+    return with_language(rows, profiles, F.col("_text"), out_col, max_entries).drop("_text")

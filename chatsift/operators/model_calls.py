@@ -26,7 +26,7 @@ REPLY_SCHEMA = "id string, reply string, finish_reason string, completion_tokens
 
 @dataclass(frozen=True)
 class SamplingOptions:
-    """Request options handed to the client (fixed defaults of the two jobs)."""
+    """Request options handed to the client (fixed defaults of the three jobs)."""
 
     temperature: float
     top_p: float
@@ -35,6 +35,7 @@ class SamplingOptions:
 
 JUDGE_OPTIONS = SamplingOptions(temperature=0.15, top_p=0.1, max_tokens=10)
 GENERATION_OPTIONS = SamplingOptions(temperature=0.6, top_p=0.95)
+LOOP_OPTIONS = SamplingOptions(temperature=0.6, top_p=1.0, max_tokens=32768)
 
 
 def _call(client, request: dict, options: dict, attempts: int, retry_empty: bool,

@@ -1,17 +1,29 @@
-"""Partitioning helpers: parallelism for CPU-heavy row-local work, size-checked
-broadcasts, and an exact distributed "n-th smallest key" used by limits,
-samples and splits (so none of them funnels n rows through one task).
+"""Partitioning helpers: parallelism for CPU-heavy row-local work, joins that hot
+keys cannot stall, exact order statistics by counting, and running sums.
+
+Order statistics count rows in ranges of values that narrow from pass to pass; a
+pass reads a staged narrow table, and neither a task nor the driver ever holds
+more than the counts of its ranges.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+from itertools import accumulate
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Rows above which a computed side is never broadcast explicitly (checked
-# against a proven bound, e.g. languages x top-k profile rows); beyond it the
-# join is left to AQE (runtime sizes) and falls back to a shuffle join.
-BROADCAST_MAX_ROWS = 2_000_000
+from chatsift.session import staged
+
+#: Ranges that one counting pass tells apart.
+RANGES = 1 << 16
+#: A range of at most so many rows is counted value by value.
+FEW = 50_000
+#: A key that holds over one part in so many of all rows is hot; there are fewer such keys than this.
+HOT_PARTS = 2000
+#: Ranges per group that one counting pass of :func:`grouped_quantile` tells apart.
+GROUP_RANGES = 4096
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
@@ -44,167 +56,141 @@ def hash_prefix_long(md5_hex: Column) -> Column:
     return F.conv(F.substring(md5_hex, 1, 15), 16, 10).cast("long")
 
 
-def nth_smallest(df: DataFrame, num_col: str, tie_cols: list[str], n: int,
-                 accuracy: int = 100_000, stats=None, materialize: bool = False) -> tuple | None:
-    """The n-th smallest ``(num_col, *tie_cols)`` key (1-based), exactly.
-
-    ``num_col`` is numeric; ``tie_cols`` make keys unique.  One approximate
-    quantile pass gives a narrow band [lo, hi] around rank n (rank error at
-    most N / accuracy); one pass counts the rows below and inside it; only the
-    band's keys (a small fraction of the table) are sorted to find the exact
-    key.  Returns None when n exceeds the row count.
+def skewed_left_join(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """``rows`` with the columns of ``values`` (one row per key; ``count`` = the key's rows in ``rows``), left outer.
 
-    The search makes three or four passes over the key columns.  Over a scan
-    they read only those columns (column pruning), which is cheaper than
-    writing them out; over an expensive upstream plan pass
-    ``materialize=True`` to checkpoint the narrow key table once first.
+    Keys that hold over 1 / ``HOT_PARTS`` of all rows are fewer than ``HOT_PARTS``,
+    so they are broadcast; the rows of all others are joined by a shuffle, in
+    which no key can be larger than that.  Both inputs should be staged.
     """
-    if n <= 0:
-        return None
-    keys = df.select(num_col, *tie_cols)
-    if materialize:
-        from chatsift.session import checkpoint_root
-
-        checkpoint_root(df.sparkSession)
-        keys = keys.checkpoint()
-    if stats is None:
-        stats = key_stats(keys, num_col)
-    total = stats["n"]
-    if n > total:
-        return None
-    slack = 2.0 / accuracy
-    while True:
-        q_lo = max(0.0, n / total - slack)
-        q_hi = min(1.0, n / total + slack)
-        if q_lo <= 0.0 and q_hi >= 1.0:
-            lo, hi = stats["lo"], stats["hi"]
-        else:
-            qs = keys.agg(F.percentile_approx(num_col, [q_lo, q_hi], accuracy)).first()[0]
-            lo = stats["lo"] if q_lo <= 0.0 else qs[0]
-            hi = stats["hi"] if q_hi >= 1.0 else qs[1]
-        c = keys.agg(
-            F.sum(F.when(F.col(num_col) < lo, 1).otherwise(0)).alias("below"),
-            F.sum(F.when(F.col(num_col).between(lo, hi), 1).otherwise(0)).alias("band"),
-        ).first()
-        below, band = c["below"] or 0, c["band"] or 0
-        if below < n <= below + band:
-            break
-        slack *= 4  # the approximation missed: widen the band and retry
-    order = [F.col(num_col)] + [F.col(t) for t in tie_cols]
-    rank_in_band = n - below
-    row = (
-        keys.where(F.col(num_col).between(lo, hi))
-        .select(num_col, *tie_cols)
-        .orderBy(*order)
-        .offset(rank_in_band - 1)
-        .limit(1)
-        .first()
-    )
-    return tuple(row)
+    total = values.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * HOT_PARTS > total
+    hot = F.broadcast(values.where(is_hot).drop(count).withColumn("_hot", F.lit(True)))
+    cold = values.where(~is_hot).drop(count)
+    others = rows.join(hot.select(key, "_hot"), key, "left").where("_hot is null").drop("_hot")
+    return rows.join(hot.drop("_hot"), key).unionByName(others.join(cold, key, "left"))
+
+
+# -------------------------------------------------------- order statistics ---
+
+@dataclass(frozen=True)
+class Cut:
+    """The n-th smallest key: ``below`` rows have a smaller one and ``ties`` rows this one."""
+
+    value: int
+    below: int
+    ties: int
 
 
 def key_stats(df: DataFrame, num_col: str):
     """``(n, lo, hi)``: row count, min and max of the key (one pass)."""
-    return df.agg(F.count(F.lit(1)).alias("n"), F.min(num_col).alias("lo"), F.max(num_col).alias("hi")).first()
-
+    return df.agg(F.count(num_col).alias("n"), F.min(num_col).alias("lo"), F.max(num_col).alias("hi")).first()
 
-def key_at_most(num_col: str, tie_cols: list[str], cut: tuple) -> Column:
-    """Lexicographic ``(num_col, *tie_cols) <= cut`` as a Column."""
-    cols = [num_col] + list(tie_cols)
-    cond = F.lit(True)
-    # Build from the last column backwards: a < b or (a == b and rest <= ...).
-    for i in range(len(cols) - 1, -1, -1):
-        c, v = F.col(cols[i]), F.lit(cut[i])
-        cond = (c < v) | ((c == v) & cond)
-    return cond
 
+def nth_key(keys: DataFrame, key: str, n: int, stats: tuple[int, int, int] | None = None) -> Cut | None:
+    """The n-th smallest (1-based) value of the long ``key``, nulls left out; None where there are fewer rows.
 
-def grouped_quantile(df: DataFrame, group_cols: list[str], value_col: str, q: float,
-                     accuracy: int = 10_000, out_col: str = "quantile") -> DataFrame:
-    """Exact linear-interpolated quantile per group, in bounded memory.
-
-    Same result as ``percentile(value, q)`` (position ``q * (n - 1)``), but no
-    group's values are buffered whole: an approximate-quantile pass gives a
-    band around the target ranks (rank error at most n / accuracy, the band is
-    three times that), and only the band's distinct values with their counts
-    are gathered per group.  A band that misses the target rank raises
-    (never a silently wrong answer).  Null values are ignored; a group with
-    no values gets null.
-    """
-    v = F.col(value_col).cast("double")
-    vals = df.select(*group_cols, v.alias("_v")).where(F.col("_v").isNotNull())
-    slack = 3.0 / accuracy
-    q_lo, q_hi = max(q - slack, 0.0), min(q + slack, 1.0)
-    stats = vals.groupBy(*group_cols).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", [q_lo, q_hi], accuracy).alias("_qs"),
-    ).select(
-        *group_cols, "_n",
-        # Groups smaller than ``accuracy`` use their whole range (at most
-        # ``accuracy`` values); in larger ones the band spans >= 2 extra ranks,
-        # covering the approximation error and the rank convention (ceil(q n)
-        # versus interpolation at q (n - 1)).
-        F.when(F.col("_n") < accuracy, F.col("_min"))
-        .otherwise(F.col("_min") if q_lo <= 0.0 else F.col("_qs")[0]).alias("_lo"),
-        F.when(F.col("_n") < accuracy, F.col("_max"))
-        .otherwise(F.col("_max") if q_hi >= 1.0 else F.col("_qs")[1]).alias("_hi"),
-    )
-    # One stats row per group: a shuffle join on the group key (AQE may broadcast it).
-    tagged = vals.join(stats, group_cols)
-    in_band = F.col("_v").between(F.col("_lo"), F.col("_hi"))
-    below = tagged.groupBy(*group_cols).agg(F.sum(F.when(F.col("_v") < F.col("_lo"), 1).otherwise(0)).alias("_below"))
-    band = (
-        tagged.where(in_band).groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_c"))
-        .groupBy(*group_cols).agg(F.sort_array(F.collect_list(F.struct("_v", "_c"))).alias("_band"))
-    )
-    g = stats.join(below, group_cols).join(band, group_cols, "left")
-    pos = F.lit(q) * (F.col("_n") - 1)
-    k = F.floor(pos).cast("long")
-    frac = pos - k
-
-    def value_at(rank: Column) -> Column:
-        # Walk the sorted (value, count) band until the cumulative count passes rank.
-        target = rank - F.col("_below")
-        acc0 = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(None).cast("double").alias("v"))
-        return F.aggregate(
-            F.col("_band"), acc0,
-            lambda acc, e: F.struct(
-                (acc["seen"] + e["_c"]).alias("seen"),
-                F.when(acc["v"].isNull() & (acc["seen"] + e["_c"] > target), e["_v"]).otherwise(acc["v"]).alias("v"),
-            ),
-            lambda acc: acc["v"],
-        )
-
-    v_k = value_at(k)
-    v_k1 = value_at(F.least(k + 1, F.col("_n") - 1))
-    result = v_k + frac * (v_k1 - v_k)
-    missed = F.col("_n").isNotNull() & (v_k.isNull() | v_k1.isNull())
-    return g.select(
-        *group_cols,
-        F.when(missed, F.raise_error(F.lit("grouped_quantile: approximate band missed the target rank")))
-        .otherwise(result).alias(out_col),
-    )
-
-
-def nth_key(df: DataFrame, key: str, n: int) -> tuple[int, int] | None:
-    """``(value, below)``: the n-th smallest value of the non-null long ``key`` and how many rows are below it.
-
-    None where there are n rows or fewer.  Each step counts rows in at most
-    1,025 ranges of equal width and goes on inside one of them, so it ends after
-    seven steps at most, ties or not, and the driver sees counts only.
+    ``keys`` should be a staged narrow table.  One pass counts rows in ``RANGES``
+    ranges between the least and the greatest key; a range of few rows or
+    values is then counted value by value.  For keys that spread evenly that is
+    two passes up to ``RANGES * FEW`` (3 * 10^9) rows and one more for each
+    further factor of ``RANGES``, ties or not.
     """
-    n_rows, lo, hi = key_stats(df, key)
-    if n >= n_rows:
+    rows, lo, hi = stats or key_stats(keys, key)
+    if not 1 <= n <= rows:
         return None
     below = 0
-    while lo < hi:
-        width = (hi - lo) // 1024 + 1
-        part = F.expr(f"CAST((CAST(`{key}` AS DECIMAL(20,0)) - {lo}BD) DIV {width}BD AS LONG)")
-        counts = df.where(F.col(key).between(lo, hi)).groupBy(part.alias("part")).count().collect()
-        for p, c in sorted(map(tuple, counts)):
+    while True:
+        width = (hi - lo) // RANGES + 1
+        inside = keys.where(F.col(key).between(lo, hi))
+        whole = width == 1 or rows <= FEW
+        part = F.col(key) if whole else F.expr(
+            f"CAST((CAST(`{key}` AS DECIMAL(20,0)) - {lo}BD) DIV {width}BD AS LONG)")
+        counts = inside.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("c")).toArrow()
+        for p, c in sorted(zip(counts.column("part").to_pylist(), counts.column("c").to_pylist())):
             if below + c >= n:
-                lo, hi = lo + p * width, min(hi, lo + (p + 1) * width - 1)
                 break
             below += c
-    return lo, below
+        if whole:
+            return Cut(p, below, c)
+        lo, hi, rows = lo + p * width, min(hi, lo + (p + 1) * width - 1), c
+
+
+def grouped_quantile(df: DataFrame, group_cols: list[str], value_col: str, q: float,
+                     out_col: str = "quantile", ranges: int = GROUP_RANGES) -> DataFrame:
+    """Exact linear-interpolated quantile per group: what ``percentile(value, q)`` gives (position ``q * (n - 1)``).
+
+    The rows of a group are never gathered.  Each pass counts, for all groups at
+    once, the rows in ``ranges`` ranges between the least and the greatest value
+    still in question, by (group, range), combined before the shuffle; it goes on
+    inside the range that holds the wanted rank until that range holds one value.
+    So a group of any size, or any number of ties, is spread over the tasks; the
+    states of groups are one row each, and hot groups get theirs by a broadcast
+    of bounded size.  The value after the wanted one comes along.
+
+    Null and NaN values are left out; a group without values, and one with a
+    null in ``group_cols``, gives no row.
+    """
+    v = F.col(value_col).cast("double")
+    known = F.lit(True)
+    for c in group_cols:
+        known = known & F.col(c).isNotNull()
+    vals = staged(df.where(known & v.isNotNull() & ~F.isnan(v)).select(F.struct(*group_cols).alias("_g"), v.alias("_v")),
+                  "quantile-values")
+    pos = F.lit(float(q)) * (F.col("_n") - 1)
+    finite = F.abs(F.col("_v")) < float("inf")
+    state = vals.groupBy("_g").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"),
+        F.min(F.when(finite, F.col("_v"))).alias("_flo"), F.max(F.when(finite, F.col("_v"))).alias("_fhi"))
+    state = staged(state.select("_g", "_n", F.floor(pos).cast("long").alias("_k"), (pos - F.floor(pos)).alias("_frac"),
+                                "_lo", "_hi", "_flo", "_fhi", F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_c"),
+                                F.lit(None).cast("double").alias("_next")), "quantile-state")
+    while True:
+        open_groups = state.where("_hi > _lo")
+        if open_groups.isEmpty():
+            break
+        seen = skewed_left_join(vals, open_groups.select("_g", "_n", "_lo", "_hi", "_flo", "_fhi"), "_g", "_n")
+        # Halves, as the span of two doubles may exceed a double; the ends have ranges of their own, so each pass narrows.
+        step = (F.col("_v") / 2 - F.col("_flo") / 2) / (F.col("_fhi") / 2 - F.col("_flo") / 2) * ranges
+        part = (F.when(F.col("_v") == float("inf"), ranges + 2).when(F.col("_v") == float("-inf"), -2)
+                .when(F.col("_v") == F.col("_flo"), -1).when(F.col("_v") == F.col("_fhi"), ranges + 1)
+                .otherwise(F.coalesce(F.least(F.floor(step).cast("long"), F.lit(ranges)), F.lit(0))))
+        counts = (seen.where(F.col("_v").between(F.col("_lo"), F.col("_hi"))).groupBy("_g", part.alias("_part"))
+                  .agg(F.count(F.lit(1)).alias("_pc"), F.min("_v").alias("_plo"), F.max("_v").alias("_phi")))
+        # At most ranges + 5 rows a group.
+        order = Window.partitionBy("_g").orderBy("_part")
+        counts = counts.withColumns({"_upto": F.sum("_pc").over(order), "_after": F.lead("_plo").over(order)})
+        old = state.drop("_lo", "_hi", "_flo", "_fhi", "_c")
+        found = (counts.join(old, "_g").where((F.col("_below") + F.col("_upto") > F.col("_k"))
+                                              & (F.col("_below") + F.col("_upto") - F.col("_pc") <= F.col("_k")))
+                 .select("_g", "_n", "_k", "_frac", F.col("_plo").alias("_lo"), F.col("_phi").alias("_hi"),
+                         F.when(F.abs("_plo") < float("inf"), F.col("_plo")).alias("_flo"),
+                         F.when(F.abs("_phi") < float("inf"), F.col("_phi")).alias("_fhi"),
+                         (F.col("_below") + F.col("_upto") - F.col("_pc")).alias("_below"), F.col("_pc").alias("_c"),
+                         F.coalesce("_after", "_next").alias("_next")))
+        state = staged(found.unionByName(state.where("_hi <= _lo")), "quantile-state")
+    later = F.when(F.col("_below") + F.col("_c") > F.col("_k") + 1, F.col("_lo")).otherwise(F.coalesce("_next", "_lo"))
+    value = F.when(F.col("_frac") == 0, F.col("_lo")).otherwise(F.col("_lo") + F.col("_frac") * (later - F.col("_lo")))
+    return state.select("_g.*", value.alias(out_col), F.col("_n").alias("_group_rows"))
+
+
+# ------------------------------------------------------------ running sums ---
+
+def running_sum(df: DataFrame, order_col: str, value_col: str, out_col: str) -> DataFrame:
+    """``df`` with the sum of ``value_col`` up to and including each row in the order of ``order_col`` (nulls first).
+
+    Two levels: rows are dealt over ranges of the order, each range is summed
+    (one number per range goes through the driver), and a window inside a range
+    starts from the sum of the ranges before.  No window spans all rows.
+    """
+    spark = df.sparkSession
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions", "1")), 1)
+    dealt = staged(df.repartitionByRange(parts, order_col).withColumn("_part", F.spark_partition_id()), "ranges")
+    sums = sorted(tuple(r) for r in dealt.groupBy("_part").agg(F.sum(value_col)).collect())
+    ends = list(accumulate(s or 0 for _, s in sums))
+    before = {p: e - (s or 0) for (p, s), e in zip(sums, ends)}
+    offset = F.create_map(*[x for p, b in before.items() for x in (F.lit(p), F.lit(b))]) if before else None
+    inside = F.coalesce(F.sum(value_col).over(
+        Window.partitionBy("_part").orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
+    total = inside if offset is None else inside + offset[F.col("_part")]
+    return dealt.withColumn(out_col, total).drop("_part")

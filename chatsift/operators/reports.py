@@ -1,17 +1,18 @@
 """Reports and summaries (A1-A11): one aggregation pass each.
 
 Global statistics never gather raw values in one task: counts, sums, min/max
-and averages are partial aggregates; the median uses the exact distributed
-cut of :func:`chatsift.operators.partitioning.nth_smallest`.
+and averages are partial aggregates; the median comes from the running counts of
+the different values (:func:`chatsift.operators.partitioning.running_sum`).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chatsift.functions.text import join_contents, think_contents
-from chatsift.operators.partitioning import nth_smallest
+from chatsift.operators.partitioning import running_sum
+from chatsift.session import staged
 
 # Report layout and display names.
 BAR_WIDTH = 30
@@ -36,15 +37,8 @@ def stage_funnel(df: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
     counted by a single partial aggregate; the few result rows come from
     ``stack``.
     """
-    cum = F.lit(True)
-    flags = []
-    for name, pred in stages:
-        cum = cum & F.coalesce(pred, F.lit(False))
-        flags.append(cum)
-    sums = [F.count(F.lit(1)).alias("n0")] + [
-        F.sum(f.cast("long")).alias(f"n{i + 1}") for i, f in enumerate(flags)
-    ]
-    agg = df.agg(*sums).select(*[F.coalesce(F.col(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(stages) + 1)])
+    agg = df.agg(*funnel_counts(stages)).select(
+        *[F.coalesce(F.col(f"n{i}"), F.lit(0)).alias(f"n{i}") for i in range(len(stages) + 1)])
     rows = []
     for i, (name, _) in enumerate(stages):
         rows += [F.lit(i + 1), F.lit(name), F.col(f"n{i}"), F.col(f"n{i + 1}")]
@@ -57,12 +51,29 @@ def stage_funnel(df: DataFrame, stages: list[tuple[str, Column]]) -> DataFrame:
     return out.withColumn("removed", F.col("before") - F.col("after"))
 
 
+def funnel_counts(stages: list[tuple[str, Column]]) -> list[Column]:
+    """Aggregates ``n0, n1, ...``: all rows, then those that passed the stages so far (for ``agg`` or ``observe``)."""
+    cum = F.lit(True)
+    counts = [F.count(F.lit(1)).alias("n0")]
+    for i, (_, pred) in enumerate(stages):
+        cum = cum & F.coalesce(pred, F.lit(False))
+        counts.append(F.sum(cum.cast("long")).alias(f"n{i + 1}"))
+    return counts
+
+
+def funnel_rows(spark, names: list[str], counts: list[int]) -> DataFrame:
+    """The table of :func:`stage_funnel` from counted numbers: ``counts`` has one more entry than ``names``."""
+    rows = [(i + 1, name, counts[i], counts[i + 1], counts[i] - counts[i + 1]) for i, name in enumerate(names)]
+    rows.append((len(names) + 1, "TOTAL", counts[0], counts[-1], counts[0] - counts[-1]))
+    return spark.createDataFrame(rows, "stage_order int, stage string, before long, after long, removed long")
+
+
 def freq_table(df: DataFrame, col: str | Column, label: str = "label") -> DataFrame:
     """``label, count, pct, bar`` like the console tables of the reference.
 
     ``pct = 100 * count / total``; the bar has ``int(30 * count / total)`` pipes
-    padded with dots.  The total is a window over the grouped rows (one per
-    distinct label), never over raw rows.
+    padded with dots.  The grouped rows (one per distinct label) are staged and
+    their total is one number.
     """
     c = F.col(col) if isinstance(col, str) else col
     grouped = df.groupBy(c.alias(label)).agg(F.count(F.lit(1)).alias("count"))
@@ -70,8 +81,8 @@ def freq_table(df: DataFrame, col: str | Column, label: str = "label") -> DataFr
 
 
 def _with_pct_bar(grouped: DataFrame) -> DataFrame:
-    total = F.sum("count").over(Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    g = grouped.withColumn("_total", total)
+    grouped = staged(grouped, "labels")
+    g = grouped.withColumn("_total", F.lit(grouped.agg(F.sum("count")).first()[0] or 0))
     filled = F.when(F.col("_total") > 0, F.floor(F.lit(BAR_WIDTH) * F.col("count") / F.col("_total"))).otherwise(0).cast("int")
     return g.select(
         "*",
@@ -86,14 +97,13 @@ def finish_reason_report(df: DataFrame, finish_col: str = "finish_reason") -> Da
 
 def thinking_language_key(df: DataFrame, profiles: DataFrame, id_col: str = "id",
                           messages: str = "messages") -> DataFrame:
-    """``(id, lang_key)``: ``no_think`` without closed reasoning, else the detected
+    """``(id, lang_key)`` of every row: ``no_think`` without closed reasoning, else the detected
     language of the reasoning text, ``unknown`` when detection fails."""
-    from chatsift.operators.lang import detect_lang
+    from chatsift.operators.lang import with_language
 
     tc = think_contents(messages)
     base = df.select(F.col(id_col), F.when(F.size(tc) > 0, F.array_join(tc, " ")).alias("_think"))
-    det = detect_lang(base, profiles, id_col=id_col, text_col="_think", out_col="_lang")
-    return base.join(det, id_col).select(
+    return with_language(base, profiles, F.col("_think"), "_lang").select(
         id_col,
         F.when(F.col("_think").isNull(), F.lit("no_think"))
         .otherwise(F.coalesce(F.col("_lang"), F.lit("unknown"))).alias("lang_key"),
@@ -134,38 +144,38 @@ def completion_token_stats(df: DataFrame, col: str = "completion_tokens") -> Dat
     ).where(F.col("n") > 0)
 
 
-def upper_median(df: DataFrame, col: str) -> float | None:
-    """``sorted(values)[n // 2]`` over non-null values, exact and distributed.
+def _value_counts(df: DataFrame, col: str) -> DataFrame:
+    """``(value, c, seen)`` of the non-null values: rows of each value, and of all values up to it.
 
-    The values are checkpointed first (one narrow column), so the expression
-    producing them runs once however many passes the cut search takes.
+    Counting is combined before the shuffle, so the table has one row per
+    different value; it is staged once.
     """
-    from chatsift.operators.partitioning import key_stats
-    from chatsift.session import checkpoint_root
+    counts = df.where(F.col(col).isNotNull()).groupBy(F.col(col).alias("value")).agg(F.count(F.lit(1)).alias("c"))
+    return running_sum(counts, "value", "c", "seen")
+
+
+def _upper_median(counts: DataFrame, total: int):
+    return counts.where(F.col("seen") > total // 2).agg(F.min("value")).first()[0] if total else None
+
 
-    checkpoint_root(df.sparkSession)
-    vals = df.select(col).where(F.col(col).isNotNull()).checkpoint()
-    stats = key_stats(vals, col)
-    if stats["n"] == 0:
-        return None
-    return nth_smallest(vals, col, [], stats["n"] // 2 + 1, stats=stats)[0]
+def upper_median(df: DataFrame, col: str):
+    """``sorted(values)[n // 2]`` over non-null values, exact and distributed."""
+    counts = _value_counts(df, col)
+    return _upper_median(counts, counts.agg(F.sum("c")).first()[0] or 0)
 
 
 def token_stats(df: DataFrame, col: str = "tokens") -> DataFrame:
     """count, average, upper median, min and max of a token-length column.
 
-    The lengths are computed once into a checkpoint; the summary and the
-    median both read that narrow table.
+    The texts are read once: everything comes from the counts of the different lengths.
     """
-    from chatsift.session import checkpoint_root
-
-    checkpoint_root(df.sparkSession)
-    lengths = df.select(col).checkpoint()
-    med = upper_median(lengths, col)
-    return lengths.agg(
-        F.count(col).alias("samples"), F.round(F.avg(col), 6).alias("avg_tokens"),
-        F.min(col).alias("min_tokens"), F.max(col).alias("max_tokens"),
-    ).withColumn("median_tokens", F.lit(med).cast("long"))
+    counts = _value_counts(df, col)
+    median = _upper_median(counts, counts.agg(F.sum("c")).first()[0] or 0)
+    n = F.sum("c")
+    return counts.agg(
+        F.coalesce(n, F.lit(0)).alias("samples"), F.round(F.sum(F.col("value") * F.col("c")) / n, 6).alias("avg_tokens"),
+        F.min("value").alias("min_tokens"), F.max("value").alias("max_tokens"),
+    ).withColumn("median_tokens", F.lit(median).cast("long"))
 
 
 def loop_summary(flags: DataFrame) -> DataFrame:

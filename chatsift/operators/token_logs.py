@@ -13,9 +13,11 @@ are one training batch, bounded by batch size x completion length.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatsift.operators.partitioning import grouped_quantile, running_sum, skewed_left_join
+from chatsift.session import staged
 from chatsift.functions.token_arrays import (
     entropy_from_logps, eos_clip, generalized_jsd, is_truncated, log_softmax, selected_logp,
 )
@@ -101,12 +103,18 @@ def masked_mean_metrics(tokens: DataFrame, cols=("entropy",), mask: str = "mask"
     return g.select(*out)
 
 
-def sequence_loss(per_token: DataFrame, value: str = "loss", mask: str = "mask") -> DataFrame:
+def sequence_loss(per_token: DataFrame, value: str = "loss", mask: str = "mask",
+                  value_mask: str | None = None) -> DataFrame:
     """Per-sequence masked mean (denominator at least 1), then the mean over the
-    step's sequences (a sequence mean, not a token mean)."""
+    step's sequences (a sequence mean, not a token mean).
+
+    ``value_mask`` (such as ``entropy_mask``) takes values out of the sum only:
+    the denominator still counts all tokens of ``mask``.
+    """
     m = F.col(mask)
+    v = F.col(value) if value_mask is None else F.when(F.col(value_mask).cast("boolean"), F.col(value)).otherwise(0.0)
     per_seq = per_token.groupBy("step", "seq_id").agg(
-        (F.sum(F.col(value) * m) / F.greatest(F.sum(m), F.lit(1))).alias("_seq")
+        (F.sum(v * m) / F.greatest(F.sum(m), F.lit(1))).alias("_seq")
     )
     return per_seq.groupBy("step").agg(F.round(F.avg("_seq"), 6).alias("loss"))
 
@@ -115,14 +123,18 @@ def high_entropy_mask(tokens: DataFrame, rho: float, mask: str = "mask",
                       entropy: str = "entropy") -> DataFrame:
     """Keep tokens whose entropy is at least the step's (1 - rho) quantile
     (linear interpolation over unmasked tokens); masked tokens never pass and
-    a step without unmasked tokens keeps nothing.  The quantile is exact and
-    never buffers a whole step (see ``grouped_quantile``)."""
-    from chatsift.operators.partitioning import grouped_quantile
+    a step without unmasked tokens keeps nothing.
 
+    The log is computed once (staged).  The quantile is exact and spreads a step
+    of any size over the tasks (``grouped_quantile``); the thresholds, one row per
+    step, come back by a join that a hot step cannot stall.
+    """
     q = 1.0 - rho
+    tokens = staged(tokens, "tokens")
     thr = grouped_quantile(tokens.where(F.col(mask) != 0), ["step"], entropy, q, out_col="threshold")
-    # One threshold row per step: AQE broadcasts it when small, else a shuffle join.
-    out = tokens.join(thr, "step", "left")
+    steps = staged(tokens.groupBy("step").agg(F.count(F.lit(1)).alias("_rows"))
+                   .join(thr.select("step", "threshold"), "step", "left"), "thresholds")
+    out = skewed_left_join(tokens, steps, "step", "_rows")
     keep = F.coalesce((F.col(entropy) * F.col(mask) >= F.col("threshold")) & (F.col(mask) != 0), F.lit(False))
     return out.withColumn("entropy_mask", keep)
 
@@ -148,13 +160,12 @@ def completion_length_stats(seqs: DataFrame, eos_id: int, pad_id: int,
 def tokens_seen(seqs: DataFrame, prompt: str = "prompt_ids", completion: str = "completion_ids") -> DataFrame:
     """Running total of prompt + completion tokens after each step.
 
-    The window runs over the per-step aggregate (one row per step).
+    Summed over the per-step aggregate (one row per step) in two levels, see ``running_sum``.
     """
     per_step = seqs.groupBy("step").agg(
         F.sum(F.size(prompt) + F.size(completion)).cast("long").alias("step_tokens")
     )
-    w = Window.orderBy("step").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return per_step.withColumn("num_tokens", F.sum("step_tokens").over(w))
+    return running_sum(per_step, "step", "step_tokens", "num_tokens")
 
 
 def metric_rollup(metrics: DataFrame, logging_steps: int = 1) -> DataFrame:

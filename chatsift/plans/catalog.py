@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,11 +23,15 @@ from chatsift.operators import token_logs as tl
 from chatsift.operators.lang import detect_lang, train_lang_profiles
 from chatsift.operators.ngrams import ngram_loop, ngram_loop_exploded
 from chatsift.operators.partitioning import spread
+from chatsift.operators.model_calls import LabelStubClient
+from chatsift.operators.stages import Stage
+from chatsift.plans import jobs
 from chatsift.plans import tables as tb
 from chatsift.plans.jobs import curate
-from chatsift.session import read_table, work_path
-from chatsift.sinks.writers import append_jsonl
-from chatsift.sources.datasets import load_split, read_done_ids, read_jsonl_strict
+from chatsift.session import read_table, staged, work_path
+from chatsift.sinks.writers import append_jsonl, release_manifest, write_json_report, write_split
+from chatsift.sources.datasets import load_split, pick_split, read_done_ids, read_jsonl_strict
+from chatsift.streaming.jobs import STREAM_QUERIES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,6 +52,9 @@ LOG_STEPS = 100
 RECENT_N = 10
 BATCH = (2, 2, 4)          # per-device batch, processes, steps per generation
 TEACHER_SYSTEM = "Tu es un professeur."
+JOB_LANG = "fr"
+JOB_MIN_TURNS = 4
+JOB_MAX_CHARS = 6000
 
 
 def query(name: str):
@@ -164,8 +172,8 @@ def q_to_chat(spark, sf_dir):
     t = read_table(spark, sf_dir, "conversations")
     rows = t.groupBy("conv_id").agg(
         F.sort_array(F.collect_list(F.when(F.col("role") == "assistant", F.struct("turn", "text")))).alias("_a"),
-        F.max(F.when(F.col("turn") == 1, F.struct(F.col("role"), F.col("text").alias("content")))).alias("rejected"),
-        F.max(F.when(F.col("turn") == 0, F.col("turn"))).alias("score"),
+        F.max_by(F.struct(F.col("role"), F.col("text").alias("content")), "turn").alias("rejected"),
+        F.when(F.count(F.lit(1)) > 3, F.count(F.lit(1))).alias("score"),
     ).select("conv_id", F.transform("_a", lambda s: s["text"]).alias("chosen"), "rejected", "score")
     out = rows.select(
         "conv_id",
@@ -179,7 +187,7 @@ def q_to_chat(spark, sf_dir):
 
 @query("teacher_prompts")
 def q_teacher_prompts(spark, sf_dir):
-    pairs = tb.first_turns(spark, sf_dir)
+    pairs = tb.turn_pairs(spark, sf_dir)
     pairs = pairs.withColumn(
         "prompt", F.when(F.col("id") % 5 == 0, F.concat("prompt", F.lit(" {completion}"))).otherwise(F.col("prompt"))
     )
@@ -190,17 +198,16 @@ def q_teacher_prompts(spark, sf_dir):
 
 @query("generation_requests")
 def q_generation_requests(spark, sf_dir):
-    pairs = tb.first_turns(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
     req = shp.generation_requests(pairs)
     return req.select("id", _md5_turns(F.col("messages")).alias("request_md5"))
 
 
 @query("assemble_generations")
 def q_assemble_generations(spark, sf_dir):
-    pairs = tb.first_turns(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
     req = shp.generation_requests(pairs)
-    replies = tb.stub_replies(tb.label_requests(req.select("id"), spark, sf_dir))
-    gens = shp.assemble_generations(req.withColumn("id", F.col("id").cast("string")), replies)
+    gens = shp.assemble_generations(None, tb.stub_replies(tb.turn_requests(req, spark, sf_dir), keep=("prompt",)))
     return gens.select(F.col("id").cast("long").alias("id"), _md5_turns(F.col("messages")).alias("messages_md5"),
                        "finish_reason", "completion_tokens")
 
@@ -335,7 +342,7 @@ def q_filter_overlength(spark, sf_dir):
 
 
 def teacher_rows(spark, sf_dir) -> DataFrame:
-    return shp.build_teacher_prompts(tb.first_turns(spark, sf_dir), None, None, TEACHER_SYSTEM)
+    return shp.build_teacher_prompts(tb.turn_pairs(spark, sf_dir), None, None, TEACHER_SYSTEM)
 
 
 @query("filter_long_prompts")
@@ -376,10 +383,17 @@ def q_truncated_flag(spark, sf_dir):
 
 @query("resume_anti")
 def q_resume_anti(spark, sf_dir):
-    pairs = tb.first_turns(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
     done = read_done_ids(spark, tb.write_done_file(spark, sf_dir))
-    remaining = smp.max_samples(smp.resume(pairs, done, "id"), 25, "id")
-    return remaining.select("id")
+    return smp.resume(pairs, done, "id").select("id")
+
+
+@query("resume_limit")
+def q_resume_limit(spark, sf_dir):
+    """L2s: a limit over what remains."""
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    done = staged(read_done_ids(spark, tb.write_done_file(spark, sf_dir)), "done")
+    return smp.max_samples(smp.resume(pairs, done, "id"), 25, "id").select("id")
 
 
 @query("mix")
@@ -434,6 +448,13 @@ def q_funnel_lang(spark, sf_dir):
     return curate(tb.chat(spark, sf_dir), profiles(spark, sf_dir), "fr").funnel
 
 
+@query("funnel_lang_null_id")
+def q_funnel_lang_null_id(spark, sf_dir):
+    """Half of the conversations without an id, the others with one that repeats."""
+    c = tb.chat(spark, sf_dir).withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id") % 9))
+    return curate(c, profiles(spark, sf_dir), "fr").funnel
+
+
 @query("curate_kept")
 def q_curate_kept(spark, sf_dir):
     return curate(tb.chat(spark, sf_dir)).kept.select("id", F.size("messages").alias("n_messages"))
@@ -491,10 +512,10 @@ def q_map_model_stub(spark, sf_dir):
 
 @query("generation_summary")
 def q_generation_summary(spark, sf_dir):
-    pairs = tb.first_turns(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
     done = read_done_ids(spark, tb.write_done_file(spark, sf_dir))
     todo = smp.resume(pairs, done, "id")
-    replies = tb.stub_replies(tb.label_requests(todo.select("id"), spark, sf_dir))
+    replies = tb.stub_replies(tb.turn_requests(todo.select("id"), spark, sf_dir))
     return rep.generation_summary(pairs, done, replies)
 
 
@@ -517,6 +538,14 @@ def q_detect_lang(spark, sf_dir):
     return detect_lang(d, profiles(spark, sf_dir), "doc_id", "text", "detected_lang")
 
 
+@query("detect_lang_repeated_ids")
+def q_detect_lang_repeated_ids(spark, sf_dir):
+    """Ids that are null or repeat: every row is scored by itself."""
+    d = spread(read_table(spark, sf_dir, "documents"))
+    d = d.select(F.when(F.col("doc_id") % 7 != 0, F.col("doc_id") % 50).alias("id"), "text")
+    return detect_lang(d, profiles(spark, sf_dir), "id", "text", "detected_lang")
+
+
 @query("filter_language")
 def q_filter_language(spark, sf_dir):
     return flt.filter_language(tb.chat(spark, sf_dir), profiles(spark, sf_dir), "fr").select("id")
@@ -574,6 +603,15 @@ def q_sequence_loss(spark, sf_dir):
     return tl.sequence_loss(per_token)
 
 
+@query("sequence_loss_masked")
+def q_sequence_loss_masked(spark, sf_dir):
+    """Only tokens of high entropy add to the loss; the mean is over all tokens that bear loss."""
+    s = tl.with_distribution_stats(_dist(spark, sf_dir), alphas=(1.0,))
+    tokens = s.select("step", "seq_id", F.col("div_1_0").alias("loss"), F.col("student_entropy").alias("entropy"),
+                      tl.skip_first("mask", "pos", SKIP_TOKENS).alias("mask"))
+    return tl.sequence_loss(tl.high_entropy_mask(tokens, ENTROPY_RHO), value_mask="entropy_mask")
+
+
 @query("skip_mask")
 def q_skip_mask(spark, sf_dir):
     return _dist(spark, sf_dir).select("step", "seq_id", "pos", tl.skip_first("mask", "pos", SKIP_TOKENS).alias("loss_mask"))
@@ -614,13 +652,6 @@ def q_recent_completions(spark, sf_dir):
         "step", "seq_id", F.array_join("prompt_ids", ",").alias("prompt"), F.size("completion_ids").alias("completion_tokens"))
 
 
-def queries() -> dict[str, Query]:
-    return dict(QUERIES)
-
-
-__all__ = ["QUERIES", "queries"]
-
-
 # ------------------------------------------------------ sinks (round trips) ---
 
 @query("split_roundtrip")
@@ -713,9 +744,105 @@ def q_prepare_distill_train(spark, sf_dir):
     from chatsift.sinks.writers import write_split
 
     root = work_path(spark, "sdft-src")
-    write_split(tb.first_turns(spark, sf_dir).withColumnRenamed("prompt", "query"), root, "train")
+    write_split(tb.turn_pairs(spark, sf_dir).withColumnRenamed("prompt", "query"), root, "train")
     cfg = {"datasets": [{"name": root, "column_map": {"prompt": "query"}}],
            "validation": {"split_size": 5, "seed": SEED},
            "sdft": {"teacher_system_prompt": TEACHER_SYSTEM}}
     train, _ = prepare_distill(spark, cfg, max_prompt_length=PROMPT_MAX)
     return train.select("id", _md5_turns(F.col("teacher_prompt")).alias("teacher_md5"))
+
+
+# --------------------------------------------------- jobs as a whole (E1-E3, E7-E9) ---
+
+def example_stages() -> list[Stage]:
+    """Two user stages: a Column, and a vectorised UDF over the assistant text."""
+    @F.pandas_udf("boolean")
+    def short(texts: pd.Series) -> pd.Series:
+        return texts.str.len() <= JOB_MAX_CHARS
+
+    return [Stage("Turns", F.size("messages") >= JOB_MIN_TURNS),
+            Stage("Answer length", short, (tx.join_contents("messages", "assistant"),))]
+
+
+@query("user_stages")
+def q_user_stages(spark, sf_dir):
+    return curate(tb.chat(spark, sf_dir), user_stages=example_stages()).funnel
+
+
+@query("curate_job")
+def q_curate_job(spark, sf_dir):
+    """E1 with every stage: language, n-grams, user stages and the judge; half of the conversations have no id.
+    The last two rows count the released copies: all rows, and those with an id."""
+    chats = tb.label_requests(tb.chat(spark, sf_dir), spark, sf_dir)
+    root, release = work_path(spark, "curate-src"), work_path(spark, "curate-release")
+    write_split(chats.withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id"))), root, "train")
+    funnel = jobs.run_curate(spark, root, release, profiles(spark, sf_dir), lang=JOB_LANG, user_stages=example_stages(),
+                             client_factory=LabelStubClient, extra_cols=["quality"])
+    out = release_manifest(spark, release, "curated")
+    copies = [(9, "released as parquet", spark.read.parquet(out["parquet"])),
+              (10, "released as JSON lines", spark.read.schema(GEN_SCHEMA).json(out["jsonl"]))]
+    for order, name, rows in copies:
+        counted = rows.agg(F.lit(order).alias("stage_order"), F.lit(name).alias("stage"), F.count(F.lit(1)).alias("before"),
+                           F.count("id").alias("after"))
+        funnel = funnel.unionByName(counted.withColumn("removed", F.col("before") - F.col("after")))
+    return funnel
+
+
+@query("judge_job")
+def q_judge_job(spark, sf_dir):
+    """A saved dataset judged row by row and the accepted rows written as ``train``."""
+    root, out = work_path(spark, "judge-src"), work_path(spark, "judge-out")
+    write_split(tb.label_requests(tb.chat(spark, sf_dir), spark, sf_dir), root, "train")
+    jobs.run_judge(spark, root, out, LabelStubClient, extra_cols=["quality"])
+    return load_split(spark, out, "train").select("id", F.size("messages").alias("n_messages"))
+
+
+@query("generate_job")
+def q_generate_job(spark, sf_dir):
+    """Generation on top of a partly written sink with broken lines; its summary."""
+    root = work_path(spark, "generate-src")
+    pairs = tb.turn_pairs(spark, sf_dir).withColumnRenamed("completion", "demonstration")
+    write_split(tb.turn_requests(pairs, spark, sf_dir), root, "train")
+    return jobs.run_generate(spark, root, tb.write_done_file(spark, sf_dir), LabelStubClient, request_cols=("id", "quality"))
+
+
+@query("pick_split")
+def q_pick_split(spark, sf_dir):
+    """S3: no ``train`` among the saved splits, so the first one."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang")
+    root = work_path(spark, "splits")
+    write_split(docs.where("doc_id % 2 = 1"), root, "second")
+    write_split(docs.where("doc_id % 2 = 0"), root, "first")
+    return load_split(spark, root, pick_split(spark, root))
+
+
+@query("report_generations_job")
+def q_report_generations_job(spark, sf_dir):
+    """All sections of the generation report."""
+    return jobs.report_generations(written_generations(spark, sf_dir), profiles(spark, sf_dir)).table()
+
+
+@query("report_tokens_job")
+def q_report_tokens_job(spark, sf_dir):
+    """Token lengths of whole conversations."""
+    return jobs.report_tokens(tb.chat(spark, sf_dir))
+
+
+@query("report_loops_job")
+def q_report_loops_job(spark, sf_dir):
+    """Sampled questions answered by a model that repeats some of them; its flags from the JSON report."""
+    questions = read_table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("question"))
+    flags, _ = jobs.report_loops(questions, tb.RepeatingClient, LOOP_SAMPLE_N, SEED)
+    path = write_json_report(flags, work_path(spark, "loop-job") + "/loops.json")
+    back = spark.read.option("multiLine", "true").schema(flags.schema).json(path)
+    return back.select("id", F.md5("prompt").alias("prompt_md5"), F.md5("generated").alias("generated_md5"),
+                       "no_eos", "ngram_loop", "looping")
+
+
+# ---------------------------------------------------------------- streams ---
+
+QUERIES.update(STREAM_QUERIES)
+
+
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)

@@ -19,6 +19,9 @@ import argparse
 import importlib
 import json
 
+from chatsift.operators.model_calls import GENERATION_OPTIONS, JUDGE_OPTIONS, LOOP_OPTIONS, SamplingOptions
+from chatsift.operators.shape import JUDGE_PROMPTS
+from chatsift.operators.stages import load_stages
 from chatsift.plans import jobs
 from chatsift.sinks.writers import write_split
 from chatsift.sources.datasets import load_config, read_dataset
@@ -40,6 +43,19 @@ def _write_splits(train, val, out: str) -> None:
         write_split(val, out, "validation")
 
 
+def _sampling(parser, default) -> None:
+    """Options that go to the model with every request."""
+    parser.add_argument("--temperature", type=float, default=default.temperature)
+    parser.add_argument("--top-p", type=float, default=default.top_p)
+    parser.add_argument("--max-tokens", type=int, default=default.max_tokens)
+    parser.add_argument("--base-urls", default="default")
+    parser.add_argument("--concurrency", type=int, default=8)
+
+
+def _options(args) -> SamplingOptions:
+    return SamplingOptions(args.temperature, args.top_p, args.max_tokens)
+
+
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="chatsift")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -54,19 +70,22 @@ def main(argv=None) -> None:
     s.add_argument("--ngram-size", type=int, default=10)
     s.add_argument("--ngram-threshold", type=int, default=5)
     s.add_argument("--lang-profiles", default=None, help="parquet folder of trained profiles (enables the language stage)")
+    s.add_argument("--lang", default="fr")
+    s.add_argument("--stage", action="append", default=[], help="module:attribute or registered name of a user stage")
+    s.add_argument("--client", default=None, help="module:callable of the judge (enables the judge stage)")
+    _sampling(s, JUDGE_OPTIONS)
     s = sub.add_parser("judge")
     s.add_argument("--input", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--client", required=True)
-    s.add_argument("--base-urls", default="default")
-    s.add_argument("--concurrency", type=int, default=8)
+    s.add_argument("--preset", default="dataset", choices=sorted(JUDGE_PROMPTS))
+    _sampling(s, JUDGE_OPTIONS)
     s = sub.add_parser("generate")
     s.add_argument("--dataset", required=True)
     s.add_argument("--output", required=True)
     s.add_argument("--client", required=True)
-    s.add_argument("--base-urls", default="default")
     s.add_argument("--max-samples", type=int, default=None)
-    s.add_argument("--concurrency", type=int, default=8)
+    _sampling(s, GENERATION_OPTIONS)
     s.add_argument("--release", default=None)
     s = sub.add_parser("train-lang")
     s.add_argument("--dataset", required=True)
@@ -79,7 +98,7 @@ def main(argv=None) -> None:
     s = sub.add_parser("report-loops")
     s.add_argument("--dataset", required=True, help="questions: id, question")
     s.add_argument("--client", required=True)
-    s.add_argument("--base-urls", default="default")
+    _sampling(s, LOOP_OPTIONS)
     s.add_argument("--num-samples", type=int, default=100)
     s.add_argument("--seed", type=int, default=42)
     s.add_argument("--ngram-size", type=int, default=10)
@@ -100,14 +119,16 @@ def main(argv=None) -> None:
     elif args.cmd == "curate":
         prof = spark.read.parquet(args.lang_profiles) if args.lang_profiles else None
         _show(jobs.run_curate(spark, args.dataset, args.release, prof,
-                              ngram_size=args.ngram_size, ngram_threshold=args.ngram_threshold))
+                              ngram_size=args.ngram_size, ngram_threshold=args.ngram_threshold, lang=args.lang,
+                              user_stages=load_stages(args.stage), client_factory=args.client and _client(args.client),
+                              endpoints=args.base_urls.split(","), concurrency=args.concurrency, options=_options(args)))
     elif args.cmd == "judge":
         summary, _ = jobs.run_judge(spark, args.input, args.output, _client(args.client),
-                                    args.base_urls.split(","), concurrency=args.concurrency)
+                                    args.base_urls.split(","), args.preset, args.concurrency, options=_options(args))
         _show(summary)
     elif args.cmd == "generate":
         _show(jobs.run_generate(spark, args.dataset, args.output, _client(args.client), args.base_urls.split(","),
-                                args.max_samples, args.concurrency, args.release))
+                                args.max_samples, args.concurrency, args.release, options=_options(args)))
     elif args.cmd == "train-lang":
         from chatsift.operators.lang import train_lang_profiles
 
@@ -128,7 +149,8 @@ def main(argv=None) -> None:
         flags, summary = jobs.report_loops(read_dataset(spark, args.dataset), _client(args.client),
                                            args.num_samples, args.seed, ngram_size=args.ngram_size,
                                            ngram_threshold=args.ngram_threshold,
-                                           endpoints=args.base_urls.split(","))
+                                           endpoints=args.base_urls.split(","), concurrency=args.concurrency,
+                                           options=_options(args))
         if args.output:
             write_json_report(flags, args.output)
         _show(summary)

@@ -6,9 +6,10 @@ number on the driver (sizes for a split, a median) or writes its output.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chatsift.functions.text import join_contents, parse_verdict, question_prompt, token_count
@@ -16,9 +17,11 @@ from chatsift.operators import filters as flt
 from chatsift.operators import reports as rep
 from chatsift.operators import sampling as smp
 from chatsift.operators import shape as shp
-from chatsift.operators.lang import detect_lang
-from chatsift.operators.model_calls import JUDGE_OPTIONS, map_model
-from chatsift.sources.datasets import pick_split, read_dataset, require_columns
+from chatsift.operators.lang import with_language
+from chatsift.operators.model_calls import GENERATION_OPTIONS, JUDGE_OPTIONS, LOOP_OPTIONS, SamplingOptions, map_model
+from chatsift.operators.stages import Stage
+from chatsift.session import staged
+from chatsift.sources.datasets import load_split, pick_split, read_dataset, require_columns
 
 
 # ------------------------------------------------------------- E1 curate ---
@@ -27,47 +30,59 @@ from chatsift.sources.datasets import pick_split, read_dataset, require_columns
 class CurateResult:
     kept: DataFrame
     funnel: DataFrame
+    flagged: DataFrame
+    stages: list = field(default_factory=list)
+
+    def observed(self):
+        """``(kept, observation)``: the kept rows, whose write also counts the stages (``n0``, ``n1``, ...)."""
+        from pyspark.sql import Observation
+
+        obs = Observation()
+        rows = self.flagged.observe(obs, *rep.funnel_counts(self.stages))
+        return _passed(rows, self.stages), obs
+
+
+def _passed(flagged: DataFrame, stages: list) -> DataFrame:
+    keep = F.lit(True)
+    for _, flag in stages:
+        keep = keep & flag
+    return flagged.where(keep).drop(*[c for c in flagged.columns if c.startswith("_cs_")])
 
 
 def curate(df: DataFrame, profiles: DataFrame | None = None, lang: str = "fr",
            ngram_size: int = 10, ngram_threshold: int = 5, replies: DataFrame | None = None,
-           id_col: str = "id", messages: str = "messages", method: str = "arrow") -> CurateResult:
-    """Empty content -> think tags -> [language] -> n-gram -> [judge verdict].
+           id_col: str = "id", messages: str = "messages", method: str = "arrow",
+           user_stages: Sequence[Stage] = ()) -> CurateResult:
+    """Empty content -> think tags -> [language] -> n-gram -> user stages -> [judge verdict].
 
     All stages become flags of one plan: ``funnel`` counts them in a single
     aggregate and ``kept`` is the same plan filtered.  Expensive stages only
     see rows that passed the cheaper ones (their input is nulled otherwise).
+    No stage but a verdict looks at ids, so they may be null or repeat.
     """
-    stages: list[tuple[str, object]] = []
-    base = df.withColumns({
-        "_ok_empty": flt.empty_content_ok(messages),
-        "_ok_think": flt.think_tags_ok(messages),
-    })
-    gate = F.col("_ok_empty") & F.col("_ok_think")
-    stages += [("Empty content", F.col("_ok_empty")), ("Think tags", F.col("_ok_think"))]
+    base = df.withColumns({"_cs_empty": flt.empty_content_ok(messages), "_cs_think": flt.think_tags_ok(messages)})
+    stages: list[tuple[str, Column]] = [("Empty content", F.col("_cs_empty")), ("Think tags", F.col("_cs_think"))]
+    gate = F.col("_cs_empty") & F.col("_cs_think")
     if profiles is not None:
-        texts = base.select(F.col(id_col), F.when(gate, flt.conversation_text(messages)).alias("_text"))
-        det = detect_lang(texts, profiles, id_col=id_col, text_col="_text", out_col="_lang")
-        base = base.join(det, id_col, "left")
-        base = base.withColumn("_ok_lang", F.coalesce(F.col("_lang") == lang, F.lit(False)))
-        gate = gate & F.col("_ok_lang")
-        stages.append((f"Language ({lang})", F.col("_ok_lang")))
-    base = base.withColumn("_ok_ngram", flt.ngram_ok(messages, ngram_size, ngram_threshold, gate=gate, method=method))
-    stages.append(("N-gram repetition", F.col("_ok_ngram")))
+        base = with_language(base, profiles, F.when(gate, flt.conversation_text(messages)), "_cs_lang")
+        base = base.withColumn("_cs_lang_ok", F.coalesce(F.col("_cs_lang") == lang, F.lit(False)))
+        gate = gate & F.col("_cs_lang_ok")
+        stages.append((f"Language ({lang})", F.col("_cs_lang_ok")))
+    base = base.withColumn("_cs_ngram", flt.ngram_ok(messages, ngram_size, ngram_threshold, gate=gate, method=method))
+    gate = gate & F.col("_cs_ngram")
+    stages.append(("N-gram repetition", F.col("_cs_ngram")))
+    for i, stage in enumerate(user_stages):
+        base = base.withColumn(f"_cs_user{i}", stage.flag(gate))
+        gate = gate & F.col(f"_cs_user{i}")
+        stages.append((stage.name, F.col(f"_cs_user{i}")))
     if replies is not None:
         # Reply ids are strings (model output); compare ids as strings.
-        ok = replies.select(F.col("id").cast("string").alias("_rid"),
-                            (parse_verdict(F.col("reply")) & F.col("error").isNull()).alias("_v"))
-        base = (base.join(ok, F.col(id_col).cast("string") == F.col("_rid"), "left").drop("_rid")
-                .withColumn("_ok_judge", F.coalesce(F.col("_v"), F.lit(False))))
-        stages.append(("LLM judge", F.col("_ok_judge")))
-    keep = F.lit(True)
-    for _, pred in stages:
-        keep = keep & pred
-    helper = [c for c in base.columns if c.startswith("_")]
-    kept = base.where(keep).drop(*helper)
-    funnel = rep.stage_funnel(base, stages)
-    return CurateResult(kept=kept, funnel=funnel)
+        ok = replies.select(F.col("id").cast("string").alias("_cs_rid"),
+                            (parse_verdict(F.col("reply")) & F.col("error").isNull()).alias("_cs_verdict"))
+        base = (base.join(ok, F.col(id_col).cast("string") == F.col("_cs_rid"), "left")
+                .withColumn("_cs_judge", F.coalesce(F.col("_cs_verdict"), F.lit(False))))
+        stages.append(("LLM judge", F.col("_cs_judge")))
+    return CurateResult(_passed(base, stages), rep.stage_funnel(base, stages), base, stages)
 
 
 # -------------------------------------------------------------- E2 judge ---
@@ -77,20 +92,23 @@ def states_verdict(reply: str | None) -> bool:
     return any(word in (reply or "").lower() for word in ("true", "false"))
 
 
-def judge(df: DataFrame, client_factory, endpoints=None, preset: str = "dataset",
-          concurrency: int = 8, attempts: int = 3, extra_cols: list[str] | None = None):
-    """Judge every conversation; keep the ones whose reply says true.
+def judge(df: DataFrame, client_factory, endpoints=None, preset: str = "dataset", concurrency: int = 8,
+          attempts: int = 3, extra_cols: list[str] | None = None, options: SamplingOptions = JUDGE_OPTIONS):
+    """Asks the judge about every conversation once: ``(judged, verdicts)``.
 
-    Returns ``(kept (id, messages), verdicts (id, verdict), summary)``.  The
-    replies must be materialised by the caller before reuse (non-deterministic).
+    ``judged`` is ``df`` with its ``verdict``; an error or a reply without a
+    verdict is a rejection.  Rows are staged with a number of their own, which
+    the replies (staged as well: they are not deterministic) come back by, so ids
+    may be null or repeat.
     """
-    req = shp.judge_requests(df, preset=preset)
-    if extra_cols:
-        req = req.join(df.select("id", *extra_cols), "id")
-    replies = map_model(req, client_factory, endpoints, request_cols=["id", "request"] + (extra_cols or []),
-                        options=JUDGE_OPTIONS, concurrency=concurrency, attempts=attempts, retry_empty=True,
+    rows = staged(df.withColumn("_row", F.monotonically_increasing_id()), "judge-rows")
+    extra = list(extra_cols or [])
+    requests = shp.judge_requests(rows, preset=preset, keep=("_row", *extra))
+    replies = map_model(requests, client_factory, endpoints, request_cols=["id", "request", *extra], id_col="_row",
+                        options=options, concurrency=concurrency, attempts=attempts, retry_empty=True,
                         accept=states_verdict if preset == "pipeline" else None)
-    return replies
+    verdicts = staged(judge_verdicts(replies).withColumn("_row", F.col("id").cast("long")).drop("id"), "verdicts")
+    return rows.join(verdicts, "_row").drop("_row"), verdicts.drop("_row")
 
 
 def judge_verdicts(replies: DataFrame) -> DataFrame:
@@ -155,7 +173,19 @@ class GenerationReport:
     thinking_language: DataFrame
     looping: DataFrame
     completion_tokens: DataFrame
-    extra: dict = field(default_factory=dict)
+
+    def table(self) -> DataFrame:
+        """All sections as ``(section, label, value, pct, bar)``."""
+        counted = [(self.finish_reasons, "finish_reason", "finish_reason"), (self.thinking_language, "thinking_language", "language"),
+                   (self.looping, "looping", "label")]
+        parts = [df.select(F.lit(section).alias("section"), F.col(label).alias("label"), F.col("count").cast("double").alias("value"),
+                           "pct", "bar") for df, section, label in counted]
+        stats = [F.struct(F.lit(name).alias("label"), F.col(c).cast("double").alias("value"))
+                 for name, c in (("n", "n"), ("min", "min_tokens"), ("max", "max_tokens"), ("avg", "avg_tokens"))]
+        tokens = self.completion_tokens.select(F.inline(F.array(*stats)))
+        parts.append(tokens.select(F.lit("completion_tokens").alias("section"), "label", "value",
+                                   F.lit(None).cast("double").alias("pct"), F.lit(None).cast("string").alias("bar")))
+        return smp.mix(parts)
 
 
 def report_generations(gens: DataFrame, profiles: DataFrame) -> GenerationReport:
@@ -174,17 +204,16 @@ def report_tokens(df: DataFrame, messages: str = "messages", count=token_count)
 
 def report_loops(questions: DataFrame, client_factory, n_samples: int = 100, seed: int = 42,
                  id_col: str = "id", question_col: str = "question", ngram_size: int = 10,
-                 ngram_threshold: int = 3, endpoints=None, concurrency: int = 8):
+                 ngram_threshold: int = 3, endpoints=None, concurrency: int = 8,
+                 options: SamplingOptions = LOOP_OPTIONS):
     """Sample questions, generate, flag looping, summarise: ``(flags, summary)``."""
     sample = smp.seeded_sample(questions, n_samples, seed, id_col)
     prompts = sample.select(F.col(id_col).alias("id"), question_prompt(question_col).alias("prompt"))
-    from chatsift.session import checkpoint_root
-
-    replies = map_model(prompts, client_factory, endpoints, request_cols=["id", "prompt"], concurrency=concurrency)
-    checkpoint_root(questions.sparkSession)
-    replies = replies.checkpoint()  # the flags and the summary must see the same replies
-    replies = replies.withColumnRenamed("id", "_rid")
-    gens = prompts.join(replies, F.col("id").cast("string") == F.col("_rid")).drop("_rid").select("id", "prompt", F.col("reply").alias("generated"), "finish_reason")
+    # The flags and the summary must see the same replies; the prompt travels along, so ids may be null or repeat.
+    replies = staged(map_model(prompts, client_factory, endpoints, request_cols=["id", "prompt"], options=options,
+                               concurrency=concurrency, keep=("prompt",)), "loop-replies")
+    gens = replies.select(F.col("id").cast(questions.schema[id_col].dataType).alias("id"), "prompt",
+                          F.col("reply").alias("generated"), "finish_reason")
     flags = flt.loop_flags(gens, "generated", "finish_reason", ngram_size, ngram_threshold)
     return flags, rep.loop_summary(flags)
 
@@ -201,65 +230,60 @@ def generate_requests(df: DataFrame, done_ids: DataFrame, max_samples: int | Non
 # ---------------------------------------------------- runnable job entries ---
 
 def run_curate(spark: SparkSession, dataset: str, release_path: str, profiles: DataFrame | None = None,
-               split: str = "train", ngram_size: int = 10, ngram_threshold: int = 5) -> DataFrame:
-    """Load -> stages -> publish; returns the funnel (computed by the same plan)."""
-    from chatsift.sinks.writers import publish
-
-    df = read_dataset(spark, dataset, split)
-    res = curate(df, profiles, ngram_size=ngram_size, ngram_threshold=ngram_threshold)
-    publish(res.kept, release_path, "curated")
-    return res.funnel
+               split: str = "train", ngram_size: int = 10, ngram_threshold: int = 5, lang: str = "fr",
+               user_stages: Sequence[Stage] = (), client_factory=None, endpoints=None, concurrency: int = 8,
+               options: SamplingOptions = JUDGE_OPTIONS, extra_cols: list[str] | None = None) -> DataFrame:
+    """Load -> stages -> [judge] -> publish; returns the funnel.
 
+    Each stage runs once: the write of the kept rows counts the stages as it goes
+    (``observe``).  With a client the judge sees what all other stages kept.
+    """
+    from chatsift.sinks.writers import publish
 
-def run_judge(spark: SparkSession, input_path: str, output_path: str, client_factory,
-              endpoints=None, preset: str = "dataset", concurrency: int = 8, extra_cols=None):
+    res = curate(read_dataset(spark, dataset, split), profiles, lang, ngram_size, ngram_threshold, user_stages=user_stages)
+    kept, obs = res.observed()
+    names = [name for name, _ in res.stages]
+    if client_factory is not None:
+        judged, verdicts = judge(kept, client_factory, endpoints, "pipeline", concurrency, extra_cols=extra_cols, options=options)
+        kept = judged.where("verdict").drop("verdict")
+    publish(kept, release_path, "curated")
+    counts = [int(obs.get[f"n{i}"] or 0) for i in range(len(names) + 1)]
+    if client_factory is not None:
+        names.append("LLM judge")
+        counts.append(verdicts.where("verdict").count())
+    return rep.funnel_rows(spark, names, counts)
+
+
+def run_judge(spark: SparkSession, input_path: str, output_path: str, client_factory, endpoints=None,
+              preset: str = "dataset", concurrency: int = 8, extra_cols=None, options: SamplingOptions = JUDGE_OPTIONS):
     """Pick split -> judge requests -> model -> keep verdict true -> write ``train``.
 
-    Replies are checkpointed before the filter and the summary both read them.
-    Returns ``(summary, progress observation)``.
+    Returns ``(summary, progress observation)``; the write of the kept rows fills the observation.
     """
-    from chatsift.session import checkpoint_root
     from chatsift.sinks.writers import write_split
 
-    split = pick_split(spark, input_path)
-    df = load_split_df(spark, input_path, split)
-    replies = judge(df, client_factory, endpoints, preset, concurrency, extra_cols=extra_cols)
-    checkpoint_root(spark)
-    replies = replies.checkpoint()
-    verdicts = judge_verdicts(replies)
-    kept = shp.judge_output(df.join(verdicts.where("verdict"), "id", "left_semi"))
-    tracked, obs = rep.observe_progress(df.join(verdicts, "id", "left"), "judge")
-    tracked.write.format("noop").mode("overwrite").save()
-    write_split(kept, output_path, "train")
+    df = load_split(spark, input_path, pick_split(spark, input_path))
+    judged, verdicts = judge(df, client_factory, endpoints, preset, concurrency, extra_cols=extra_cols, options=options)
+    tracked, obs = rep.observe_progress(judged, "judge")
+    write_split(shp.judge_output(tracked.where("verdict")), output_path, "train")
     return rep.judge_summary(verdicts), obs
 
 
 def run_generate(spark: SparkSession, dataset: str, output_path: str, client_factory,
                  endpoints=None, max_samples: int | None = None, concurrency: int = 8,
-                 release_path: str | None = None, request_cols=("id", "messages")):
+                 release_path: str | None = None, request_cols=("id", "messages"),
+                 options: SamplingOptions = GENERATION_OPTIONS):
     """Resume by id -> requests -> model -> append JSON lines -> summary [-> publish]."""
-    from chatsift.operators.model_calls import GENERATION_OPTIONS
-    from chatsift.session import checkpoint_root
     from chatsift.sinks.writers import append_jsonl, publish
     from chatsift.sources.datasets import read_done_ids
 
     df = read_dataset(spark, dataset, "train")
-    done = read_done_ids(spark, output_path)
+    done = staged(read_done_ids(spark, output_path), "done")
     extra = tuple(c for c in request_cols if c not in ("id", "prompt", "messages"))
     req = generate_requests(df, done, max_samples, keep=extra)
-    replies = map_model(req, client_factory, endpoints, request_cols=list(request_cols),
-                        options=GENERATION_OPTIONS, concurrency=concurrency, keep=("prompt",))
-    checkpoint_root(spark)
-    replies = replies.checkpoint()
-    gens = shp.assemble_generations(None, replies)
-    append_jsonl(gens, output_path)
-    summary = rep.generation_summary(df, done, replies)
+    replies = staged(map_model(req, client_factory, endpoints, request_cols=list(request_cols),
+                               options=options, concurrency=concurrency, keep=("prompt",)), "replies")
+    append_jsonl(shp.assemble_generations(None, replies), output_path)
     if release_path:
         publish(spark.read.json(output_path), release_path, "generations")
-    return summary
-
-
-def load_split_df(spark: SparkSession, path: str, split: str) -> DataFrame:
-    from chatsift.sources.datasets import load_split
-
-    return load_split(spark, path, split)
+    return rep.generation_summary(df, done, replies)

@@ -79,17 +79,18 @@ prof AS (SELECT lk.lang, lk.gram, lk.cnt,
 
 
 def detect_ctes(src: str, id_col: str, text_col: str, out: str = "det") -> str:
-    """``out(id, detected_lang)`` for every row of ``src`` (needs PROFILES)."""
-    return f"""{out}_t AS (SELECT {id_col} AS id, {norm_lang(text_col)} AS t FROM {src}),
-{out}_g AS (SELECT id, unnest({trigram_list('t')}) AS gram FROM {out}_t WHERE t IS NOT NULL),
-{out}_n AS (SELECT id, length(t) - 2 AS n FROM {out}_t WHERE t IS NOT NULL),
-{out}_l AS (SELECT DISTINCT lang, unseen FROM prof),
-{out}_m AS (SELECT g.id, p.lang, sum(p.logp - p.unseen) AS d FROM {out}_g g JOIN prof p USING (gram) GROUP BY g.id, p.lang),
-{out}_s AS (SELECT n.id, l.lang, round(n.n * l.unseen + coalesce(m.d, 0.0), 6) AS s
-            FROM {out}_n n CROSS JOIN {out}_l l LEFT JOIN {out}_m m ON m.id = n.id AND m.lang = l.lang),
-{out}_b AS (SELECT id, lang FROM (
-        SELECT *, row_number() OVER (PARTITION BY id ORDER BY s DESC, lang DESC) AS r FROM {out}_s) WHERE r = 1),
-{out} AS (SELECT t.id, b.lang AS detected_lang FROM {out}_t t LEFT JOIN {out}_b b USING (id))"""
+    """``out(id, detected_lang)`` for every row of ``src`` (needs PROFILES): scores are sums of whole millionths."""
+    return f"""{out}_t AS MATERIALIZED (SELECT row_number() OVER () AS rid, {id_col} AS id, {norm_lang(text_col)} AS t FROM {src}),
+{out}_g AS (SELECT rid, unnest({trigram_list('t')}) AS gram FROM {out}_t WHERE t IS NOT NULL),
+{out}_n AS (SELECT rid, length(t) - 2 AS n FROM {out}_t WHERE t IS NOT NULL),
+{out}_l AS (SELECT DISTINCT lang, CAST(round(unseen * 1e6) AS BIGINT) AS unseen FROM prof),
+{out}_p AS (SELECT lang, gram, CAST(round((logp - unseen) * 1e6) AS BIGINT) AS w FROM prof),
+{out}_m AS (SELECT g.rid, p.lang, sum(p.w) AS d FROM {out}_g g JOIN {out}_p p USING (gram) GROUP BY g.rid, p.lang),
+{out}_s AS (SELECT n.rid, l.lang, n.n * l.unseen + coalesce(m.d, 0) AS s
+            FROM {out}_n n CROSS JOIN {out}_l l LEFT JOIN {out}_m m ON m.rid = n.rid AND m.lang = l.lang),
+{out}_b AS (SELECT rid, lang FROM (
+        SELECT *, row_number() OVER (PARTITION BY rid ORDER BY s DESC, lang DESC) AS r FROM {out}_s) WHERE r = 1),
+{out} AS (SELECT t.id, b.lang AS detected_lang FROM {out}_t t LEFT JOIN {out}_b b USING (rid))"""
 
 
 def md5_turns(pairs: list[tuple[str, str]]) -> str:
@@ -98,26 +99,22 @@ def md5_turns(pairs: list[tuple[str, str]]) -> str:
     return f"md5({parts})"
 
 
-FIRST_TURNS = """pairs AS (
-  SELECT conv_id AS id,
-         arg_min(text, turn) FILTER (WHERE role = 'user') AS prompt,
-         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS completion
-  FROM conversations GROUP BY conv_id
-  HAVING arg_min(text, turn) FILTER (WHERE role = 'user') IS NOT NULL
-     AND arg_min(text, turn) FILTER (WHERE role = 'assistant') IS NOT NULL)"""
+TURN_PAIRS = f"""pairs AS (
+  SELECT u.conv_id * {tb.TURN_IDS} + u.turn AS id, u.text AS prompt, a.text AS completion, u.conv_id
+  FROM conversations u JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  WHERE u.role = 'user' AND a.role = 'assistant' AND u.text IS NOT NULL AND a.text IS NOT NULL)"""
 
-PREFS = """prefs AS (
-  SELECT conv_id,
-         max(CASE WHEN turn = 0 THEN text END) AS prompt,
-         max(CASE WHEN turn = 1 THEN text END) AS chosen,
-         max(CASE WHEN turn = 3 THEN text END) AS rejected
-  FROM conversations GROUP BY conv_id)"""
+PREFS = f"""prefs AS (
+  SELECT u.conv_id * {tb.TURN_IDS} + u.turn AS conv_id, u.text AS prompt, a.text AS chosen, b.text AS rejected
+  FROM conversations u LEFT JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1
+  LEFT JOIN conversations b ON b.conv_id = u.conv_id AND b.turn = u.turn + 3
+  WHERE u.role = 'user')"""
 
 INSTR = """instr AS (
   SELECT CASE WHEN item_id % 3 = 0 THEN 'Tu es un assistant.' ELSE '' END AS system,
          text AS instruction,
          CASE WHEN item_id % 2 = 0 THEN 'Contexte ' || CAST(item_id AS VARCHAR) ELSE '' END AS input,
-         CASE WHEN item_id % 5 = 0 THEN '' ELSE 'Réponse : ' || substring(text, 1, 20) END AS output,
+         CASE WHEN item_id % 5 = 0 THEN '' ELSE 'Réponse : ' || text END AS output,
          CASE WHEN item_id % 5 = 0 AND item_id % 10 <> 0 THEN 'r' || CAST(item_id AS VARCHAR) END AS response
   FROM benchmark),
 instr_msgs AS (
@@ -146,7 +143,8 @@ DIST = f"""dist AS (
          CAST(CASE WHEN e.label = 0 AND e.vec_id % {tb.VEC_PER_SEQ} >= 12 THEN 0 ELSE 1 END AS INTEGER) AS mask,
          list_transform(e.embedding, lambda v: CAST(v AS DOUBLE)) AS student,
          list_transform(n.embedding, lambda v: CAST(v AS DOUBLE)) AS teacher
-  FROM embeddings e JOIN embeddings n ON n.vec_id = e.vec_id + 1)"""
+  FROM embeddings e JOIN (SELECT embedding, CASE WHEN vec_id = (SELECT min(vec_id) FROM embeddings)
+    THEN (SELECT max(vec_id) FROM embeddings) ELSE vec_id - 1 END AS vec_id FROM embeddings) n ON n.vec_id = e.vec_id)"""
 
 
 def lse(x: str, temp: float = 1.0) -> str:
@@ -195,8 +193,8 @@ SELECT id, CAST(count(*) AS INTEGER) AS n_messages, string_agg(role, ',' ORDER B
        md5(string_agg(coalesce(content, '<null>'), chr(1) ORDER BY turn)) AS content_md5
 FROM turns GROUP BY id""")
 
-q("done_ids", """
-SELECT DISTINCT CASE WHEN conv_id % 7 = 3 THEN 'c' || CAST(conv_id AS VARCHAR) ELSE CAST(conv_id AS VARCHAR) END AS id
+q("done_ids", f"""
+SELECT DISTINCT CASE WHEN conv_id % 7 = 3 THEN 'c' || CAST(conv_id * {tb.TURN_IDS} + turn AS VARCHAR) ELSE CAST(conv_id * {tb.TURN_IDS} + turn AS VARCHAR) END AS id
 FROM conversations WHERE conv_id % 7 NOT IN (0, 1, 2)""")
 
 GENS = f"""gens AS (
@@ -241,14 +239,13 @@ q("to_chat", f"""
 WITH rows AS (
   SELECT conv_id,
          coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (WHERE role = 'assistant'), '') AS chosen,
-         max(CASE WHEN turn = 1 THEN text END) AS rej,
-         max(CASE WHEN turn = 1 THEN 1 END) AS has_rej,
-         max(CASE WHEN turn = 0 THEN turn END) AS score
+         arg_max(text, turn) AS rej,
+         CASE WHEN count(*) > 3 THEN count(*) END AS score
   FROM conversations GROUP BY conv_id)
 SELECT conv_id,
        {md5_turns([("'user'", "''")])} AS prompt_md5,
        {md5_turns([("'assistant'", "chosen")])} AS chosen_md5,
-       {md5_turns([("'assistant'", "CASE WHEN has_rej IS NULL THEN 'None' ELSE coalesce(rej, 'None') END")])} AS rejected_md5,
+       {md5_turns([("'assistant'", "coalesce(rej, 'None')")])} AS rejected_md5,
        {md5_turns([("'user'", "coalesce(CAST(score AS VARCHAR), 'None')")])} AS score_md5
 FROM rows""")
 
@@ -256,7 +253,7 @@ TEACHER_TEXT = ("p.prompt || chr(10) || 'This is an example for a response to th
                 "p.completion || chr(10) || 'Now answer with a response of your own, including the thinking process:'")
 
 q("teacher_prompts", f"""
-WITH {FIRST_TURNS},
+WITH {TURN_PAIRS},
 p AS (SELECT id, CASE WHEN id % 5 = 0 THEN prompt || ' {{completion}}' ELSE prompt END AS prompt, completion FROM pairs)
 SELECT id,
        {md5_turns([("'user'", "p.prompt")])} AS prompt_md5,
@@ -267,16 +264,16 @@ GEN_USER = ("prompt || chr(10) || chr(10) || 'This is an example for a response
             "completion || chr(10) || chr(10) || 'Now answer with a response of your own, including the thinking process.'")
 
 q("generation_requests", f"""
-WITH {FIRST_TURNS}
+WITH {TURN_PAIRS}
 SELECT id, {md5_turns([("'user'", GEN_USER), ("'assistant'", _lit(shp.ASSISTANT_PREFILL))])} AS request_md5
 FROM pairs""")
 
 q("assemble_generations", f"""
-WITH {FIRST_TURNS}
+WITH {TURN_PAIRS}
 SELECT p.id,
        {md5_turns([("'user'", "p.prompt"), ("'assistant'", _lit(shp.ASSISTANT_PREFILL) + " || CASE l.quality WHEN 1 THEN 'True' ELSE 'False' END")])} AS messages_md5,
        'stop' AS finish_reason, CAST(1 AS BIGINT) AS completion_tokens
-FROM pairs p JOIN labels l ON l.doc_id = p.id WHERE l.quality IN (0, 1)""")
+FROM pairs p JOIN labels l ON l.doc_id = p.conv_id WHERE l.quality IN (0, 1)""")
 
 JUDGE_TEXT = "string_agg(upper(role) || ':' || chr(10) || content, chr(10) || chr(10) ORDER BY turn)"
 
@@ -377,7 +374,7 @@ TEACHER_RENDER = ("'<|im_start|>system' || chr(10) || " + _lit(cat.TEACHER_SYSTE
                   " || '<|im_end|>' || chr(10) || '<|im_start|>assistant' || chr(10)")
 
 q("filter_long_prompts", f"""
-WITH {FIRST_TURNS}
+WITH {TURN_PAIRS}
 SELECT id FROM pairs
 WHERE {tokcount(STUDENT_RENDER)} <= {cat.PROMPT_MAX} AND {tokcount(TEACHER_RENDER)} <= {cat.PROMPT_MAX}""")
 
@@ -412,13 +409,14 @@ FROM seqs""")
 
 # ----------------------------------------------- joins, sets, sampling ---
 
-DONE = """done AS (
-  SELECT DISTINCT CASE WHEN conv_id % 7 = 3 THEN 'c' || CAST(conv_id AS VARCHAR) ELSE CAST(conv_id AS VARCHAR) END AS id
+DONE = f"""done AS (
+  SELECT DISTINCT CASE WHEN conv_id % 7 = 3 THEN 'c' || CAST(conv_id * {tb.TURN_IDS} + turn AS VARCHAR) ELSE CAST(conv_id * {tb.TURN_IDS} + turn AS VARCHAR) END AS id
   FROM conversations WHERE conv_id % 7 NOT IN (0, 1, 2))"""
 
 q("resume_anti", f"""
-WITH {FIRST_TURNS}, {DONE}
-SELECT id FROM pairs WHERE CAST(id AS VARCHAR) NOT IN (SELECT id FROM done) ORDER BY id LIMIT 25""")
+WITH {TURN_PAIRS}, {DONE}
+SELECT id FROM pairs WHERE CAST(id AS VARCHAR) NOT IN (SELECT id FROM done)""")
+q("resume_limit", ORACLE["resume_anti"] + " ORDER BY id LIMIT 25")
 
 q("mix", """
 SELECT doc_id, lang, NULL::BIGINT AS n_chars FROM documents WHERE source IN ('src0', 'src1', 'src2', 'src3', 'src4')
@@ -482,6 +480,9 @@ flags AS (SELECT c.id, ok_empty AS f1, ok_empty AND ok_think AS f2,
                  ok_empty AND ok_think AND coalesce(d.detected_lang = 'fr', false) AND c.id NOT IN (SELECT id FROM loops) AS f4
           FROM conv c LEFT JOIN det d USING (id))"""))
 
+# Ids play no part in the stages: the funnel of rows with null ids is the same.
+q("funnel_lang_null_id", ORACLE["funnel_lang"])
+
 q("curate_kept", f"""
 WITH {FUNNEL_BASE}, n AS (SELECT id, count(*) AS n FROM turns GROUP BY id)
 SELECT c.id, CAST(n.n AS INTEGER) AS n_messages FROM conv c JOIN n USING (id)
@@ -566,9 +567,9 @@ SELECT cid.id, CASE l.quality WHEN 1 THEN 'True' WHEN 0 THEN 'False' END AS repl
 FROM cid LEFT JOIN labels l ON l.doc_id = cid.id""")
 
 q("generation_summary", f"""
-WITH {FIRST_TURNS}, {DONE},
-todo AS (SELECT p.id FROM pairs p WHERE CAST(p.id AS VARCHAR) NOT IN (SELECT id FROM done)),
-r AS (SELECT t.id, l.quality IN (0, 1) AS ok FROM todo t LEFT JOIN labels l ON l.doc_id = t.id)
+WITH {TURN_PAIRS}, {DONE},
+todo AS (SELECT p.id, p.conv_id FROM pairs p WHERE CAST(p.id AS VARCHAR) NOT IN (SELECT id FROM done)),
+r AS (SELECT t.id, l.quality IN (0, 1) AS ok FROM todo t LEFT JOIN labels l ON l.doc_id = t.conv_id)
 SELECT (SELECT count(*) FROM pairs) AS total_samples,
        (SELECT count(*) FROM done) + (SELECT count(*) FROM r WHERE ok) AS generated,
        (SELECT count(*) FROM r WHERE ok IS NOT TRUE) AS errors""")
@@ -584,6 +585,10 @@ q("lang_profiles", f"WITH {PROFILES} SELECT lang, gram, cnt, round(logp, 6) AS l
 
 q("detect_lang", f"WITH {PROFILES}, {detect_ctes('documents', 'doc_id', 'text', 'det')} SELECT id AS doc_id, detected_lang FROM det")
 
+q("detect_lang_repeated_ids", f"""
+WITH {PROFILES}, src AS (SELECT CASE WHEN doc_id % 7 <> 0 THEN doc_id % 50 END AS id, text FROM documents),
+{detect_ctes('src', 'id', 'text', 'det')} SELECT id, detected_lang FROM det""")
+
 q("filter_language", f"""
 WITH {TURNS}, a AS (SELECT id, string_agg(content, ' ' ORDER BY turn) AS t FROM turns GROUP BY id),
 {PROFILES}, {detect_ctes('a', 'id', 't', 'det')}
@@ -630,6 +635,14 @@ WITH {DIST}, {LOGP},
 s AS (SELECT step, seq_id, sum({kl_sql('ls', 'lt')} * {skip()}) / greatest(sum({skip()}), 1) AS sl FROM lp GROUP BY step, seq_id)
 SELECT step, round(avg(sl), 6) AS loss FROM s GROUP BY step""")
 
+q("sequence_loss_masked", f"""
+WITH {DIST}, {LOGP},
+t AS (SELECT step, seq_id, {skip()} AS m, {kl_sql('ls', 'lt')} AS v, -list_sum(list_transform(ls, lambda x: exp(x) * x)) AS entropy FROM lp),
+thr AS (SELECT step, quantile_cont(entropy, {1.0 - cat.ENTROPY_RHO}) AS threshold FROM t WHERE m <> 0 GROUP BY step),
+s AS (SELECT t.step, seq_id, sum(CASE WHEN entropy >= threshold AND m <> 0 THEN v * m ELSE 0 END) / greatest(sum(m), 1) AS sl
+      FROM t LEFT JOIN thr USING (step) GROUP BY t.step, seq_id)
+SELECT step, round(avg(sl), 6) AS loss FROM s GROUP BY step""")
+
 q("skip_mask", f"WITH {DIST} SELECT step, seq_id, pos, CAST({skip()} AS INTEGER) AS loss_mask FROM dist")
 
 q("entropy_mask", f"""
@@ -718,12 +731,93 @@ WHERE rn > CAST(floor(total * 0.1::DOUBLE) AS BIGINT)
                {tokcount(render2("coalesce(prompt, 'None')", "coalesce(rejected, 'None')"))}) <= {cat.OVERLENGTH_MAX}""")
 
 q("prepare_distill_train", f"""
-WITH {FIRST_TURNS},
+WITH {TURN_PAIRS},
 r AS ({ranked_by_hash("pairs")})
 SELECT id, {md5_turns([("'system'", _lit(cat.TEACHER_SYSTEM)), ("'user'", TEACHER_TEXT.replace("p.", ""))])} AS teacher_md5
 FROM r
 WHERE rn > 5 AND {tokcount(STUDENT_RENDER)} <= {cat.PROMPT_MAX} AND {tokcount(TEACHER_RENDER)} <= {cat.PROMPT_MAX}""")
 
 
+# ---------------------------------------------------------------- streams ---
+
+#: Requests that the stub model answers.
+PAIRS_ANSWERED = f"""
+WITH {TURN_PAIRS}
+SELECT p.id, 'stop' AS finish_reason FROM pairs p JOIN labels l ON l.doc_id = p.conv_id WHERE l.quality IN (0, 1)"""
+
+q("curate_stream", ORACLE["curate_kept"])
+q("generate_stream", PAIRS_ANSWERED)
+q("generate_stream_restart", PAIRS_ANSWERED)
+
+# ------------------------------------------------------------------- jobs ---
+
+# Half of the conversations have no id; the judge's labels hang on conv_id.
+q("curate_job", f"""
+WITH {FUNNEL_BASE}, {PROFILES}, {detect_ctes('conv', 'id', 'alltext', 'det')},
+f0 AS (SELECT c.id, ok_empty AS f1, ok_empty AND ok_think AS f2,
+              ok_empty AND ok_think AND d.detected_lang = '{cat.JOB_LANG}' AS f3,
+              c.id NOT IN (SELECT id FROM loops) AS ok_ngram,
+              (SELECT count(*) FROM turns t WHERE t.id = c.id) >= {cat.JOB_MIN_TURNS} AS ok_turns,
+              length(c.atext) <= {cat.JOB_MAX_CHARS} AS ok_chars,
+              coalesce((SELECT any_value(quality) FROM labels l WHERE l.doc_id = c.id) = 1, false) AS ok_judge
+       FROM conv c LEFT JOIN det d USING (id)),
+flags AS (SELECT id, f1, f2, coalesce(f3, false) AS f3, coalesce(f3, false) AND ok_ngram AS f4,
+                 coalesce(f3, false) AND ok_ngram AND ok_turns AS f5,
+                 coalesce(f3, false) AND ok_ngram AND ok_turns AND ok_chars AS f6,
+                 coalesce(f3, false) AND ok_ngram AND ok_turns AND ok_chars AND ok_judge AS f7 FROM f0),
+s(stage_order, stage, before, after) AS (
+  SELECT 1, 'Empty content', count(*), count(*) FILTER (WHERE f1) FROM flags
+  UNION ALL SELECT 2, 'Think tags', count(*) FILTER (WHERE f1), count(*) FILTER (WHERE f2) FROM flags
+  UNION ALL SELECT 3, 'Language ({cat.JOB_LANG})', count(*) FILTER (WHERE f2), count(*) FILTER (WHERE f3) FROM flags
+  UNION ALL SELECT 4, 'N-gram repetition', count(*) FILTER (WHERE f3), count(*) FILTER (WHERE f4) FROM flags
+  UNION ALL SELECT 5, 'Turns', count(*) FILTER (WHERE f4), count(*) FILTER (WHERE f5) FROM flags
+  UNION ALL SELECT 6, 'Answer length', count(*) FILTER (WHERE f5), count(*) FILTER (WHERE f6) FROM flags
+  UNION ALL SELECT 7, 'LLM judge', count(*) FILTER (WHERE f6), count(*) FILTER (WHERE f7) FROM flags
+  UNION ALL SELECT 8, 'TOTAL', count(*), count(*) FILTER (WHERE f7) FROM flags
+  UNION ALL SELECT 9, 'released as parquet', count(*) FILTER (WHERE f7), count(*) FILTER (WHERE f7 AND id % 2 = 0) FROM flags
+  UNION ALL SELECT 10, 'released as JSON lines', count(*) FILTER (WHERE f7), count(*) FILTER (WHERE f7 AND id % 2 = 0) FROM flags)
+SELECT stage_order, stage, before, after, before - after AS removed FROM s""")
+
+q("judge_job", ORACLE["judge_filter"])
+q("generate_job", ORACLE["generation_summary"])
+q("pick_split", "SELECT doc_id, lang FROM documents WHERE doc_id % 2 = 0")
+q("user_stages", funnel_sql(
+    [("Empty content", "f1"), ("Think tags", "f2"), ("N-gram repetition", "f3"), ("Turns", "f4"), ("Answer length", "f5")],
+    FUNNEL_BASE + f""",
+n AS (SELECT id, count(*) AS n FROM turns GROUP BY id),
+f0 AS (SELECT conv.*, n.n, ok_empty AND ok_think AND id NOT IN (SELECT id FROM loops) AS f3 FROM conv JOIN n USING (id)),
+flags AS (SELECT id, ok_empty AS f1, ok_empty AND ok_think AS f2, f3, f3 AND n >= {cat.JOB_MIN_TURNS} AS f4,
+                 f3 AND n >= {cat.JOB_MIN_TURNS} AND length(atext) <= {cat.JOB_MAX_CHARS} AS f5 FROM f0)"""))
+
+q("report_generations_job", f"""
+WITH fr AS ({ORACLE['finish_reasons'].replace("events", "gens").replace("event_type", "finish_reason").replace("WITH g AS", f"WITH {TURNS}, {GENS}, g AS", 1)}),
+tl AS ({ORACLE['think_language']}), lo AS ({ORACLE['looping_report']}), ct AS ({ORACLE['completion_tokens']})
+SELECT 'finish_reason' AS section, finish_reason AS label, "count"::DOUBLE AS value, pct, bar FROM fr
+UNION ALL SELECT 'thinking_language', language, "count", pct, bar FROM tl
+UNION ALL SELECT 'looping', label, "count", pct, bar FROM lo
+UNION ALL SELECT 'completion_tokens', 'min', min_tokens, NULL, NULL FROM ct
+UNION ALL SELECT 'completion_tokens', 'max', max_tokens, NULL, NULL FROM ct
+UNION ALL SELECT 'completion_tokens', 'avg', avg_tokens, NULL, NULL FROM ct
+UNION ALL SELECT 'completion_tokens', 'n', n, NULL, NULL FROM ct""")
+
+q("report_tokens_job", f"""
+WITH {TURNS}, c AS (SELECT id, string_agg(content, ' ' ORDER BY turn) AS t FROM turns GROUP BY id),
+t AS (SELECT CAST({tokcount('t')} AS INTEGER) AS tokens FROM c)
+SELECT count(tokens) AS samples, round(avg(tokens), 6) AS avg_tokens, min(tokens) AS min_tokens, max(tokens) AS max_tokens,
+       CAST(quantile_disc(tokens, 0.5 ORDER BY tokens DESC) AS BIGINT) AS median_tokens
+FROM t""")
+
+q("report_loops_job", f"""
+WITH samp AS (
+  SELECT item_id AS id, text FROM benchmark
+  ORDER BY md5('{cat.SEED}:' || CAST(item_id AS VARCHAR)), item_id LIMIT {cat.LOOP_SAMPLE_N}),
+gen AS (SELECT id, 'Question: ' || text || chr(10) AS prompt FROM samp),
+said AS (SELECT id, prompt, CASE WHEN id % 2 = 0 THEN repeat(prompt || ' ', 5) ELSE prompt END AS generated,
+                id % 5 = 0 AS no_eos FROM gen),
+{loops_cte('gl', 'said', 'id', 'generated', 10, 3)}
+SELECT id, md5(prompt) AS prompt_md5, md5(generated) AS generated_md5, no_eos, id IN (SELECT id FROM gl) AS ngram_loop,
+       no_eos OR id IN (SELECT id FROM gl) AS looping FROM said""")
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

@@ -23,31 +23,39 @@ SEQ_STEP = 50       # sequences per logged step
 VEC_PER_SEQ = 16    # embedding rows per logged sequence
 SEQ_PER_STEP = 4    # logged sequences per step in the token log
 PROMPT_WORDS = 12   # leading words of a document that form its prompt
+TURN_IDS = 1000     # ids of turns: so many for each conversation
 
 
 def chat(spark: SparkSession, sf_dir: str, variants: bool = True) -> DataFrame:
     return chat_table(spark, sf_dir, variants)
 
 
-def first_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(id, prompt, completion)``: first user and first assistant text of each
-    conversation having both."""
-    t = read_table(spark, sf_dir, "conversations")
-    return (
-        t.groupBy(F.col("conv_id").alias("id"))
-        .agg(
-            F.expr("min_by(text, turn) FILTER (WHERE role = 'user')").alias("prompt"),
-            F.expr("min_by(text, turn) FILTER (WHERE role = 'assistant')").alias("completion"),
-        )
-        .where(F.col("prompt").isNotNull() & F.col("completion").isNotNull())
-    )
+def _next_turns(spark: SparkSession, sf_dir: str, n: int) -> DataFrame:
+    """Every turn with the role and text of the ``n`` turns after it, by an equi-join on (conv_id, turn)."""
+    t = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    out = t
+    for k in range(1, n + 1):
+        later = t.select("conv_id", (F.col("turn") - k).alias("turn"), F.col("role").alias(f"role{k}"), F.col("text").alias(f"text{k}"))
+        out = out.join(later, ["conv_id", "turn"], "left")
+    return out
+
+
+def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(id, prompt, completion)``: every user turn that an assistant turn follows; id = 1000 * conv_id + turn."""
+    pairs = _next_turns(spark, sf_dir, 1).where("role = 'user' AND role1 = 'assistant' AND text IS NOT NULL AND text1 IS NOT NULL")
+    return pairs.select(_turn_id().alias("id"), F.col("text").alias("prompt"), F.col("text1").alias("completion"))
+
+
+def _turn_id():
+    return F.col("conv_id").cast("long") * TURN_IDS + F.col("turn")
 
 
 def preference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(conv_id, prompt, chosen, rejected?)`` from turns 0, 1 and 3."""
-    t = read_table(spark, sf_dir, "conversations")
-    pick = lambda k: F.max(F.when(F.col("turn") == k, F.col("text")))
-    return t.groupBy("conv_id").agg(pick(0).alias("prompt"), pick(1).alias("chosen"), pick(3).alias("rejected"))
+    """``(conv_id, prompt, chosen, rejected?)`` from every user turn: the turn after it is chosen, the second
+    turn after that (null at the end) rejected."""
+    t = _next_turns(spark, sf_dir, 3).where("role = 'user'")
+    return t.select(_turn_id().alias("conv_id"), F.col("text").alias("prompt"), F.col("text1").alias("chosen"),
+                    F.col("text3").alias("rejected"))
 
 
 def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +66,7 @@ def instruction_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(i % 3 == 0, F.lit("Tu es un assistant.")).otherwise(F.lit("")).alias("system"),
         F.col("text").alias("instruction"),
         F.when(i % 2 == 0, F.concat(F.lit("Contexte "), i.cast("string"))).otherwise(F.lit("")).alias("input"),
-        F.when(i % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("Réponse : "), F.substring("text", 1, 20))).alias("output"),
+        F.when(i % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("Réponse : "), F.col("text"))).alias("output"),
         F.when((i % 5 == 0) & (i % 10 != 0), F.concat(F.lit("r"), i.cast("string"))).alias("response"),
     )
 
@@ -77,10 +85,12 @@ def sequence_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distribution_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(step, seq_id, pos, token, mask, student, teacher)`` from embeddings:
-    the teacher of a row is the next row's vector (an equi-join on vec_id + 1)."""
+    """``(step, seq_id, pos, token, mask, student, teacher)`` from embeddings: the teacher of a row is the
+    next row's vector (an equi-join on vec_id + 1), that of the last row the first one's."""
     e = read_table(spark, sf_dir, "embeddings")
-    nxt = e.select((F.col("vec_id") - 1).alias("vec_id"), F.col("embedding").alias("teacher"))
+    least, most = e.agg(F.min("vec_id"), F.max("vec_id")).first()
+    before = F.when(F.col("vec_id") == least, most).otherwise(F.col("vec_id") - 1)
+    nxt = e.select(before.alias("vec_id"), F.col("embedding").alias("teacher"))
     return e.join(nxt, "vec_id").select(
         (F.col("vec_id") / (VEC_PER_SEQ * SEQ_PER_STEP)).cast("long").alias("step"),
         (F.col("vec_id") / VEC_PER_SEQ).cast("long").alias("seq_id"),
@@ -105,26 +115,46 @@ def metric_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def label_requests(df: DataFrame, spark: SparkSession, sf_dir: str, id_col: str = "id") -> DataFrame:
     """Attach ``labels.quality`` (joined on id = doc_id) for the stub judge."""
-    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias(id_col), "quality")
-    return df.join(labels, id_col, "left")
+    return _labelled(df, F.col(id_col), spark, sf_dir)
+
 
+def turn_requests(df: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for ids of turns: the label of the conversation."""
+    return _labelled(df, F.floor(F.col("id") / TURN_IDS).cast("long"), spark, sf_dir)
 
-def stub_replies(requests: DataFrame, checkpoint: bool = True) -> DataFrame:
+
+def _labelled(df: DataFrame, doc_id, spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = read_table(spark, sf_dir, "labels").select(F.col("doc_id").alias("_doc"), "quality")
+    return df.join(labels, doc_id == F.col("_doc"), "left").drop("_doc")
+
+
+def stub_replies(requests: DataFrame, checkpoint: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """Stub model replies, checkpointed: model output must not be recomputed."""
     from chatsift.session import checkpoint_root
 
-    replies = map_model(requests, LabelStubClient, request_cols=["id", "quality"], attempts=3)
+    replies = map_model(requests, LabelStubClient, request_cols=["id", "quality"], attempts=3, keep=keep)
     if checkpoint:
         checkpoint_root(requests.sparkSession)
         replies = replies.checkpoint()
     return replies
 
 
+class RepeatingClient:
+    """Deterministic stand-in model for the loop check: repeats the prompt of even ids, runs out of tokens at every fifth."""
+
+    def __init__(self, endpoint: str = "default"):
+        self.endpoint = endpoint
+
+    def complete(self, request: dict, **_options) -> dict:
+        i, prompt = int(request["id"]), request["prompt"]
+        return {"reply": (prompt + " ") * 5 if i % 2 == 0 else prompt, "finish_reason": "length" if i % 5 == 0 else "stop"}
+
+
 def done_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Text lines of a partly written generation sink (one per turn), with
     blank, truncated, id-less and string-id lines by ``conv_id % 7``."""
     t = read_table(spark, sf_dir, "conversations")
-    c = F.col("conv_id").cast("string")
+    c = _turn_id().cast("string")
     k = F.col("conv_id") % 7
     line = (
         F.when(k == 0, F.lit(""))

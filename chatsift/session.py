@@ -61,6 +61,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{root}/chatsift/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def staged(df, name: str):
+    """``df`` written below the checkpoint root and read back: computed once, whatever reads it, and no lineage."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

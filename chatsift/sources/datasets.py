@@ -130,7 +130,7 @@ def require_columns(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """Fail at plan time when a required column is absent."""
     for c in cols:
         if c not in df.columns:
-            raise ValueError(f"Dataset is missing required column {c!r}. Found: {df.columns}")
+            raise ValueError(f"no column {c!r} among {df.columns}")
     return df
 
 

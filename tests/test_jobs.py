@@ -35,8 +35,8 @@ def test_run_judge(spark):
 
 def test_run_generate_resumes(spark):
     root = tempfile.mkdtemp(prefix="cs-gen-")
-    pairs = tb.first_turns(spark, SF_SMALL).withColumnRenamed("completion", "demonstration")
-    data = tb.label_requests(pairs, spark, SF_SMALL)
+    pairs = tb.turn_pairs(spark, SF_SMALL).withColumnRenamed("completion", "demonstration")
+    data = tb.turn_requests(pairs, spark, SF_SMALL)
     write_split(data, f"{root}/ds", "train")
     s1 = jobs.run_generate(spark, f"{root}/ds", f"{root}/gen.jsonl", LabelStubClient, max_samples=10,
                            request_cols=("id", "quality")).first()
@@ -62,7 +62,7 @@ def test_prepare_jobs(spark):
     write_split(prefs, f"{root}/prefs", "train")
     t, v = jobs.prepare_dpo(spark, {"datasets": [{"name": f"{root}/prefs"}]}, max_length=400)
     assert v is None and 0 < t.count() <= prefs.count()
-    pairs = tb.first_turns(spark, SF_SMALL).withColumnRenamed("prompt", "query")
+    pairs = tb.turn_pairs(spark, SF_SMALL).withColumnRenamed("prompt", "query")
     write_split(pairs, f"{root}/pairs", "train")
     dcfg = {"datasets": [{"name": f"{root}/pairs", "column_map": {"prompt": "query"}}],
             "validation": {"split_size": 5}}
@@ -94,7 +94,56 @@ def test_cli_prepare_and_curate(spark, tmp_path):
     n = tb.chat(spark, SF_SMALL).count()
     assert spark.read.parquet(f"{root}/sft/train").count() + spark.read.parquet(f"{root}/sft/validation").count() == n
     cli.main(["curate", "--dataset", f"{root}/chat", "--release", f"{root}/rel"])
-    assert spark.read.parquet(f"{root}/rel/curated/train").count() <= n
+    from chatsift.sinks.writers import read_release
+
+    plain = read_release(spark, f"{root}/rel", "curated").count()
+    assert 0 < plain <= n
+    # a judge that turns every second conversation down, a user stage, sampling options
+    cli.main(["curate", "--dataset", f"{root}/chat", "--release", f"{root}/rel", "--client", f"{__name__}:EvenJudge",
+              "--stage", f"{__name__}:two_stages", "--temperature", "0.3", "--max-tokens", "7"])
+    kept = read_release(spark, f"{root}/rel", "curated")
+    assert 0 < kept.count() < plain and kept.where("id % 2 = 1 or size(messages) < 3").count() == 0
+
+
+class EvenJudge:
+    def __init__(self, endpoint):
+        self.endpoint = endpoint
+
+    def complete(self, request, temperature, top_p, max_tokens):
+        assert (temperature, top_p, max_tokens) == (0.3, 0.1, 7)
+        return {"reply": "True" if int(request["id"]) % 2 == 0 else "False"}
+
+
+def two_stages():
+    from chatsift.operators.stages import Stage
+
+    return [Stage("three turns", F.size("messages") >= 3), Stage("known", lambda m: m.isNotNull(), ("messages",))]
+
+
+def test_curation_runs_every_stage_once_and_keeps_null_ids(spark, tmp_path):
+    from chatsift.operators.lang import train_lang_profiles
+    from chatsift.operators.stages import Stage
+    from chatsift.sinks.writers import read_release, release_manifest
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(turns):
+        seen.add(turns is not None)
+        return True
+
+    chats = tb.chat(spark, SF_SMALL).withColumn("id", F.when(F.col("id") % 2 == 0, F.col("id") % 3))
+    write_split(chats, f"{tmp_path}/chat", "train")
+    prof = train_lang_profiles(read_table(spark, SF_SMALL, "documents"))
+    want = jobs.curate(chats, prof, "en", user_stages=[]).kept
+    funnel = jobs.run_curate(spark, f"{tmp_path}/chat", f"{tmp_path}/rel", prof, lang="en",
+                             user_stages=[Stage("counted", counted, (F.size("messages"),))])
+    kept = read_release(spark, f"{tmp_path}/rel", "curated")
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, want.collect())) and kept.where("id is null").count() > 0
+    assert seen.value == kept.count()  # once for each row that came so far
+    last = funnel.orderBy("stage_order").collect()[-1]
+    assert (last.stage, last.before, last.after) == ("TOTAL", chats.count(), kept.count())
+    assert spark.read.json(release_manifest(spark, f"{tmp_path}/rel", "curated")["jsonl"]).count() == kept.count()
 
 
 class EchoModel:

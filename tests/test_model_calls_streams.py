@@ -86,6 +86,85 @@ def test_generate_stream_sends_messages_and_tries_failed_rows_again(spark):
     assert all(r.messages[1].content.endswith(f"p{r.id}") for r in rows)
 
 
+class DownWhile:
+    """Fails for id 3 while a file exists; counts its calls in files."""
+
+    def __init__(self, endpoint="default"):
+        self.root = endpoint
+
+    def complete(self, request, **_options):
+        import os
+        import uuid
+
+        open(f"{self.root}/call-{int(request['id'])}-{uuid.uuid4().hex}", "w").close()
+        if int(request["id"]) == 3 and os.path.exists(f"{self.root}/down"):
+            raise RuntimeError("down")
+        return {"reply": "ok"}
+
+
+def _calls(root, i):
+    import os
+
+    return sum(name.startswith(f"call-{i}-") for name in os.listdir(root))
+
+
+def test_failed_requests_of_the_last_batch_are_made_again_by_a_restart(spark):
+    from chatsift.streaming.jobs import generate_stream
+
+    root = tempfile.mkdtemp(prefix="cs-gen-")
+    src, sink, ck = f"{root}/src", f"{root}/sink", f"{root}/ck"
+    open(f"{root}/down", "w").close()
+    reqs = spark.range(6).select("id", F.lit("p").alias("prompt"), F.lit("d").alias("demonstration"), F.lit(1).alias("quality"))
+    null = reqs.where("id = 0").withColumn("id", F.lit(None).cast("long"))
+    reqs.write.parquet(f"{src}/part1")
+    run = lambda: generate_stream(spark, f"{src}/*", sink, ck, DownWhile, [root], max_attempts=4).awaitTermination()
+    run()
+    assert sorted(int(r.id) for r in spark.read.json(sink).collect()) == [0, 1, 2, 4, 5]
+    run()  # no new file, still down
+    assert _calls(root, 3) == 2 and _calls(root, 1) == 1
+    import os
+
+    os.rename(f"{root}/down", f"{root}/up")
+    run()  # no new file
+    assert sorted(int(r.id) for r in spark.read.json(sink).collect()) == [0, 1, 2, 3, 4, 5]
+    reqs.write.parquet(f"{src}/part2")  # ids that came before, and a request that is new
+    reqs.where("id = 0").withColumn("id", F.lit(9).cast("long")).write.parquet(f"{src}/part3")
+    run()
+    run()
+    assert sorted(int(r.id) for r in spark.read.json(sink).collect()) == [0, 1, 2, 3, 4, 5, 9] and _calls(root, 3) == 3
+    assert null.count() == 1
+
+
+def test_requests_that_always_fail_end_in_the_table_of_failures(spark):
+    from chatsift.streaming.jobs import generate_stream
+
+    root = tempfile.mkdtemp(prefix="cs-gen-")
+    src, sink, ck = f"{root}/src", f"{root}/sink", f"{root}/ck"
+    open(f"{root}/down", "w").close()
+    reqs = spark.range(4).select("id", F.lit("p").alias("prompt"), F.lit("d").alias("demonstration"), F.lit(1).alias("quality"))
+    reqs.write.parquet(f"{src}/part1")
+    for _ in range(4):
+        generate_stream(spark, f"{src}/*", sink, ck, DownWhile, [root], max_attempts=2).awaitTermination()
+    assert _calls(root, 3) == 2
+    failed = spark.read.parquet(f"{ck}-requests/failed/*").collect()
+    assert [(r.id, r._attempts) for r in failed] == [(3, 2)] and "down" in failed[0].error
+
+
+def test_requests_without_an_id_all_pass(spark):
+    from chatsift.streaming.jobs import new_requests, REQUEST_SCHEMA
+
+    root = tempfile.mkdtemp(prefix="cs-new-")
+    rows = [(None, "a", "d", None), (None, "a", "d", 1), (2 ** 60 + 1, "b", "d", None), (7, None, "d", 0)]
+    for part in ("a", "b"):
+        spark.createDataFrame(rows, REQUEST_SCHEMA).coalesce(1).write.parquet(f"{root}/src/{part}")
+    stream = spark.readStream.schema(REQUEST_SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{root}/src/*")
+    q = (new_requests(stream).writeStream.format("parquet").option("checkpointLocation", f"{root}/ck")
+         .trigger(availableNow=True).start(f"{root}/out"))
+    q.awaitTermination()
+    got = sorted((tuple(r) for r in spark.read.parquet(f"{root}/out").collect()), key=repr)
+    assert got == sorted(rows[:2] * 2 + rows[2:], key=repr)
+
+
 def test_unparsable_verdicts_are_asked_for_again(spark):
     from chatsift.plans.jobs import states_verdict
 

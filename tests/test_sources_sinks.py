@@ -1,9 +1,12 @@
+import json
 import os
 import tempfile
 
 import pytest
 
-from chatsift.sinks.writers import append_jsonl, empty_chat, publish, write_json_report, write_split
+from chatsift.sinks.writers import (
+    append_jsonl, empty_chat, publish, read_release, release_manifest, write_json_report, write_split,
+)
 from chatsift.sources.datasets import (
     load_config, load_split, pick_split, read_done_ids, read_jsonl_strict, require_columns,
 )
@@ -56,12 +59,28 @@ def test_publish_and_report(spark):
     out = publish(spark.range(4), root, "rel")
     assert spark.read.parquet(out["parquet"]).count() == 4
     assert spark.read.json(out["jsonl"]).count() == 4
-    rep = write_json_report(spark.range(2), os.path.join(root, "r.json"))
-    assert open(rep, encoding="utf-8").read().startswith("[\n  {")
+    first = release_manifest(spark, root, "rel")
+    assert first == out and read_release(spark, root, "rel").count() == 4
+    publish(spark.range(5), root, "rel")
+    assert read_release(spark, root, "rel").count() == 5 and spark.read.parquet(first["parquet"]).count() == 4
+
+
+@pytest.mark.parametrize("parts", [0, 1, 7, 40])
+def test_json_report_is_one_array_of_all_parts(spark, parts):
+    path = os.path.join(tempfile.mkdtemp(prefix="cs-rep-"), "deep", "r.json")
+    rows = [{"id": i, "text": f'é "{i}"\n', "none": None, "turns": [{"role": "user", "n": i / 2}]} for i in range(3 * parts // 2)]
+    schema = "id long, text string, none string, turns array<struct<role:string,n:double>>"
+    df = spark.createDataFrame([(r["id"], r["text"], None, [("user", r["id"] / 2)]) for r in rows], schema)
+    if parts > 1:
+        df = df.repartitionByRange(parts, "id")  # some parts are empty
+    for _ in range(2):  # the second one replaces the first
+        write_json_report(df, path)
+        assert open(path, encoding="utf-8").read() == json.dumps(rows, indent=2, ensure_ascii=False)
+    assert os.listdir(os.path.dirname(path)) in (["r.json"], [".r.json.crc", "r.json"], ["r.json", ".r.json.crc"])
 
 
 def test_require_columns(spark):
-    with pytest.raises(ValueError, match="Found"):
+    with pytest.raises(ValueError, match="no column 'prompt'"):
         require_columns(spark.range(1), ["id", "prompt"])
 
 

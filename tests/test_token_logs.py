@@ -73,7 +73,7 @@ def test_grouped_quantile_exact(spark, q):
     rows = [(g, float(rng.choice([rng.random(), 0.5, 0.25]))) for g in range(4) for _ in range(rng.randint(1, 400))]
     rows += [(9, rng.random()) for _ in range(2500)]          # a group larger than ``accuracy``
     df = spark.createDataFrame(rows, "g long, v double")
-    got = {r.g: r.quantile for r in grouped_quantile(df, ["g"], "v", q, accuracy=100).collect()}
+    got = {r.g: r.quantile for r in grouped_quantile(df, ["g"], "v", q, ranges=16).collect()}
     for g in list(range(4)) + [9]:
         assert got[g] == pytest.approx(_torch_like_quantile([v for gg, v in rows if gg == g], q), abs=1e-12)
     spark_pct = {r.g: r.p for r in df.groupBy("g").agg(F.percentile("v", q).alias("p")).collect()}
