@@ -11,15 +11,19 @@ size); a group of exact copies is never compared.
 2. In a tile, sorted by size, each set meets those within the size band that t
    allows.  Signatures (parities of hashed shingles) bound the overlap from
    above: every differing bit is a shingle of only one set.  A tile emits a
-   spanning forest of the pairs that pass, never the pairs.  Tiles too large for
-   a task's memory pass as a whole.
+   spanning forest of the pairs that pass, never the pairs.  Tiles of over
+   ``TILE_ROWS`` sets are cut into overlapping bands of size first; a band that is
+   still too large for a task's memory passes as a whole.
 3. Components of the forests are clusters: no link leaves one.  Each set of a
-   cluster is sent once, with its array, to a block of at most ``BLOCK`` sets,
-   where links are tested exactly, skipping sets already connected.
-4. Clusters of several blocks: samples of the larger components of each block
-   are joined first; then every set outside the largest component meets all
-   sets of its cluster, block by block.  So each pair of sets of different
-   components has been tested.
+   cluster is sent once, with its array, to a block of about ``BLOCK`` sets and
+   ``BLOCK_BYTES`` of arrays, where links are tested exactly, skipping sets already
+   connected.
+4. Clusters of several blocks are blocked by bands of size, so that linked sets
+   lie in one band or in two that are next to each other.  Samples of the larger
+   components of each block are joined first; then every set outside the largest
+   component meets all sets of its cluster in the bands around its own, block by
+   block.  So each pair of sets of different components that sizes allow has been
+   tested.
 
 Texts without words have the empty set and no link.  Null ids are allowed; the
 component of a row is the least id in it.
@@ -43,6 +47,7 @@ PERCENT = 85
 #: Frequent shingles that the order of the prefix knows; any number is right.
 FREQUENT = 100_000
 BLOCK = 1024
+BLOCK_BYTES = 4 << 20
 TILE_ROWS = 20_000
 MEMO = 100_000  # ids or edges that a task remembers, so as not to send them again
 HELD = 1_000_000  # shingles that a task holds to find frequent ones
@@ -212,61 +217,66 @@ def _arrays(size: int, wanted):
 
 # ------------------------------------------------------------------- tiles ---
 
-def _shared(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (shingle, set_id) in this order: the tiles of two sets or more, named by their members."""
-    names = ["tile", "set_id"]
-    rest: pa.Table | None = None
-
-    def tiles(shingle, ids):
-        """Of whole tiles; the rows of a set that several tasks sent count once."""
-        fresh = np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (ids[1:] != ids[:-1])))
-        shingle, ids = shingle[fresh], ids[fresh]
-        at = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
-        count = np.diff(np.append(at, len(shingle)))
-        # The sum of mixed ids names a small tile: its order does not matter.  A large one keeps its shingle.
-        named = np.add.reduceat(_mix(ids.view(np.uint64)), at) * np.uint64(2) + count.astype(np.uint64)
-        named = np.where(count <= SMALL_TILE, _mix(named), shingle[at].view(np.uint64))
-        keep = np.repeat(count > 1, count)
-        return pa.RecordBatch.from_arrays([pa.array(np.repeat(named, count)[keep].view(np.int64)), pa.array(ids[keep])],
-                                          names=names)
-
-    lead: tuple[int, int] | None = None  # of a tile longer than one batch: its shingle and last set
-    for batch in rows:
-        shingle, ids = batch.column("shingle").to_numpy(), batch.column("set_id").to_numpy()
-        if rest is not None:
-            shingle, ids = np.concatenate((rest[0], shingle)), np.concatenate((rest[1], ids))
-            rest = None
-        if not len(shingle):
-            continue
-        whole = np.flatnonzero(shingle != shingle[-1])
-        cut = int(whole[-1]) + 1 if len(whole) else 0
-        if cut:
-            if lead is not None and shingle[0] == lead[0]:
-                first = int(np.flatnonzero(shingle != lead[0])[0])
-                yield _more(lead, ids[:first], names)
-                shingle, ids, cut = shingle[first:], ids[first:], cut - first
-            lead = None
+def _shared(tile_rows: int):
+    """From (shingle, set_id) in this order: the tiles of two sets or more, named by their members; ``large`` marks
+    those that went out as they came."""
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["tile", "set_id", "large"]
+        rest: pa.Table | None = None
+
+        def tiles(shingle, ids):
+            """Of whole tiles; the rows of a set that several tasks sent count once."""
+            fresh = np.concatenate(([True], (shingle[1:] != shingle[:-1]) | (ids[1:] != ids[:-1])))
+            shingle, ids = shingle[fresh], ids[fresh]
+            at = np.flatnonzero(np.concatenate(([True], shingle[1:] != shingle[:-1])))
+            count = np.diff(np.append(at, len(shingle)))
+            # The sum of mixed ids names a small tile: its order does not matter.  A large one keeps its shingle.
+            named = np.add.reduceat(_mix(ids.view(np.uint64)), at) * np.uint64(2) + count.astype(np.uint64)
+            named = np.where(count <= SMALL_TILE, _mix(named), shingle[at].view(np.uint64))
+            keep = np.repeat(count > 1, count)
+            return pa.RecordBatch.from_arrays([pa.array(np.repeat(named, count)[keep].view(np.int64)), pa.array(ids[keep]),
+                                               pa.array(np.zeros(int(keep.sum()), bool))], names=names)
+
+        lead: tuple[int, int] | None = None  # of a tile longer than one batch: its shingle and last set
+        for batch in rows:
+            shingle, ids = batch.column("shingle").to_numpy(), batch.column("set_id").to_numpy()
+            if rest is not None:
+                shingle, ids = np.concatenate((rest[0], shingle)), np.concatenate((rest[1], ids))
+                rest = None
+            if not len(shingle):
+                continue
+            whole = np.flatnonzero(shingle != shingle[-1])
+            cut = int(whole[-1]) + 1 if len(whole) else 0
             if cut:
-                yield tiles(shingle[:cut], ids[:cut])
-        shingle, ids = shingle[cut:], ids[cut:]
-        if lead is not None and shingle[0] == lead[0]:
-            yield _more(lead, ids, names)
-            lead = (lead[0], int(ids[-1]))
-        elif len(np.unique(ids)) > TILE_ROWS:  # goes out as it comes
-            distinct = ids[np.concatenate(([True], ids[1:] != ids[:-1]))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), shingle[0])), pa.array(distinct)], names=names)
-            lead = (int(shingle[0]), int(ids[-1]))
-        else:
-            rest = (shingle, ids)
-    if rest is not None:
-        yield tiles(*rest)
+                if lead is not None and shingle[0] == lead[0]:
+                    first = int(np.flatnonzero(shingle != lead[0])[0])
+                    yield _more(lead, ids[:first], names)
+                    shingle, ids, cut = shingle[first:], ids[first:], cut - first
+                lead = None
+                if cut:
+                    yield tiles(shingle[:cut], ids[:cut])
+            shingle, ids = shingle[cut:], ids[cut:]
+            if lead is not None and shingle[0] == lead[0]:
+                yield _more(lead, ids, names)
+                lead = (lead[0], int(ids[-1]))
+            elif len(np.unique(ids)) > tile_rows:  # goes out as it comes
+                distinct = ids[np.concatenate(([True], ids[1:] != ids[:-1]))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), shingle[0])), pa.array(distinct),
+                                                  pa.array(np.ones(len(distinct), bool))], names=names)
+                lead = (int(shingle[0]), int(ids[-1]))
+            else:
+                rest = (shingle, ids)
+        if rest is not None:
+            yield tiles(*rest)
+    return run
 
 
 def _more(lead, ids, names):
     distinct = ids[np.concatenate(([True], ids[1:] != ids[:-1]))] if len(ids) else ids
     if len(distinct) and distinct[0] == lead[1]:
         distinct = distinct[1:]
-    return pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), lead[0], np.int64)), pa.array(distinct)], names=names)
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(distinct), lead[0], np.int64)), pa.array(distinct),
+                                       pa.array(np.ones(len(distinct), bool))], names=names)
 
 
 class _Signatures:
@@ -314,7 +324,7 @@ def _forest(n: np.ndarray, percent: int, test) -> list[tuple[int, int]]:
     return edges
 
 
-def _tile_forests(percent: int):
+def _tile_forests(percent: int, tile_rows: int):
     """From (tile, n, set_id, sig) in this order: edges between sets that may link."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b"]
@@ -355,7 +365,7 @@ def _tile_forests(percent: int):
                     held = [(n, i, sig)]
                     continue
                 held.append((n, i, sig))
-                if len(held) > TILE_ROWS:  # passes as a whole; the exact test comes later
+                if len(held) > tile_rows:  # passes as a whole; the exact test comes later
                     out.extend((x[1], y[1]) for x, y in zip(held, held[1:]))
                     held, chained = held[-1:], True
             yield edges(out)
@@ -430,10 +440,13 @@ def _edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
+_PAIR = ["cluster", "out_band", "out_block", "band", "block"]
+
+
 def _outside_links(percent: int):
     """In a block of sets outside the main component and a block of any: a link for each pair of components that has one."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _in_groups(rows, ["cluster", "out_block", "block"]):
+        for _, held in _in_groups(rows, _PAIR):
             found = []
             ids = [r["set_id"] for r in held]
             sets = _Sets([r["shingles"] for r in held])
@@ -467,7 +480,12 @@ def _filter_bits(df: DataFrame, column: str):
     return spark.sparkContext.broadcast(out.tobytes())
 
 
-def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, block: int) -> DataFrame:
+def _band(n, percent: int):
+    """Sizes that ``percent`` allows to link lie in one band or in two that follow each other."""
+    return F.floor(F.log(n.cast("double")) / float(np.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1.0)).cast("int")
+
+
+def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, block: int, tile_rows: int = TILE_ROWS) -> DataFrame:
     """(node, root) of the sets that link with another set.  ``docs``: text; ``sets``: set_id, n, sig, distinct."""
     spark = docs.sparkSession
     often = (sets.where("found IS NOT NULL").groupBy("set_id").agg(F.sum("found").alias("c"))
@@ -478,23 +496,32 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
     kinds = sets.where("found IS NULL AND n > 0").groupBy("set_id").agg(F.first("n").alias("n"), F.first("sig").alias("sig"))
 
     postings = arrow_map(docs.select("text"), _prefixes(size, percent, frequent), "shingle long, set_id long")
-    shared = arrow_map(_blocked(postings, ["shingle"], ["set_id"]), _shared, "tile long, set_id long").distinct()
-    tiles = shared.join(kinds, "set_id")
+    shared = arrow_map(_blocked(postings, ["shingle"], ["set_id"]), _shared(tile_rows), "tile long, set_id long, large boolean").distinct()
+    # A large tile as overlapping bands of size: each set in its own band and in the next one.
+    band = _band(F.col("n"), percent)
+    parts = F.when(F.col("large"), F.array(F.xxhash64("tile", band), F.xxhash64("tile", band + 1))).otherwise(F.array("tile"))
+    tiles = shared.join(kinds, "set_id").select(F.explode(parts).alias("tile"), "n", "set_id", "sig")
     edges = arrow_map(_blocked(tiles, ["tile"], ["n", "set_id"]).select("tile", "n", "set_id", "sig"),
-                      _tile_forests(percent), "a long, b long")
+                      _tile_forests(percent, tile_rows), "a long, b long")
     clusters = staged(connected_components(edges).withColumnRenamed("root", "cluster"), "clusters")
 
-    per_cluster = clusters.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).withColumn(
-        "blocks", F.ceil(F.col("size") / block).cast("int"))
-    member = clusters.join(per_cluster, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    sized = clusters.join(kinds.select(F.col("set_id").alias("node"), "n"), "node").withColumn("band", _band(F.col("n"), percent))
+    blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+    per_cluster = sized.groupBy("cluster").agg(blocks.alias("in_all"))
+    per_band = sized.groupBy("cluster", "band").agg(blocks.alias("in_band"))
+    one = F.col("in_all") == 1
+    member = (sized.join(per_cluster, "cluster").join(per_band, ["cluster", "band"])
+              .withColumns({"band": F.when(one, 0).otherwise(F.col("band")), "blocks": F.when(one, 1).otherwise(F.col("in_band"))})
+              .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+              .select("cluster", "node", "band", "block", "blocks", (~one).alias("several")))
     arrays = arrow_map(docs.select("text"), _arrays(size, _filter_bits(clusters, "node")), "set_id long, shingles binary")
     member = member.join(arrays, F.col("node") == F.col("set_id"))
     member = staged(member.dropDuplicates(["node"])
-                    .select("cluster", "block", "blocks", "set_id", F.length("shingles").alias("n"), "shingles"), "blocks")
-    links = staged(arrow_map(_blocked(member, ["cluster", "block"], ["n", "set_id"]),
-                             _block_links(percent, ["cluster", "block"]), "a long, b long"), "links")
+                    .select("cluster", "band", "block", "blocks", "several", "set_id", F.length("shingles").alias("n"), "shingles"), "blocks")
+    keys = ["cluster", "band", "block"]
+    links = staged(arrow_map(_blocked(member, keys, ["n", "set_id"]), _block_links(percent, keys), "a long, b long"), "links")
     roots = connected_components(links)
-    split = member.where("blocks > 1")
+    split = member.where("several").drop("several")
     if split.select(F.lit(1)).head(1):
         links = staged(links.unionByName(_across_blocks(split, links, roots, percent, block)), "links")
         roots = connected_components(links)
@@ -508,32 +535,40 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
         return member.join(r, F.col("set_id") == F.col("r_node"), "left").withColumn(
             "root", F.coalesce("root", "set_id")).drop("r_node")
 
-    # Up to 8 sets of each block's component of 32 sets or more, a quarter of a block at most.
+    # Up to 8 sets of each block's component of 32 sets or more, a quarter of a block at most; in two of three rounds
+    # the samples of a band meet, in the third those of a band and the next one.
+    keys = ["cluster", "band", "block"]
     now = rooted(roots)
-    sizes = now.groupBy("cluster", "block", "root").agg(F.count(F.lit(1)).alias("held")).where("held >= 32")
-    pick = Window.partitionBy("cluster", "block", "root").orderBy(F.xxhash64("set_id"), "set_id")
-    chosen = (now.select("cluster", "block", "root", "set_id").join(sizes, ["cluster", "block", "root"])
-              .withColumn("k", F.row_number().over(pick)).where("k <= 8").select("set_id", F.pmod("k", F.lit(2)).alias("part")))
+    sizes = now.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("held")).where("held >= 32")
+    pick = Window.partitionBy(*keys, "root").orderBy(F.xxhash64("set_id"), "set_id")
+    chosen = (now.select(*keys, "root", "set_id").join(sizes, [*keys, "root"])
+              .withColumn("k", F.row_number().over(pick)).where("k <= 8").select("set_id", F.pmod("k", F.lit(4)).alias("part")))
+    wide = F.col("part") >= 2
     sample = (member.drop("block").join(chosen, "set_id")
-              .withColumn("block", F.col("part") * F.col("blocks") + F.pmod(F.xxhash64("set_id", F.lit(5)), F.greatest(
-                  F.lit(1), F.ceil(F.col("blocks") * 256 / block)))))
-    links = links.unionByName(arrow_map(_blocked(sample, ["cluster", "block"], ["n", "set_id"]),
-                                        _block_links(percent, ["cluster", "block"]), "a long, b long"))
+              .withColumn("block", F.col("part") * 1_000_000 + F.pmod(F.xxhash64("set_id", F.lit(5)), F.greatest(
+                  F.lit(1), F.ceil(F.col("blocks") * 128 / block))))
+              .withColumn("band", F.when(wide, F.floor((F.col("band") + F.col("part") - 2) / 2).cast("int")).otherwise(F.col("band"))))
+    links = links.unionByName(arrow_map(_blocked(sample, keys, ["n", "set_id"]), _block_links(percent, keys), "a long, b long"))
     links = staged(links, "links")
     now = staged(rooted(connected_components(links)), "rooted")
     count = now.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("held"))
     main = count.groupBy("cluster").agg(F.max(F.struct("held", "root")).alias("m")).select("cluster", F.col("m.root").alias("main"))
     now = now.join(main, "cluster")
     outside = now.where("root <> main")
-    out_blocks = (outside.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
-                  .select("cluster", F.ceil(F.col("n") / block).cast("int").alias("out_blocks")))
-    columns = ["cluster", "out_block", "block", "set_id", "root", "outer", "shingles"]
-    inner = (now.join(out_blocks, "cluster").withColumn("out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)))
+    need = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_BYTES)).cast("int")
+    out_blocks = outside.groupBy("cluster", F.col("band").alias("out_band")).agg(need.alias("out_blocks"))
+    in_blocks = now.groupBy("cluster", "band").agg(F.max("blocks").alias("blocks"))
+    beside = lambda c: F.explode(F.array(c - 1, c, c + 1))
+    columns = [*_PAIR, "set_id", "root", "outer", "shingles"]
+    inner = (now.withColumn("out_band", beside(F.col("band"))).join(out_blocks, ["cluster", "out_band"])
+             .withColumn("out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)))
              .withColumn("outer", F.lit(False)).select(columns))
-    outer = (outside.join(out_blocks, "cluster").withColumn("out_block", F.pmod(F.xxhash64("set_id", F.lit(3)), "out_blocks").cast("int"))
+    outer = (outside.withColumnRenamed("band", "out_band").drop("blocks", "block").join(out_blocks, ["cluster", "out_band"])
+             .withColumn("out_block", F.pmod(F.xxhash64("set_id", F.lit(3)), "out_blocks").cast("int"))
+             .withColumn("band", beside(F.col("out_band"))).join(in_blocks, ["cluster", "band"])
              .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("outer", F.lit(True)).select(columns))
-    pairs = _blocked(inner.unionByName(outer), ["cluster", "out_block", "block"], ["outer", "set_id"])
+    pairs = _blocked(inner.unionByName(outer), _PAIR, ["outer", "set_id"])
     return arrow_map(pairs, _outside_links(percent), "a long, b long").unionByName(links)
 
 
@@ -546,11 +581,11 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE,
-                       percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
+                       percent: int = PERCENT, block: int = BLOCK, tile_rows: int = TILE_ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     src = _source(docs, id_col, text_col)
     sets = staged(arrow_map(src, _describe(size), _DESCRIBED), "sets")
-    roots = set_components(src, sets, size, percent, block)
+    roots = set_components(src, sets, size, percent, block, tile_rows)
     rows = sets.where("found IS NULL").select("doc_id", "set_id", F.col("n").cast("long").alias("n_shingles"))
     rows = (rows.join(roots, F.col("set_id") == F.col("node"), "left")
             .withColumn("class", F.coalesce("root", "set_id")).select("doc_id", "n_shingles", "class"))

@@ -365,6 +365,38 @@ def test_jaccard_across_blocks_equals_brute_force(spark):
         assert got == {i: (len(sets[i]), top(i)) for i in range(len(docs))}
 
 
+def test_jaccard_of_oversize_tiles_and_long_sets_equals_brute_force(spark, monkeypatch):
+    """One passage in all texts, texts of growing length (links across bands of size), long sets, small blocks and tiles."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{i}" for i in range(30))
+    docs = []
+    for length in (1, 40, 46, 52, 60, 69, 80, 93, 107, 1500, 1700):
+        base = [f"b{length}x{rng.randrange(9**6)}" for _ in range(length)]
+        for k in range(7):
+            words = base[:length - rng.randrange(1 + length // 20)]
+            docs.append(passage + " " + " ".join(words) if k else passage + " own" + str(length))
+    grown = [f"g{i}" for i in range(400)]
+    docs += [" ".join(grown[:n]) for n in range(40, 400, 6)]
+    sets = [set(s.tolist()) for s in jaccard_join.shingle_sets(docs)]
+    parent = list(range(len(docs)))
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 85 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((top(i), top(j)))
+                parent[b] = a
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 4096)
+    got = {r["doc_id"]: r["component_id"] for r in _rows(jaccard_join.jaccard_components(df, block=8, tile_rows=12))}
+    assert got == {i: top(i) for i in range(len(docs))}
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in _rows(components.connected_components(spark.createDataFrame(edges, "a long, b long")))}
