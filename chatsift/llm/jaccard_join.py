@@ -20,10 +20,10 @@ size); a group of exact copies is never compared.
    connected.
 4. Clusters of several blocks are blocked by bands of size, so that linked sets
    lie in one band or in two that are next to each other.  Samples of the larger
-   components of each block are joined first; then every set outside the largest
-   component meets all sets of its cluster in the bands around its own, block by
-   block.  So each pair of sets of different components that sizes allow has been
-   tested.
+   components of each block are joined first; then the sets outside the largest
+   component form blocks of zones of bands, which a task holds indexed by shingle
+   while all sets of the cluster in those bands pass by.  So each pair of sets of
+   different components that sizes allow has been tested.
 
 Texts without words have the empty set and no link.  Null ids are allowed; the
 component of a row is the least id in it.
@@ -48,6 +48,8 @@ PERCENT = 85
 FREQUENT = 100_000
 BLOCK = 1024
 BLOCK_BYTES = 4 << 20
+OUT_BYTES = 16 << 20  # arrays of a block of sets outside the main component
+ZONE = 8  # bands of size that one such block spans
 TILE_ROWS = 20_000
 MEMO = 100_000  # ids or edges that a task remembers, so as not to send them again
 HELD = 1_000_000  # shingles that a task holds to find frequent ones
@@ -440,27 +442,60 @@ def _edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-_PAIR = ["cluster", "out_band", "out_block", "band", "block"]
+class _Index:
+    """The arrays of some sets, by shingle: which sets hold it."""
+
+    def __init__(self, raw: list[bytes]):
+        sets = [np.frombuffer(r, np.uint64) for r in raw]
+        self.n = np.array([len(x) for x in sets], np.int64)
+        flat = np.concatenate(sets)
+        by = np.argsort(flat, kind="stable")
+        self.owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.n)[by]
+        self.values, self.at = np.unique(flat[by], return_index=True)
+        self.at = np.append(self.at, len(flat))
+
+    def linked(self, shingles: np.ndarray, percent: int) -> np.ndarray:
+        """The sets that link with this one, exactly: 100 x intersection >= percent x union."""
+        place = np.minimum(np.searchsorted(self.values, shingles), len(self.values) - 1)
+        place = place[self.values[place] == shingles]
+        first, counts = self.at[place], self.at[place + 1] - self.at[place]
+        where = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+        both = np.bincount(self.owner[where], minlength=len(self.n))
+        return np.flatnonzero((both > 0) & (100 * both >= percent * (len(shingles) + self.n - both)))
+
+
+_PAIR = ["cluster", "zone", "out_block"]
 
 
 def _outside_links(percent: int):
-    """In a block of sets outside the main component and a block of any: a link for each pair of components that has one."""
+    """Streams the sets of a cluster past a block of sets outside its main component, which come first: a link for each
+    pair of components that has one."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _in_groups(rows, _PAIR):
-            found = []
-            ids = [r["set_id"] for r in held]
-            sets = _Sets([r["shingles"] for r in held])
-            tops = np.array([r["root"] for r in held], np.int64)  # components as the links found here join them
-            outer = np.array([r["outer"] for r in held])
-            for i in np.flatnonzero(outer).tolist():
-                others = np.flatnonzero(~outer & (tops != tops[i]))
-                hit = others[sets.links(i, others, percent)] if len(others) else others
-                for j in hit.tolist():
-                    if tops[i] != tops[j]:
-                        low, high = min(tops[i], tops[j]), max(tops[i], tops[j])
-                        tops[tops == high] = low
-                        found.append((ids[i], ids[j]))
+        key, held, index, top, found = None, [], None, {}, []
+
+        def root(x):
+            while x in top:
+                x = top[x]
+            return x
+
+        for batch in batches(rows, 256):
+            for r in batch.to_pylist():
+                k = tuple(r[c] for c in _PAIR)
+                if k != key:
+                    key, held, index, top = k, [], None, {}
+                if r["outer"]:
+                    held.append(r)
+                    continue
+                if index is None:
+                    index = _Index([h["shingles"] for h in held])
+                    held = [(h["set_id"], h["root"]) for h in held]
+                for j in index.linked(np.frombuffer(r["shingles"], np.uint64), percent).tolist():
+                    x, y = root(r["root"]), root(held[j][1])
+                    if x != y:
+                        top[max(x, y)] = min(x, y)
+                        found.append((held[j][0], r["set_id"]))
             yield _edge_batch(found)
+            found = []
     return run
 
 
@@ -555,20 +590,19 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
     main = count.groupBy("cluster").agg(F.max(F.struct("held", "root")).alias("m")).select("cluster", F.col("m.root").alias("main"))
     now = now.join(main, "cluster")
     outside = now.where("root <> main")
-    need = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_BYTES)).cast("int")
-    out_blocks = outside.groupBy("cluster", F.col("band").alias("out_band")).agg(need.alias("out_blocks"))
-    in_blocks = now.groupBy("cluster", "band").agg(F.max("blocks").alias("blocks"))
-    beside = lambda c: F.explode(F.array(c - 1, c, c + 1))
+    # Sets outside by zones of bands and blocks within them; all sets of the bands that a zone can link with pass by.
+    zone = lambda band: F.floor(band / ZONE).cast("int")
+    out_blocks = (outside.groupBy("cluster", zone(F.col("band")).alias("zone"))
+                  .agg(F.ceil(F.sum("n") / OUT_BYTES).cast("int").alias("out_blocks")))
     columns = [*_PAIR, "set_id", "root", "outer", "shingles"]
-    inner = (now.withColumn("out_band", beside(F.col("band"))).join(out_blocks, ["cluster", "out_band"])
-             .withColumn("out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)))
+    band = F.col("band")
+    inner = (now.withColumn("zone", F.explode(F.array_distinct(F.array(zone(band - 1), zone(band), zone(band + 1)))))
+             .join(out_blocks, ["cluster", "zone"]).withColumn("out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)))
              .withColumn("outer", F.lit(False)).select(columns))
-    outer = (outside.withColumnRenamed("band", "out_band").drop("blocks", "block").join(out_blocks, ["cluster", "out_band"])
+    outer = (outside.withColumn("zone", zone(band)).join(out_blocks, ["cluster", "zone"])
              .withColumn("out_block", F.pmod(F.xxhash64("set_id", F.lit(3)), "out_blocks").cast("int"))
-             .withColumn("band", beside(F.col("out_band"))).join(in_blocks, ["cluster", "band"])
-             .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .withColumn("outer", F.lit(True)).select(columns))
-    pairs = _blocked(inner.unionByName(outer), _PAIR, ["outer", "set_id"])
+    pairs = inner.unionByName(outer).repartition(*_PAIR).sortWithinPartitions(*_PAIR, F.desc("outer"), "set_id")
     return arrow_map(pairs, _outside_links(percent), "a long, b long").unionByName(links)
 
 

@@ -393,6 +393,8 @@ def test_jaccard_of_oversize_tiles_and_long_sets_equals_brute_force(spark, monke
                 parent[b] = a
     df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
     monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 4096)
+    monkeypatch.setattr(jaccard_join, "OUT_BYTES", 3000)
+    monkeypatch.setattr(jaccard_join, "ZONE", 2)
     got = {r["doc_id"]: r["component_id"] for r in _rows(jaccard_join.jaccard_components(df, block=8, tile_rows=12))}
     assert got == {i: top(i) for i in range(len(docs))}
 
