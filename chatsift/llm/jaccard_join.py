@@ -486,6 +486,8 @@ def _outside_links(percent: int):
                 if r["outer"]:
                     held.append(r)
                     continue
+                if not held:  # a block that no set fell into
+                    continue
                 if index is None:
                     index = _Index([h["shingles"] for h in held])
                     held = [(h["set_id"], h["root"]) for h in held]
