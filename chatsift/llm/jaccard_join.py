@@ -567,9 +567,11 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
 
 def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
     """Links between blocks of one cluster; ``member`` holds the clusters of several blocks, ``roots`` the components of ``links``."""
+    names = staged(member.drop("shingles"), "members")  # the arrays travel once, at the end
+
     def rooted(components):
         r = components.select(F.col("node").alias("r_node"), "root")
-        return member.join(r, F.col("set_id") == F.col("r_node"), "left").withColumn(
+        return names.join(r, F.col("set_id") == F.col("r_node"), "left").withColumn(
             "root", F.coalesce("root", "set_id")).drop("r_node")
 
     # Up to 8 sets of each block's component of 32 sets or more, a quarter of a block at most; in two of three rounds
@@ -596,7 +598,7 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
     zone = lambda band: F.floor(band / ZONE).cast("int")
     out_blocks = (outside.groupBy("cluster", zone(F.col("band")).alias("zone"))
                   .agg(F.ceil(F.sum("n") / OUT_BYTES).cast("int").alias("out_blocks")))
-    columns = [*_PAIR, "set_id", "root", "outer", "shingles"]
+    columns = [*_PAIR, "set_id", "root", "outer"]
     band = F.col("band")
     inner = (now.withColumn("zone", F.explode(F.array_distinct(F.array(zone(band - 1), zone(band), zone(band + 1)))))
              .join(out_blocks, ["cluster", "zone"]).withColumn("out_block", F.explode(F.sequence(F.lit(0), F.col("out_blocks") - 1)))
@@ -604,7 +606,14 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
     outer = (outside.withColumn("zone", zone(band)).join(out_blocks, ["cluster", "zone"])
              .withColumn("out_block", F.pmod(F.xxhash64("set_id", F.lit(3)), "out_blocks").cast("int"))
              .withColumn("outer", F.lit(True)).select(columns))
-    pairs = inner.unionByName(outer).repartition(*_PAIR).sortWithinPartitions(*_PAIR, F.desc("outer"), "set_id")
+    # One row per set that takes part, with the places it goes to; only then its array, and a row per place.
+    places = (inner.unionByName(outer).groupBy("set_id")
+              .agg(F.first("root").alias("root"), F.first("cluster").alias("cluster"),
+                   F.collect_list(F.struct("zone", "out_block", "outer")).alias("places")))  # bounded by the blocks of three zones
+    pairs = (member.select("set_id", "shingles").join(places, "set_id")
+             .select("cluster", "set_id", "root", "shingles", F.explode("places").alias("at"))
+             .select("cluster", "at.zone", "at.out_block", "set_id", "root", "at.outer", "shingles")
+             .repartition(*_PAIR).sortWithinPartitions(*_PAIR, F.desc("outer"), "set_id"))
     return arrow_map(pairs, _outside_links(percent), "a long, b long").unionByName(links)
 
 
