@@ -161,52 +161,59 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 
 
 def estimate(counts: DataFrame, order: int = ORDER) -> list[DataFrame]:
-    """Tables (lang, gram, p, backoff) for orders 0 to ``order``: interpolated probability, weight of the n-gram as a context."""
-    per_order = {order: counts}
-    for k in range(order - 1, 0, -1):  # continuation counts: in how many ways an n-gram is preceded
-        per_order[k] = (per_order[k + 1].groupBy("lang", F.col("gram").bitwiseAND(_MASK[k]).alias("gram"))
-                        .agg(F.count(F.lit(1)).alias("n")))
-        if k == order - 1:
-            per_order[k] = staged(per_order[k], "kn-counts")
-    out, lower = [], None
+    """Tables (lang, gram, p, backoff) for orders 0 to ``order``: interpolated probability, weight of the n-gram as a context.
+
+    All orders are counted, discounted and weighed together (``k`` is the order);
+    only the probabilities, which need those one order below, go order by order.
+    """
+    # In how many ways an n-gram of a lower order is preceded: the different n-grams one byte longer that end in it.
+    ends = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col("gram").bitwiseAND(_MASK[k + 1]).alias("wide"))
+                               for k in range(1, order)])) if order > 1 else None
+    every = counts.select("lang", F.lit(order).alias("k"), "gram", "n")
+    if ends is not None:
+        wide = counts.select("lang", ends.alias("e")).select("lang", "e.k", "e.wide").distinct()
+        every = every.unionByName(wide.groupBy("lang", "k", F.col("wide").bitwiseAND(F.expr("shiftleft(1L, 8 * k) - 1")).alias("gram"))
+                                  .agg(F.count(F.lit(1)).alias("n")))
+    every = staged(every, "kn-counts")
+    of_counts = every.groupBy("lang", "k").agg(*[F.sum((F.col("n") == c).cast("double")).alias(f"n{c}") for c in (1, 2, 3, 4)])
+    y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
+    # Where counts of counts are missing (tiny tables), fixed discounts stand in.
+    discount = [F.when((F.col(f"n{c}") > 0) & (F.col(f"n{c + 1}") > 0),
+                       F.greatest(F.lit(0.05), F.least(F.lit(c - 0.05), c - (c + 1) * y * F.col(f"n{c + 1}") / F.col(f"n{c}"))))
+                .otherwise(d).alias(f"d{c}") for c, d in ((1, 0.5), (2, 0.75), (3, 0.9))]
+    discounts = staged(of_counts.select(F.col("lang").alias("d_lang"), F.col("k").alias("d_k"), *discount), "kn-discounts")
+    cut = every.join(discounts, F.col("lang").eqNullSafe(F.col("d_lang")) & (F.col("k") == F.col("d_k"))).select(
+        "lang", "k", "gram", "n", F.shiftright("gram", 8).alias("ctx"),
+        F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("cut"))
+    contexts = staged(cut.groupBy(F.col("lang").alias("c_lang"), F.col("k").alias("c_k"), F.col("ctx").alias("c_ctx"))
+                      .agg(F.sum("n").alias("total"), (F.sum("cut") / F.sum("n")).alias("weight")), "kn-contexts")
+    terms = staged(cut.join(contexts, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("k") == F.col("c_k")) & (F.col("ctx") == F.col("c_ctx")))
+                   .select("lang", "k", "gram", ((F.col("n") - F.col("cut")) / F.col("total")).alias("own"), "weight"), "kn-terms")
+    probabilities, lower = [], None
     for k in range(1, order + 1):
-        of_counts = (per_order[k].groupBy("lang").agg(*[
-            F.sum((F.col("n") == c).cast("double")).alias(f"n{c}") for c in (1, 2, 3, 4)]))
-        y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.5)
-        # Where counts of counts are missing (tiny tables), fixed discounts stand in.
-        discount = [F.when((F.col(f"n{c}") > 0) & (F.col(f"n{c + 1}") > 0),
-                           F.greatest(F.lit(0.05), F.least(F.lit(c - 0.05), c - (c + 1) * y * F.col(f"n{c + 1}") / F.col(f"n{c}"))))
-                    .otherwise(d).alias(f"d{c}") for c, d in ((1, 0.5), (2, 0.75), (3, 0.9))]
-        table = (per_order[k].join(of_counts.select("lang", *discount).withColumnRenamed("lang", "d_lang"),
-                                   F.col("lang").eqNullSafe(F.col("d_lang"))).drop("d_lang")
-                 .withColumn("ctx", F.shiftright("gram", 8))
-                 .withColumn("cut", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))))
-        contexts = (table.groupBy(F.col("lang").alias("c_lang"), F.col("ctx").alias("c_ctx"))
-                    .agg(F.sum("n").alias("total"), F.sum("cut").alias("cuts"))
-                    .withColumn("weight", F.col("cuts") / F.col("total")))
-        table = table.join(contexts, F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("ctx") == F.col("c_ctx")))
-        if k == 1:
-            lower_p = F.lit(1 / 256)
+        table = terms.where(F.col("k") == k)
+        if lower is None:
+            below_p = F.lit(1 / 256)
         else:
             below = lower.select(F.col("lang").alias("b_lang"), F.col("gram").alias("b_gram"), F.col("p").alias("b_p"))
             table = table.join(below, F.col("lang").eqNullSafe(F.col("b_lang"))
                                & (F.col("gram").bitwiseAND(_MASK[k - 1]) == F.col("b_gram")))
-            lower_p = F.col("b_p")
-        table = table.select("lang", "gram", ((F.col("n") - F.col("cut")) / F.col("total") + F.col("weight") * lower_p).alias("p"))
-        table = staged(table, f"kn-order{k}")
-        # The weight of a context belongs to its own entry, one order below.
-        weights = contexts.select("c_lang", "c_ctx", "weight")
-        out.append((table, weights))
-        lower = table
-    empty = out[0][1].select(F.col("c_lang").alias("lang"), F.lit(0).cast("long").alias("gram"), F.lit(None).cast("double").alias("p"),
-                             F.col("weight").alias("backoff"))
-    tables = [empty]
-    for k in range(1, order):
-        # A context may open texts only and so be no n-gram that anything precedes: it has a weight and no probability.
-        t = out[k - 1][0].join(out[k][1], F.col("lang").eqNullSafe(F.col("c_lang")) & (F.col("gram") == F.col("c_ctx")), "full_outer")
-        tables.append(t.select(F.coalesce("lang", "c_lang").alias("lang"), F.coalesce("gram", "c_ctx").alias("gram"), "p",
-                               F.coalesce("weight", F.lit(1.0)).alias("backoff")))
-    return tables + [out[-1][0].select("lang", "gram", "p", F.lit(1.0).alias("backoff"))]
+            below_p = F.col("b_p")
+        lower = staged(table.select("lang", "k", "gram", (F.col("own") + F.col("weight") * below_p).alias("p")), f"kn-order{k}")
+        probabilities.append(lower)
+    held = probabilities[0]
+    for p in probabilities[1:]:
+        held = held.unionByName(p)
+    # The weight of a context belongs to its own entry, one order below.  A context may open texts only and so be no
+    # n-gram that anything precedes: it has a weight and no probability.
+    as_context = contexts.select(F.col("c_lang").alias("w_lang"), (F.col("c_k") - 1).alias("w_k"), F.col("c_ctx").alias("w_gram"),
+                                 F.col("weight").alias("backoff"))
+    entries = held.join(as_context, F.col("lang").eqNullSafe(F.col("w_lang")) & (F.col("k") == F.col("w_k"))
+                        & (F.col("gram") == F.col("w_gram")), "full_outer")
+    entries = staged(entries.select(
+        F.when(F.col("k").isNull(), F.col("w_lang")).otherwise(F.col("lang")).alias("lang"), F.coalesce("k", "w_k").alias("k"),
+        F.coalesce("gram", "w_gram").alias("gram"), "p", F.coalesce("backoff", F.lit(1.0)).alias("backoff")), "kn-entries")
+    return [entries.where(F.col("k") == k).drop("k") for k in range(order + 1)]
 
 
 def _hashed(k: int):
@@ -365,14 +372,14 @@ def score_by_join(docs: DataFrame, tables: list[DataFrame], order: int = ORDER)
         look = look.join(t, F.col("lang").eqNullSafe(F.col("t_lang"))
                          & (F.col("gram").bitwiseAND(_MASK[k]) == F.col("t_gram")), "left")
         hit = F.col("open") & F.col("t_p").isNotNull()
-        look = look.withColumns({"logp": F.when(hit, F.col("logp") + F.log("t_p")).otherwise(F.col("logp")),
+        look = look.withColumns({"logp": F.when(hit, F.col("logp") + F.log("t_p").cast("float").cast("double")).otherwise(F.col("logp")),
                                  "open": F.col("open") & ~hit}).drop("t_lang", "t_gram", "t_p")
         if k > 0:
             b = tables[k - 1].select(F.col("lang").alias("t_lang"), F.col("gram").alias("t_gram"), F.col("backoff").alias("t_b"))
             look = look.join(b, F.col("lang").eqNullSafe(F.col("t_lang"))
                              & (F.shiftright("gram", 8).bitwiseAND(_MASK[k - 1]) == F.col("t_gram")), "left")
             look = look.withColumn("logp", F.when(F.col("open") & F.col("t_b").isNotNull(),
-                                                  F.col("logp") + F.log("t_b")).otherwise(F.col("logp"))
+                                                  F.col("logp") + F.log("t_b").cast("float").cast("double")).otherwise(F.col("logp"))
                                    ).drop("t_lang", "t_gram", "t_b")
     look = look.select(F.col("lang").alias("l_lang"), F.col("gram").alias("l_gram"),
                        F.when(F.col("open"), F.col("logp") + float(np.log(1 / 256))).otherwise(F.col("logp")).alias("logp"))
