@@ -19,9 +19,11 @@ ids.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +34,9 @@ from chatsift.session import ship_package, staged
 MAX_ENTRIES = 4_000_000
 #: Scores are sums of whole parts of this size.
 UNIT = 1_000_000
-#: Characters scored at a time.
+#: Different trigrams that a task of the training holds before it sends its counts.
+HELD = 1_000_000
+#: Characters scored or counted at a time.
 CHUNK = 1 << 19
 
 
@@ -48,14 +52,60 @@ def trigrams(text) -> Column:
     return F.regexp_extract_all(lang_text(text), F.lit("(?=(.{3}))"), 1)
 
 
+def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``(lang, gram, n)`` of rows ``(lang, text)`` of :func:`lang_text`, added up within a task."""
+    held: dict[str | None, tuple[np.ndarray, np.ndarray]] = {}
+
+    def add(lang, grams, counts):
+        if lang in held:
+            grams, counts = np.concatenate([held[lang][0], grams]), np.concatenate([held[lang][1], counts])
+            grams, where = np.unique(grams, return_inverse=True)
+            counts = np.bincount(where, weights=counts, minlength=len(grams)).astype(np.int64)
+        held[lang] = grams, counts
+
+    def send():
+        for lang, (grams, counts) in held.items():
+            points = np.stack([grams >> np.uint64(21 * k) & np.uint64((1 << 21) - 1) for k in range(3)], axis=1).astype("<u4")
+            text = points.tobytes().decode("utf-32-le", "surrogatepass")
+            yield pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(grams), pa.string()), pa.array([text[i:i + 3] for i in range(0, len(text), 3)], pa.string()),
+                pa.array(counts)], names=["lang", "gram", "n"])
+        held.clear()
+
+    for batch in batches:
+        by_lang: dict[str | None, list[str]] = {}
+        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+            by_lang.setdefault(lang, []).append(text)
+        for lang, texts in by_lang.items():
+            at = 0
+            while at < len(texts):  # about CHUNK characters at a time
+                stop, size = at, 0
+                while stop < len(texts) and (stop == at or size + len(texts[stop]) <= CHUNK):
+                    size += len(texts[stop])
+                    stop += 1
+                sizes = np.array([len(t) for t in texts[at:stop]], dtype=np.int64)
+                found = ProfileArrays.gram_numbers(_points(texts[at:stop]))
+                inside = np.ones(len(found), dtype=bool)
+                for k in (1, 2):  # trigrams across two texts
+                    inside[(np.cumsum(sizes)[:-1] - k)] = False
+                add(lang, *np.unique(found[inside], return_counts=True))
+                at = stop
+        if sum(len(g) for g, _ in held.values()) > HELD:
+            yield from send()
+    yield from send()
+
+
 def train_lang_profiles(df: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """``(lang, gram, cnt, logp, unseen_logp)`` of every counted gram.
 
-    The counts are checkpointed (reliable, in ``spark.checkpoint.dir``):
-    they are small and read twice (per-language totals, then the profile).
+    A task counts the trigrams of its rows and sends each different one once per
+    ``HELD`` kept; Spark adds them up.  The counts are staged: they are small and
+    read twice (per-language totals, then the profile).
     """
-    grams = df.select(F.col(lang_col).alias("lang"), F.explode(trigrams(text_col)).alias("gram"))
-    kept = staged(grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("cnt")), "lang-counts")
+    ship_package(df.sparkSession)
+    texts = df.select(F.col(lang_col).cast("string").alias("lang"), lang_text(text_col).alias("text")).where("text IS NOT NULL")
+    counted = texts.mapInArrow(_count_trigrams, "lang string, gram string, n long")
+    kept = staged(counted.groupBy("lang", "gram").agg(F.sum("n").alias("cnt")), "lang-counts")
     stats = kept.groupBy("lang").agg(F.sum("cnt").alias("total")).collect()  # one row per language
     vocab = kept.select("gram").distinct().count()
     total = F.create_map(*[x for r in stats for x in (F.lit(r["lang"]), F.lit(int(r["total"])))])

@@ -56,14 +56,15 @@ def hash_prefix_long(md5_hex: Column) -> Column:
     return F.conv(F.substring(md5_hex, 1, 15), 16, 10).cast("long")
 
 
-def skewed_left_join(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
-    """``rows`` with the columns of ``values`` (one row per key; ``count`` = the key's rows in ``rows``), left outer.
+def skewed_left_join(rows: DataFrame, values: DataFrame, key: str, count: str, total: int | None = None) -> DataFrame:
+    """``rows`` with the columns of ``values`` (one row per key; ``count`` = the key's rows in ``rows``, ``total`` their
+    sum where it is known), left outer.
 
     Keys that hold over 1 / ``HOT_PARTS`` of all rows are fewer than ``HOT_PARTS``,
     so they are broadcast; the rows of all others are joined by a shuffle, in
     which no key can be larger than that.  Both inputs should be staged.
     """
-    total = values.agg(F.sum(count)).first()[0] or 0
+    total = values.agg(F.sum(count)).first()[0] or 0 if total is None else total
     is_hot = F.col(count) * HOT_PARTS > total
     hot = F.broadcast(values.where(is_hot).drop(count).withColumn("_hot", F.lit(True)))
     cold = values.where(~is_hot).drop(count)
@@ -147,9 +148,10 @@ def grouped_quantile(df: DataFrame, group_cols: list[str], value_col: str, q: fl
                                 F.lit(None).cast("double").alias("_next")), "quantile-state")
     while True:
         open_groups = state.where("_hi > _lo")
-        if open_groups.isEmpty():
+        rows = open_groups.agg(F.sum("_n")).first()[0]
+        if not rows:
             break
-        seen = skewed_left_join(vals, open_groups.select("_g", "_n", "_lo", "_hi", "_flo", "_fhi"), "_g", "_n")
+        seen = skewed_left_join(vals, open_groups.select("_g", "_n", "_lo", "_hi", "_flo", "_fhi"), "_g", "_n", rows)
         # Halves, as the span of two doubles may exceed a double; the ends have ranges of their own, so each pass narrows.
         step = (F.col("_v") / 2 - F.col("_flo") / 2) / (F.col("_fhi") / 2 - F.col("_flo") / 2) * ranges
         part = (F.when(F.col("_v") == float("inf"), ranges + 2).when(F.col("_v") == float("-inf"), -2)
