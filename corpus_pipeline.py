@@ -54,7 +54,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality classifier", quality), ("line dedup", lines), ("n-gram jaccard join", near_duplicates),
           ("mixing sources", mix), ("packing", pack)]
 
-#: The classifier and the tokenizer cannot be expressed in SQL; the tests hold run() against a brute-force version.
+#: The classifier and the tokenizer cannot be expressed in SQL.  The tests hold run() against its stages called one by
+#: one, and the operators against brute force.
 ORACLE_SQL = None
 
 
