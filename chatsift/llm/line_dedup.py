@@ -1,22 +1,32 @@
 """Line dedup by a log-template tree of fixed depth.  DataFrame functions only.
 
 A line's words lead it down the tree: first the number of words, then the first
-``DEPTH`` words, with every word that holds a digit replaced by ``<*>``.  In a
-leaf, a word is part of a template where at least two different masked lines of
-the leaf have it at that place; other places are variable and become ``<*>``.
-Lines travel as hashes; only those of leaves with different lines travel as text.
-A template with too few fixed words says too little: there the masked line
-itself is the template, or the line as it is where masking left too little.
+``DEPTH`` words, with every word that holds a digit replaced by ``<*>``.  Behind
+those, a word is part of a template where at least two different masked lines of
+the leaf have it at that place and it is at least one in ``FEW_VALUES`` of what
+the leaf's lines have there behind the same word; other places are variable and
+become ``<*>``.  A share of what follows does not depend on how many lines a leaf
+holds, so a field stays variable when its values recur, and a leaf of many
+templates keeps them apart.  Lines travel as hashes; only those of leaves with
+different lines travel as text.  A template with too few fixed words, in all or
+behind the leading ones, says too little: there the masked line itself is the
+template, or the line as it is where masking left too little.
 
 A template found in ``min_docs`` documents or more recurs.  The document with
 the smallest id (a missing id last) keeps its lines of it, all others lose
-theirs.  Only different masked lines of shared leaves are taken apart into
-words, after an aggregate that collapses repeats on the map side; counts of
+theirs.  A line of ``LONG_WORDS`` words or more recurs from two documents on
+where it is the same but for digits.  A line of ``SHORT_WORDS`` words or more, but
+fewer than ``min_words``, says too little to be generalised: it is taken exactly
+as it is, and recurs from ``SHORT_DOCS`` documents on that are also at least one in
+``SHORT_PART`` of all rows.  Shorter lines, blank ones included, always stay.
+
+Only different masked lines of shared leaves are taken apart into words, after an
+aggregate that collapses repeats on the map side; words are counted by (leaf,
+place, word before, word) first, so no task gets a whole leaf.  Counts of
 documents go by (template, document) first, so a line found in a third of all
 documents is spread over all tasks.
 
-Lines end at ``\\n``.  Lines of fewer than ``min_words`` words, blank ones
-included, always stay.  Rows with the same id and text are one document.  Null
+Lines end at ``\\n``.  Rows with the same id and text are one document.  Null
 texts stay null and empty ones empty.
 """
 
@@ -30,7 +40,15 @@ from chatsift.llm.common import BLANK_CLASS, WORD, fresh, staged
 DEPTH = 3
 MIN_WORDS = 5
 MIN_DOCS = 3
-#: Share of fixed words that a generalised template needs, in tenths.
+#: Lines of so many words recur from two documents on.
+LONG_WORDS = 20
+#: Shorter lines than MIN_WORDS: words they need, documents they need, and the part of all rows these must be.
+SHORT_WORDS = 2
+SHORT_DOCS = 10
+SHORT_PART = 200
+#: A place with more values than this, evenly used behind one word, is variable.
+FEW_VALUES = 3
+#: Share of fixed words that a generalised template needs, in all and behind the leading words, in tenths.
 FIXED_TENTHS = 6
 #: Bits of the filter of shared leaves; a fuller filter lets more lines through, never fewer.
 FILTER_BITS = 1 << 22
@@ -67,7 +85,7 @@ def _own_template(line: Column, masked: Column) -> Column:
 
 
 def _line_rows(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
-    """(id, text_hash, place, line, masked) of every line that may be part of a template."""
+    """(id, text_hash, place, line, masked) of every line of ``min_words`` words or more."""
     both = F.transform(F.split(F.col(text_col), "\n"), lambda x: F.struct(x.alias("line"), _masked(x).alias("masked")))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"),
                        F.posexplode(both).alias("place", "l"))
@@ -92,15 +110,24 @@ def _may_be_in(bits: DataFrame, number: Column) -> Column:
 
 def general_templates(lines: DataFrame) -> DataFrame:
     """(leaf, masked, general) of the different masked lines (leaf, masked) whose general template says enough."""
-    inside = lines.select("leaf", F.xxhash64("masked").alias("kind"), F.posexplode(F.split("masked", " ")).alias("place", "word"))
-    # How many masked lines of the leaf have this word at this place; words travel as hashes.
-    held = F.count(F.lit(1)).over(Window.partitionBy("leaf", "place", "word"))
-    fixed = (inside.select("leaf", "kind", "place", F.xxhash64("word").alias("word")).withColumn("held", held)
-             .where("held > 1").groupBy("leaf", "kind").agg(F.collect_set("place").alias("places"))  # of one line
-             .select(F.col("leaf").alias("f_leaf"), F.col("kind").alias("f_kind"), "places"))
-    words = F.transform(F.split("masked", " "), lambda w, i: F.when(F.array_contains("places", i), w).otherwise("<*>"))
-    return (lines.join(fixed, (F.col("leaf") == F.col("f_leaf")) & (F.xxhash64("masked") == F.col("f_kind")))
-            .select("leaf", "masked", words.alias("words")).where(_fixed_share_ok(F.col("words")))
+    words = F.split("masked", " ")
+    pairs = F.transform(F.slice(words, DEPTH + 1, 1 << 30),
+                        lambda w, i: F.struct(F.xxhash64(F.get(words, i + (DEPTH - 1))).alias("before"), F.xxhash64(w).alias("word")))
+    inside = (lines.select("leaf", F.xxhash64("masked").alias("kind"), F.posexplode(pairs).alias("place", "p"))
+              .select("leaf", "kind", "place", "p.before", "p.word"))
+    here = ["leaf", "place", "before", "word"]
+    counted = staged(inside.groupBy(*here).agg(F.count(F.lit(1)).alias("n")), "line-words")
+    held = counted.groupBy("leaf", "place", "word").agg(F.sum("n").alias("held")).where("held > 1").drop("held")
+    follow = counted.groupBy("leaf", "place", "before").agg(F.sum("n").alias("total"))
+    fixed = (counted.join(follow, ["leaf", "place", "before"]).where(F.col("n") * FEW_VALUES >= F.col("total"))
+             .join(held, ["leaf", "place", "word"], "left_semi").select(*here))
+    places = (inside.join(fixed, here, "left_semi").groupBy("leaf", "kind").agg(F.collect_set("place").alias("places"))  # of one line
+              .select(F.col("leaf").alias("f_leaf"), F.col("kind").alias("f_kind"), "places"))
+    known = F.coalesce("places", F.array().cast("array<int>"))
+    general = F.transform(words, lambda w, i: F.when((i < DEPTH) | F.array_contains(known, i - DEPTH), w).otherwise("<*>"))
+    return (lines.join(places, (F.col("leaf") == F.col("f_leaf")) & (F.xxhash64("masked") == F.col("f_kind")), "left")
+            .select("leaf", "masked", general.alias("words"))
+            .where(_fixed_share_ok(F.col("words")) & _fixed_share_ok(F.slice("words", DEPTH + 1, 1 << 30)))
             .select("leaf", "masked", F.concat_ws(" ", "words").alias("general")))
 
 
@@ -112,28 +139,39 @@ def _name(template: Column) -> list[Column]:
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS,
                     min_words: int = MIN_WORDS) -> DataFrame:
     """The lines to drop: (id, text_hash, place) of every line of a recurring template but the first document's."""
-    masked = F.col("masked")
-    rows = _line_rows(docs, id_col, text_col, min_words)
-    lines = staged(rows.select("id", "text_hash", "place", _leaf(masked).alias("leaf"), F.xxhash64("masked").alias("kind"),
-                               *_name(_own_template(F.col("line"), masked))), "lines")
-    shared = staged(lines.groupBy("leaf").agg(F.min("kind").alias("a"), F.max("kind").alias("b"))
+    masked, n_words = F.col("masked"), _n_words(F.col("masked"))
+    wordy, long_line = n_words >= min_words, n_words >= LONG_WORDS
+    short_docs = max(SHORT_DOCS, -(-docs.count() // SHORT_PART))
+    rows = _line_rows(docs, id_col, text_col, min(SHORT_WORDS, min_words))
+    own = F.when(wordy, _own_template(F.col("line"), masked)).otherwise(F.concat(F.lit("s "), F.col("line")))
+    need = F.when(~wordy, F.lit(short_docs)).when(long_line, F.least(F.lit(2), F.lit(min_docs))).otherwise(F.lit(min_docs))
+    lines = staged(rows.select("id", "text_hash", "place", F.when(wordy, _leaf(masked)).alias("leaf"),
+                               F.xxhash64("masked").alias("kind"), *_name(own), need.cast("long").alias("need"),
+                               long_line.alias("long_line")), "lines")
+    shared = staged(lines.where("leaf is not null").groupBy("leaf").agg(F.min("kind").alias("a"), F.max("kind").alias("b"))
                     .where("a <> b").select("leaf"), "leaves")
     # Second scan: the words of lines in shared leaves; the filter is a single value, the join is exact.
     bits = staged(_filter_of(shared, "leaf"), "leaf-filter")
-    near = rows.select(_leaf(masked).alias("leaf"), "masked").where(_may_be_in(bits, F.col("leaf")))
+    near = (rows.where(wordy).select(_leaf(masked).alias("leaf"), "masked").where(_may_be_in(bits, F.col("leaf"))))
     near = staged(near.join(shared, "leaf", "left_semi").distinct(), "near-lines")
     general = (general_templates(near)
                .select(F.col("leaf").alias("g_leaf"), F.xxhash64("masked").alias("g_kind"),
                        *_name(F.concat(F.lit("m "), F.col("general")))).toDF("g_leaf", "g_kind", "g1", "g2"))
+    # A long line counts by its general template and, from two documents on, by its own as well.
+    by_own = F.struct("t1", "t2", "need")
+    by_general = F.struct(F.col("g1").alias("t1"), F.col("g2").alias("t2"), F.lit(min_docs).cast("long").alias("need"))
+    names = (F.when(F.col("g1").isNull(), F.array(by_own)).when(F.col("long_line"), F.array(by_own, by_general))
+             .otherwise(F.array(by_general)))
     named = (lines.join(general, F.expr("leaf = g_leaf AND kind = g_kind"), "left")
-             .select("id", "text_hash", "place", F.coalesce("g1", "t1").alias("t1"), F.coalesce("g2", "t2").alias("t2")))
+             .select("id", "text_hash", "place", F.explode(names).alias("t")).select("id", "text_hash", "place", "t.*"))
     named = staged(named, "templates")
+    often = (named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("least"))
+             .where("n >= least").select("t1", "t2", "least"))
+    named = staged(named.drop("need").join(often, ["t1", "t2"]), "repeated")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
-    often = named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs).select("t1", "t2")
-    named = staged(named.join(often, ["t1", "t2"], "left_semi"), "repeated")
-    per_doc = named.groupBy("t1", "t2", "id", "text_hash").agg(F.lit(1).alias("_one"))
-    recurring = (per_doc.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
-                 .where(F.col("n") >= min_docs))
+    per_doc = named.groupBy("t1", "t2", "id", "text_hash").agg(F.min("least").alias("least"))
+    recurring = (per_doc.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"),
+                                                 F.min(order).alias("first")).where("n >= least").drop("least"))
     return (named.join(recurring, ["t1", "t2"])
             .where(~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))))
             .select("id", "text_hash", "place"))

@@ -39,19 +39,27 @@ WITH lines AS (
   SELECT doc_id, i AS place, l AS line,
          trim(regexp_replace(regexp_replace(l, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'), '{_B}+', ' ', 'g')) AS masked
   FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), unnest(ls) WITH ORDINALITY AS u(l, i)),
-wordy AS (SELECT *, string_split(masked, ' ') AS ws FROM lines WHERE masked <> '' AND len(string_split(masked, ' ')) >= 5),
+worded AS (SELECT *, string_split(masked, ' ') AS ws FROM lines WHERE masked <> '' AND len(string_split(masked, ' ')) >= 2),
+wordy AS (SELECT * FROM worded WHERE len(ws) >= 5),
 kinds AS (SELECT DISTINCT masked, len(ws)::VARCHAR || ' ' || array_to_string(ws[1:3], ' ') AS leaf, ws FROM wordy),
-inside AS (SELECT leaf, masked, len(ws) AS n, k AS place, ws[k] AS word FROM kinds, unnest(range(1, len(ws) + 1)) AS u(k)
+inside AS (SELECT leaf, masked, len(ws) AS n, k AS place, CASE WHEN k > 1 THEN ws[k - 1] ELSE '' END AS before, ws[k] AS word FROM kinds, unnest(range(1, len(ws) + 1)) AS u(k)
   WHERE leaf IN (SELECT leaf FROM kinds GROUP BY leaf HAVING count(*) > 1)),
-held AS (SELECT leaf, place, word FROM inside GROUP BY ALL HAVING count(*) > 1),
+counted AS (SELECT leaf, place, before, word, count(*) AS c FROM inside GROUP BY ALL),
+held AS (SELECT * FROM counted QUALIFY sum(c) OVER (PARTITION BY leaf, place, word) > 1
+  AND c * 3 >= sum(c) OVER (PARTITION BY leaf, place, before)),
 general AS (SELECT masked, n, string_agg(coalesce(h.word, '<*>'), ' ' ORDER BY i.place) AS general,
-    count(*) FILTER (WHERE h.word IS NOT NULL AND h.word <> '<*>') AS fixed
-  FROM inside i LEFT JOIN held h USING (leaf, place, word) GROUP BY masked, n HAVING fixed * 10 >= n * 6),
-named AS (SELECT s.doc_id, s.place, CASE WHEN g.general IS NOT NULL THEN 'm ' || g.general
-    WHEN len(list_filter(s.ws, lambda w: w <> '<*>')) * 10 >= len(s.ws) * 6 THEN 'm ' || s.masked ELSE 'l ' || s.line END AS template
-  FROM wordy s LEFT JOIN general g USING (masked)),
-recurring AS (SELECT template, min(doc_id) AS first FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= 3),
-dropped AS (SELECT n.doc_id, n.place FROM named n JOIN recurring r USING (template) WHERE n.doc_id <> r.first)
+    count(*) FILTER (WHERE h.word IS NOT NULL AND h.word <> '<*>') AS fixed,
+    count(*) FILTER (WHERE h.word IS NOT NULL AND h.word <> '<*>' AND i.place > 3) AS fixed_behind
+  FROM inside i LEFT JOIN held h USING (leaf, place, before, word) GROUP BY masked, n
+  HAVING fixed * 10 >= n * 6 AND fixed_behind * 10 >= (n - 3) * 6),
+owned AS (SELECT doc_id, place, masked, len(ws) AS n, CASE WHEN len(ws) < 5 THEN 's ' || line
+    WHEN len(list_filter(ws, lambda w: w <> '<*>')) * 10 >= len(ws) * 6 THEN 'm ' || masked ELSE 'l ' || line END AS own,
+    CASE WHEN len(ws) < 5 THEN (SELECT greatest(10, ceil(count(*) / 200.0)) FROM documents) WHEN len(ws) >= 20 THEN 2 ELSE 3 END AS need
+  FROM worded),
+named AS (SELECT doc_id, place, own AS template, need FROM owned o LEFT JOIN general g USING (masked) WHERE g.general IS NULL OR o.n >= 20
+  UNION ALL SELECT doc_id, place, 'm ' || g.general, 3 FROM owned JOIN general g USING (masked)),
+recurring AS (SELECT template, min(doc_id) AS first FROM named GROUP BY template HAVING count(DISTINCT doc_id) >= min(need)),
+dropped AS (SELECT DISTINCT n.doc_id, n.place FROM named n JOIN recurring r USING (template) WHERE n.doc_id <> r.first)
 SELECT d.doc_id, coalesce(len(string_split(d.text, chr(10))), 0)::BIGINT AS n_lines, count(x.place)::BIGINT AS n_dropped,
   CASE WHEN d.text IS NULL THEN NULL ELSE coalesce((SELECT string_agg(l.line, chr(10) ORDER BY l.place) FROM lines l
     WHERE l.doc_id = d.doc_id AND (l.doc_id, l.place) NOT IN (SELECT doc_id, place FROM dropped)), '') END AS text

@@ -102,6 +102,43 @@ def test_line_dedup_generalises_and_keeps_the_first(spark):
     assert got[0] == 1 and all(got[i] == 0 for i in (1, 2, 3))
 
 
+@pytest.mark.parametrize("docs, cities, months", [(5, 5, 5), (100, 20, 12), (600, 25, 20)])
+def test_line_templates_generalise_however_often_their_values_recur(spark, docs, cities, months):
+    line = "Please contact our {} office for further details before the end of {}"
+    words = lambda stem, n: [stem + a + b for a in "abcde" for b in "vwxyz"][:n]
+    pairs = [(c, m) for c in words("city", cities) for m in words("month", months)] if docs > 5 else list(zip(words("c", 5), words("m", 5)))
+    order = random.Random(3).sample(range(docs), docs)
+    # A second template and prose share the leading words and the number of words.
+    other = "Please contact our {} helpdesk if this message does not show up properly"
+    rows = [(i, line.format(*pairs[order[i] % len(pairs)]) + "\n" + other.format(words("team", 25)[i % 25])) for i in range(docs)]
+    prose = "Please contact our friend who once drew nine maps of another quiet town"
+    rows += [(docs, prose)]
+    got = {r["doc_id"]: r for r in _rows(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"), counts=True))}
+    assert got[0]["n_dropped"] == 0 and got[docs]["text"] == prose
+    assert [got[i]["n_dropped"] for i in range(1, docs)] == [2] * (docs - 1)
+
+
+def test_line_dedup_of_short_and_long_lines(spark):
+    numbers = "one two three four five six seven eight nine ten".split()
+    passage = " ".join(f"{a}{b}" for a in numbers for b in "pqrstu")  # 60 words
+    own = lambda i: f"w{'abcdefghij'[i % 10]}{'klmno'[i // 10]}x"
+    rows = [(i, "\n".join([own(i), "All rights reserved.", "Read 3 more", "Read 4 more"][:3 + (i < 9)] + ["}"] * 3)) for i in range(50)]
+    rows += [(90, "alpha\n" + passage), (91, passage + "\nbeta"), (92, passage.replace("onep", "other") + "\ngamma"),
+             (93, "five words that recur here"), (94, "five words that recur here")]
+    got = {r["doc_id"]: r["text"] for r in _rows(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert got[0] == rows[0][1]
+    for i in range(1, 50):  # found in 50 and in 9 documents; single words and marks stay
+        assert got[i] == "\n".join([own(i)] + ["Read 4 more"] * (i < 9) + ["}"] * 3)
+    assert (got[90], got[91], got[92]) == (rows[50][1], "beta", rows[52][1])
+    assert got[93] == got[94] == "five words that recur here"
+
+
+def test_short_lines_are_judged_by_their_part_of_all_rows(spark):
+    rows = [(i, f"Read it all\nq{i}") for i in range(12)] + [(i, None) for i in range(12, 2600)]
+    got = {r["doc_id"]: r["text"] for r in _rows(line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert all(got[i] == t for i, t in rows)  # 12 documents are fewer than 13, one in 200
+
+
 def test_chat_round_trip(spark):
     codec = chat_format.Codec(chat_format.Template())
     rng = random.Random(1)
