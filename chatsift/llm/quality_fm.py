@@ -8,7 +8,7 @@ scaled to unit length) and statistics of the text's structure, with its length
 as the only metadata; ids, source, language and labels are never features.
 
 Training takes a bounded sample of the labelled rows (``max_labels``, the
-smallest hashes of their ids), gathers their features, not their texts, and
+smallest hashes of their ids, and ``max_features`` in all), gathers their features, not their texts, and
 runs Adagrad on the driver; model size is set by ``BUCKETS`` and ``RANK`` alone.
 Scoring is one pass over all rows; the model travels as one broadcast of fixed
 size.  Null and empty texts get the score of a text without words.
@@ -24,11 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatsift.llm.common import arrow_map, batches, split_words
+from chatsift.llm.common import arrow_map, batches, split_words, staged
 
 BUCKETS = 1 << 14
 RANK = 8
 MAX_LABELS = 8_000
+#: Features of all training rows together: 128 MB as they reach the driver.
+MAX_FEATURES = 1 << 24
 EPOCHS = 12
 STATS = 16
 WIDTH = BUCKETS + STATS
@@ -158,22 +160,36 @@ def _featurise(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", max_labels: int = MAX_LABELS, seed: int = 0) -> FactorisationMachine:
+          label_col: str = "quality", max_labels: int = MAX_LABELS, seed: int = 0,
+          max_features: int = MAX_FEATURES) -> FactorisationMachine:
     """The machine for rows of ``labels`` (id, 0/1 label); at most ``max_labels`` of them, by the hash of their ids.
 
-    Repeated labels of an id count once (the smallest); rows without an id or a label are left out.
+    Repeated labels of an id count once (the smallest), and so do repeated documents
+    (the text with the smallest hash); rows without an id or a label are left out.
+    In the order of those hashes, rows are taken while their features number
+    ``max_features`` at most: this bounds the driver's memory however long texts are.
     """
     chosen = (labels.select(F.col(id_col).cast("long").alias("l_id"), F.col(label_col).cast("int").alias("label"))
               .dropna().groupBy("l_id").agg(F.min("label").alias("label"))
               .orderBy(F.xxhash64("l_id"), "l_id").limit(max_labels))
     # At most max_labels rows of 12 bytes: a proven bound for the broadcast.
-    texts = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-             .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "label"))
-    table = arrow_map(texts, _featurise, "doc_id long, label int, index array<int>, value array<float>").toArrow()
-    table = table.sort_by("doc_id").slice(0, max_labels)
-    rows = [(np.array(i, np.int64), np.array(v, np.float64))
-            for i, v in zip(table.column("index").to_pylist(), table.column("value").to_pylist())]
-    return FactorisationMachine(seed).fit(rows, table.column("label").to_numpy().astype(np.float64), seed)
+    found = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+             .join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")))
+    # Repeated rows of an id collapse inside the scan's tasks before the shuffle.
+    texts = found.groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("doc_id", "text", "label")
+    rows = staged(arrow_map(texts, _featurise, "doc_id long, label int, index array<int>, value array<float>"), "labelled")
+    order = F.struct(F.xxhash64("doc_id").alias("h"), "doc_id")
+    sizes = sorted(rows.select(order.alias("o"), F.size("index").alias("n")).collect())  # max_labels rows of three numbers
+    within = int((np.cumsum([r["n"] for r in sizes]) <= max_features).sum())
+    if within < len(sizes):
+        h, i = sizes[max(within - 1, 0)]["o"]
+        rows = rows.where(order <= F.struct(F.lit(h).cast("long").alias("h"), F.lit(i).cast("long").alias("doc_id")))
+    table = rows.toArrow().sort_by("doc_id")
+    index, value = (table.column(c).combine_chunks() for c in ("index", "value"))
+    starts = index.offsets.to_numpy()
+    flat_index, flat_value = index.values.to_numpy(), value.values.to_numpy()
+    examples = [(flat_index[a:b].astype(np.int64), flat_value[a:b].astype(np.float64)) for a, b in zip(starts, starts[1:])]
+    return FactorisationMachine(seed).fit(examples, table.column("label").to_numpy().astype(np.float64), seed)
 
 
 def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

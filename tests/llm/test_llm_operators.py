@@ -503,6 +503,24 @@ def test_classifier_on_held_out_rows(spark):
         assert np.mean([p == q for p, q in held if q == label]) >= 0.9
 
 
+def test_classifier_fits_each_label_once_and_within_its_bounds(spark, monkeypatch):
+    seen = []
+    fit = quality_fm.FactorisationMachine.fit
+    monkeypatch.setattr(quality_fm.FactorisationMachine, "fit",
+                        lambda self, rows, labels, *more: seen.append((rows, labels.tolist())) or fit(self, rows, labels, *more))
+    rows = [(1, f"copy of one {i % 2}") for i in range(3000)] + [(2, "two is short"), (3, None), (None, "no id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (2, 0), (3, 1), (None, 1)], "doc_id long, quality int")
+    first = quality_fm.train(docs, labels, max_labels=100)
+    again = quality_fm.train(docs.repartition(3), labels, max_labels=100)
+    assert [s[1] for s in seen] == [[1.0, 0.0, 1.0]] * 2 and (first.linear == again.linear).all()
+    sizes = [len(r[0]) for r in seen[0][0]]
+    quality_fm.train(docs, labels, max_features=sum(sizes) - 1)
+    assert 0 < len(seen[2][1]) < 3
+    quality_fm.train(docs, labels, max_labels=2)
+    assert len(seen[3][1]) == 2
+
+
 def test_machine_uses_the_sum_of_squares_identity():
     model = quality_fm.FactorisationMachine(1)
     starts, index, value = quality_fm.Features().rows(["a b c a", None])
