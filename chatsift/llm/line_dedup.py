@@ -21,8 +21,8 @@ as it is, and recurs from ``SHORT_DOCS`` documents on that are also at least one
 ``SHORT_PART`` of all rows.  Shorter lines, blank ones included, always stay.
 
 Only different masked lines of shared leaves are taken apart into words, after an
-aggregate that collapses repeats on the map side; words are counted by (leaf,
-place, word before, word) first, so no task gets a whole leaf.  Counts of
+aggregate that collapses repeats on the map side; they are dealt by leaf, but for
+the largest leaves, whose words are counted in two steps.  Counts of
 documents go by (template, document) first, so a line found in a third of all
 documents is spread over all tasks.
 
@@ -35,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chatsift.llm.common import BLANK_CLASS, WORD, fresh, staged
+from chatsift.llm.common import BLANK_CLASS, HOT_PARTS, WORD, fresh, staged
 
 DEPTH = 3
 MIN_WORDS = 5
@@ -50,6 +50,8 @@ SHORT_PART = 200
 FEW_VALUES = 3
 #: Share of fixed words that a generalised template needs, in all and behind the leading words, in tenths.
 FIXED_TENTHS = 6
+#: A leaf of so many different lines is never too large for a task.
+HOT_LEAF = 10_000
 #: Bits of the filter of shared leaves; a fuller filter lets more lines through, never fewer.
 FILTER_BITS = 1 << 22
 _WITH_DIGIT = r"[^\x20\x09-\x0D]*[0-9]" + WORD.replace("+", "*")
@@ -108,21 +110,52 @@ def _may_be_in(bits: DataFrame, number: Column) -> Column:
     return F.call_function("shiftright", word, F.pmod(number, F.lit(64)).cast("int")).bitwiseAND(F.lit(1)) == 1
 
 
-def general_templates(lines: DataFrame) -> DataFrame:
-    """(leaf, masked, general) of the different masked lines (leaf, masked) whose general template says enough."""
+def _words_behind(lines: DataFrame) -> DataFrame:
+    """(leaf, kind, place, before, word) of the words behind the leading ones; words are hashes."""
     words = F.split("masked", " ")
-    pairs = F.transform(F.slice(words, DEPTH + 1, 1 << 30),
-                        lambda w, i: F.struct(F.xxhash64(F.get(words, i + (DEPTH - 1))).alias("before"), F.xxhash64(w).alias("word")))
-    inside = (lines.select("leaf", F.xxhash64("masked").alias("kind"), F.posexplode(pairs).alias("place", "p"))
-              .select("leaf", "kind", "place", "p.before", "p.word"))
-    here = ["leaf", "place", "before", "word"]
+    pairs = F.zip_with(F.slice(words, DEPTH, F.greatest(F.size(words) - DEPTH, F.lit(0))), F.slice(words, DEPTH + 1, 1 << 30),
+                       lambda a, b: F.struct(F.xxhash64(a).alias("before"), F.xxhash64(b).alias("word")))
+    return (lines.select("leaf", F.xxhash64("masked").alias("kind"), F.posexplode(pairs).alias("place", "p"))
+            .select("leaf", "kind", "place", "p.before", "p.word"))
+
+
+def _places(fixed: DataFrame) -> DataFrame:
+    return fixed.groupBy("leaf", "kind").agg(F.collect_set("place").alias("places"))  # of one line
+
+
+def _fixed_in_leaves(lines: DataFrame) -> DataFrame:
+    """The fixed places of lines in leaves of which each fits a task: lines are dealt by leaf, nothing else is shuffled."""
+    def count_by(*keys):
+        return F.count(F.lit(1)).over(Window.partitionBy("leaf", "place", *keys))
+
+    counted = (_words_behind(lines.repartition("leaf")).withColumn("n", count_by("before", "word"))
+               .withColumn("total", count_by("before")).withColumn("held", count_by("word")))
+    return _places(counted.where((F.col("n") * FEW_VALUES >= F.col("total")) & (F.col("held") > 1)))
+
+
+def _fixed_by_counts(lines: DataFrame) -> DataFrame:
+    """The fixed places of lines in leaves of any size: words are counted in the scan's tasks first."""
+    inside, here = _words_behind(lines), ["leaf", "place", "before", "word"]
     counted = staged(inside.groupBy(*here).agg(F.count(F.lit(1)).alias("n")), "line-words")
     held = counted.groupBy("leaf", "place", "word").agg(F.sum("n").alias("held")).where("held > 1").drop("held")
     follow = counted.groupBy("leaf", "place", "before").agg(F.sum("n").alias("total"))
     fixed = (counted.join(follow, ["leaf", "place", "before"]).where(F.col("n") * FEW_VALUES >= F.col("total"))
              .join(held, ["leaf", "place", "word"], "left_semi").select(*here))
-    places = (inside.join(fixed, here, "left_semi").groupBy("leaf", "kind").agg(F.collect_set("place").alias("places"))  # of one line
-              .select(F.col("leaf").alias("f_leaf"), F.col("kind").alias("f_kind"), "places"))
+    return _places(inside.join(fixed, here, "left_semi"))
+
+
+def general_templates(lines: DataFrame) -> DataFrame:
+    """(leaf, masked, general) of the different masked lines (leaf, masked) whose general template says enough.
+
+    Leaves with over 1 / ``HOT_PARTS`` of the lines (and over ``HOT_LEAF``) are fewer than
+    ``HOT_PARTS``, so they are broadcast; their words are counted in two steps.
+    """
+    total = lines.count()
+    hot = F.broadcast(lines.groupBy("leaf").agg(F.count(F.lit(1)).alias("n"))
+                      .where((F.col("n") > HOT_LEAF) & (F.col("n") * HOT_PARTS > total)).select("leaf"))
+    places = (_fixed_in_leaves(lines.join(hot, "leaf", "left_anti"))
+              .unionByName(_fixed_by_counts(lines.join(hot, "leaf", "left_semi"))).toDF("f_leaf", "f_kind", "places"))
+    words = F.split("masked", " ")
     known = F.coalesce("places", F.array().cast("array<int>"))
     general = F.transform(words, lambda w, i: F.when((i < DEPTH) | F.array_contains(known, i - DEPTH), w).otherwise("<*>"))
     return (lines.join(places, (F.col("leaf") == F.col("f_leaf")) & (F.xxhash64("masked") == F.col("f_kind")), "left")

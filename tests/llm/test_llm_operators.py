@@ -118,6 +118,15 @@ def test_line_templates_generalise_however_often_their_values_recur(spark, docs,
     assert [got[i]["n_dropped"] for i in range(1, docs)] == [2] * (docs - 1)
 
 
+def test_large_leaves_get_the_same_templates(spark, monkeypatch):
+    draw = random.Random(5)
+    lines = {"a b c " + " ".join(draw.choice("pqrstuv"[:2 + k]) for k in range(5)) for _ in range(60)} | {f"a b d {w} x" for w in "mn"}
+    near = spark.createDataFrame([(len(x), x) for x in sorted(lines)], "leaf long, masked string")
+    whole = sorted(_rows(line_dedup.general_templates(near)), key=repr)
+    monkeypatch.setattr(line_dedup, "HOT_LEAF", 5)
+    assert whole and whole == sorted(_rows(line_dedup.general_templates(near)), key=repr)
+
+
 def test_line_dedup_of_short_and_long_lines(spark):
     numbers = "one two three four five six seven eight nine ten".split()
     passage = " ".join(f"{a}{b}" for a in numbers for b in "pqrstu")  # 60 words
