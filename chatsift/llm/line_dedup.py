@@ -7,8 +7,8 @@ the leaf have it at that place and it is at least one in ``FEW_VALUES`` of what
 the leaf's lines have there behind the same word; other places are variable and
 become ``<*>``.  A share of what follows does not depend on how many lines a leaf
 holds, so a field stays variable when its values recur, and a leaf of many
-templates keeps them apart.  Lines travel as hashes; only those of leaves with
-different lines travel as text.  A template with too few fixed words, in all or
+templates keeps them apart.  Lines are shuffled as hashes; only those of
+leaves with different lines are shuffled as text.  A template with too few fixed words, in all or
 behind the leading ones, says too little: there the masked line itself is the
 template, or the line as it is where masking left too little.
 
@@ -180,12 +180,13 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     need = F.when(~wordy, F.lit(short_docs)).when(long_line, F.least(F.lit(2), F.lit(min_docs))).otherwise(F.lit(min_docs))
     lines = staged(rows.select("id", "text_hash", "place", F.when(wordy, _leaf(masked)).alias("leaf"),
                                F.xxhash64("masked").alias("kind"), *_name(own), need.cast("long").alias("need"),
-                               long_line.alias("long_line")), "lines")
+                               long_line.alias("long_line"), F.when(wordy, masked).alias("masked")), "lines")
     shared = staged(lines.where("leaf is not null").groupBy("leaf").agg(F.min("kind").alias("a"), F.max("kind").alias("b"))
                     .where("a <> b").select("leaf"), "leaves")
-    # Second scan: the words of lines in shared leaves; the filter is a single value, the join is exact.
+    # Only lines that may be in shared leaves are shuffled; the filter is a single value, the joins are exact.
     bits = staged(_filter_of(shared, "leaf"), "leaf-filter")
-    near = (rows.where(wordy).select(_leaf(masked).alias("leaf"), "masked").where(_may_be_in(bits, F.col("leaf"))))
+    may_be = F.coalesce(_may_be_in(bits, F.col("leaf")), F.lit(False))
+    near = lines.where(may_be).select("leaf", "masked")
     near = staged(near.join(shared, "leaf", "left_semi").distinct(), "near-lines")
     general = (general_templates(near)
                .select(F.col("leaf").alias("g_leaf"), F.xxhash64("masked").alias("g_kind"),
@@ -195,8 +196,10 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     by_general = F.struct(F.col("g1").alias("t1"), F.col("g2").alias("t2"), F.lit(min_docs).cast("long").alias("need"))
     names = (F.when(F.col("g1").isNull(), F.array(by_own)).when(F.col("long_line"), F.array(by_own, by_general))
              .otherwise(F.array(by_general)))
-    named = (lines.join(general, F.expr("leaf = g_leaf AND kind = g_kind"), "left")
+    lines = lines.drop("masked")
+    named = (lines.where(may_be).join(general, F.expr("leaf = g_leaf AND kind = g_kind"), "left")
              .select("id", "text_hash", "place", F.explode(names).alias("t")).select("id", "text_hash", "place", "t.*"))
+    named = named.unionByName(lines.where(~may_be).select(*named.columns))
     named = staged(named, "templates")
     often = (named.groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("least"))
              .where("n >= least").select("t1", "t2", "least"))
