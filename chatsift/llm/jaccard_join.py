@@ -14,7 +14,10 @@ size); a group of exact copies is never compared.
    spanning forest of the pairs that pass, never the pairs.  Tiles of over
    ``TILE_ROWS`` sets are cut into overlapping bands of size first; a band that is
    still too large for a task's memory passes as a whole.
-3. Components of the forests are clusters: no link leaves one.  Each set of a
+3. Components of the forests are clusters: no link leaves one.  The short
+   signatures of tiles are full for very long sets, so clusters of several blocks
+   that hold such sets are cut once more by bands of size with wide signatures, of
+   a bit or two for each shingle.  Each set of a
    cluster is sent once, with its array, to a block of about ``BLOCK`` sets and
    ``BLOCK_BYTES`` of arrays, where links are tested exactly, skipping sets already
    connected.
@@ -57,6 +60,9 @@ SMALL_TILE = 64
 FILTER_BITS = 1 << 23
 _SHORT, _LONG = 8, 32  # words of 64 bits in a signature, for sets up to and over LONG_SET
 LONG_SET = 1024
+WIDE_SET = 2048  # sets over this have a wide signature as well
+_WIDEST = 1 << 12  # words of the largest one
+SIG_BYTES = 32 << 20  # signatures that a task holds for one tile
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _IS_BLANK = np.zeros(256, bool)
@@ -111,16 +117,23 @@ def set_id(shingles: np.ndarray) -> int:
     return h - (1 << 64) if h >> 63 else h
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, words: int | None = None) -> np.ndarray:
     """Parity bitmap: bit h is set where an odd number of shingles hash to it."""
-    words = _SHORT if len(shingles) <= LONG_SET else _LONG
+    words = words or (_SHORT if len(shingles) <= LONG_SET else _LONG)
     bits = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
     return np.packbits(bits.astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def _folded(sig: np.ndarray) -> np.ndarray:
-    """A long signature as a short one: parities add."""
-    return np.bitwise_xor.reduce(sig.reshape(-1, _SHORT), axis=0)
+def wide_signature(shingles: np.ndarray) -> bytes | None:
+    """For sets over ``WIDE_SET``: one to two bits for each shingle, as far as ``_WIDEST`` words allow."""
+    if len(shingles) <= WIDE_SET:
+        return None
+    return signature(shingles, min(_WIDEST, 1 << (len(shingles) - 1).bit_length() - 6)).tobytes()
+
+
+def _folded(sigs: np.ndarray, words: int) -> np.ndarray:
+    """Signatures (rows) as ones of fewer words: parities add."""
+    return np.bitwise_xor.reduce(sigs.reshape(len(sigs), -1, words), axis=1)
 
 
 def may_link(n: int, others: np.ndarray, differing: np.ndarray, percent: int) -> np.ndarray:
@@ -144,15 +157,16 @@ def _describe(size: int):
                 pa.nulls(int(often.sum()), pa.int64()), pa.nulls(int(often.sum()), pa.int64()),
                 pa.nulls(int(often.sum()), pa.int32()),
                 pa.array(values[often].view(np.int64)), pa.nulls(int(often.sum()), pa.binary()),
-                pa.array(counts[often].astype(np.int64))], names=names)
+                pa.nulls(int(often.sum()), pa.binary()), pa.array(counts[often].astype(np.int64))], names=names)
 
-        names = ["doc_id", "text_hash", "n", "set_id", "sig", "found"]
+        names = ["doc_id", "text_hash", "n", "set_id", "sig", "wide", "found"]
         for batch in batches(rows, 1024, "text", 1 << 18):
             sets = shingle_sets(batch.column("text").to_pylist(), size)
             ids = [set_id(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("text_hash"), pa.array([len(s) for s in sets], pa.int32()), pa.array(ids, pa.int64()),
-                pa.array([signature(s).tobytes() for s in sets], pa.binary()), pa.nulls(len(ids), pa.int64())], names=names)
+                pa.array([signature(s).tobytes() for s in sets], pa.binary()),
+                pa.array([wide_signature(s) for s in sets], pa.binary()), pa.nulls(len(ids), pa.int64())], names=names)
             if len(seen) > MEMO:
                 seen.clear()
             for i, s in zip(ids, sets):
@@ -282,23 +296,31 @@ def _more(lead, ids, names):
 
 
 class _Signatures:
+    """Signatures of several lengths; two are compared at the shorter one's, to which the longer one folds."""
+
     def __init__(self, raw: list[bytes]):
-        self.long = np.array([len(r) == 8 * _LONG for r in raw])
-        self.short = np.zeros((len(raw), _SHORT), np.uint64)
-        self.full: dict[int, np.ndarray] = {}
-        for i, r in enumerate(raw):
-            sig = np.frombuffer(r, np.uint64)
-            self.short[i] = _folded(sig) if self.long[i] else sig
-            if self.long[i]:
-                self.full[i] = sig
+        self.words = np.array([len(r) // 8 for r in raw])
+        self.place = np.zeros(len(raw), np.int64)
+        self.rows: dict[int, np.ndarray] = {}  # by length
+        self.fold: dict[tuple[int, int], np.ndarray] = {}
+        for w in np.unique(self.words).tolist():
+            at = np.flatnonzero(self.words == w)
+            self.place[at] = np.arange(len(at))
+            self.rows[w] = np.frombuffer(b"".join(raw[j] for j in at.tolist()), np.uint64).reshape(len(at), w)
 
     def differing(self, i: int, others: np.ndarray) -> np.ndarray:
-        out = np.bitwise_count(self.short[others] ^ self.short[i]).sum(1, dtype=np.int64)
-        if self.long[i]:
-            at = np.flatnonzero(self.long[others])
-            if len(at):
-                full = np.stack([self.full[j] for j in others[at].tolist()])
-                out[at] = np.bitwise_count(full ^ self.full[i]).sum(1, dtype=np.int64)
+        out = np.zeros(len(others), np.int64)
+        mine, w = self.rows[int(self.words[i])][self.place[i]], int(self.words[i])
+        for v, rows in self.rows.items():
+            at = np.flatnonzero(self.words[others] == v)
+            if not len(at):
+                continue
+            if v > w:
+                if (v, w) not in self.fold:
+                    self.fold[v, w] = _folded(rows, w)
+                rows = self.fold[v, w]
+            short = mine if v >= w else _folded(mine[None], v)[0]
+            out[at] = np.bitwise_count(rows[self.place[others[at]]] ^ short).sum(1, dtype=np.int64)
         return out
 
 
@@ -331,7 +353,7 @@ def _tile_forests(percent: int, tile_rows: int):
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["a", "b"]
         done: set[tuple[int, int]] = set()  # edges this task has sent
-        tile, held, chained = None, [], False
+        tile, held, chained, n_bytes = None, [], False, 0
 
         def edges(found):
             fresh = []
@@ -361,13 +383,14 @@ def _tile_forests(percent: int, tile_rows: int):
                 if t != tile:
                     if len(held) > 1 and not chained:
                         out.extend(solved())
-                    tile, held, chained = t, [], False
+                    tile, held, chained, n_bytes = t, [], False, 0
                 if chained:
                     out.append((held[-1][1], i))
                     held = [(n, i, sig)]
                     continue
                 held.append((n, i, sig))
-                if len(held) > tile_rows:  # passes as a whole; the exact test comes later
+                n_bytes += len(sig)
+                if len(held) > tile_rows or n_bytes > SIG_BYTES:  # passes as a whole; the exact test comes later
                     out.extend((x[1], y[1]) for x, y in zip(held, held[1:]))
                     held, chained = held[-1:], True
             yield edges(out)
@@ -542,8 +565,23 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
                       _tile_forests(percent, tile_rows), "a long, b long")
     clusters = staged(connected_components(edges).withColumnRenamed("root", "cluster"), "clusters")
 
-    sized = clusters.join(kinds.select(F.col("set_id").alias("node"), "n"), "node").withColumn("band", _band(F.col("n"), percent))
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
+
+    def with_sizes(names):
+        return names.join(kinds.select(F.col("set_id").alias("node"), "n"), "node").withColumn("band", band)
+
+    sized = with_sizes(clusters)
+    coarse = staged(sized.groupBy("cluster").agg(blocks.alias("in_all"), F.max("n").alias("longest"))
+                    .where((F.col("in_all") > 1) & (F.col("longest") > WIDE_SET)).select("cluster"), "coarse")
+    if coarse.head(1):
+        wide = sets.where("found IS NULL AND n > 0").groupBy("set_id").agg(F.first(F.coalesce("wide", "sig")).alias("sig"))
+        meets = F.explode(F.array(F.xxhash64("cluster", band), F.xxhash64("cluster", band + 1))).alias("tile")
+        tiles = (sized.join(coarse, "cluster").select(meets, "n", F.col("node").alias("set_id")).join(wide, "set_id"))
+        edges = arrow_map(_blocked(tiles, ["tile"], ["n", "set_id"]).select("tile", "n", "set_id", "sig"),
+                          _tile_forests(percent, tile_rows), "a long, b long")
+        clusters = staged(clusters.join(coarse, "cluster", "left_anti").select("node", "cluster").unionByName(
+            connected_components(edges).withColumnRenamed("root", "cluster")), "clusters")
+        sized = with_sizes(clusters)
     per_cluster = sized.groupBy("cluster").agg(blocks.alias("in_all"))
     per_band = sized.groupBy("cluster", "band").agg(blocks.alias("in_band"))
     one = F.col("in_all") == 1
@@ -617,7 +655,7 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
     return arrow_map(pairs, _outside_links(percent), "a long, b long").unionByName(links)
 
 
-_DESCRIBED = "doc_id long, text_hash long, n int, set_id long, sig binary, found long"
+_DESCRIBED = "doc_id long, text_hash long, n int, set_id long, sig binary, wide binary, found long"
 
 
 def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -445,6 +445,64 @@ def test_jaccard_of_oversize_tiles_and_long_sets_equals_brute_force(spark, monke
     assert got == {i: top(i) for i in range(len(docs))}
 
 
+def _brute_components(docs, percent=85):
+    sets = [set(s.tolist()) for s in jaccard_join.shingle_sets(docs)]
+    least = list(range(len(docs)))
+    moved = True
+    while moved:
+        moved = False
+        for i in range(len(docs)):
+            for j in range(i):
+                both = len(sets[i] & sets[j])
+                if both and least[i] != least[j] and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                    least[i] = least[j] = min(least[i], least[j])
+                    moved = True
+    return dict(enumerate(least))
+
+
+def test_jaccard_wide_signatures_part_very_long_texts(spark, monkeypatch):
+    """Long texts that only share passages fill the short signatures; the wide ones part them and keep every link."""
+    rng = random.Random(8)
+    passages = [" ".join(f"q{k}x{i}" for i in range(30)) for k in range(6)]
+    docs = []
+    for n in (300, 520, 530, 1000, 1030, 1900, 2600):
+        for _ in range(3):
+            base = [f"v{rng.randrange(10**9)}" for _ in range(n)]
+            rng.shuffle(passages)
+            body = " ".join(base) + " " + " ".join(passages[:4])
+            docs.append(body)
+            if rng.random() < 0.7:
+                docs.append(body + " " + " ".join(base[:n // 12]) + " tail")  # links
+            docs.append(" ".join(base[:int(n * 0.8)]) + " " + passages[0])  # just too short to link, as a rule
+    monkeypatch.setattr(jaccard_join, "BLOCK_BYTES", 1 << 14)
+    monkeypatch.setattr(jaccard_join, "WIDE_SET", 256)
+    monkeypatch.setattr(jaccard_join, "_LONG", 8)  # full for all of these
+    cut = []
+    forests = jaccard_join._tile_forests
+    monkeypatch.setattr(jaccard_join, "_tile_forests", lambda *a: cut.append(a) or forests(*a))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(4)
+    want = _brute_components(docs)
+    got = {r["doc_id"]: r["component_id"] for r in _rows(jaccard_join.jaccard_components(df, block=8))}
+    assert got == want and len(cut) == 2  # the tiles, then the clusters
+    monkeypatch.setattr(jaccard_join, "SIG_BYTES", 1024)  # tiles that pass as a whole
+    got = {r["doc_id"]: r["component_id"] for r in _rows(jaccard_join.jaccard_components(df, block=8))}
+    assert got == want
+
+
+def test_signatures_of_all_lengths_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64)) for n in (3, 600, 1500, 2500, 5000, 70_000)]
+    sets += [np.unique(np.concatenate((s[:-1], s[:1] + np.uint64(1)))) for s in sets]
+    raw = [jaccard_join.wide_signature(s) or jaccard_join.signature(s).tobytes() for s in sets]
+    assert [len(r) * 8 for r in raw[:6]] == [512, 512, 2048, 4096, 8192, 131_072]
+    sigs = jaccard_join._Signatures(raw)
+    for i, s in enumerate(sets):
+        differing = sigs.differing(i, np.arange(len(sets)))
+        for j, t in enumerate(sets):
+            assert differing[j] <= len(np.setxor1d(s, t))
+        assert differing[i] == 0
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in _rows(components.connected_components(spark.createDataFrame(edges, "a long, b long")))}
