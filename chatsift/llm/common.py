@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from typing import Callable, Iterator
 
 import pyarrow as pa
@@ -23,11 +24,45 @@ def split_words(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+_KEPT: dict[str, object] = {}  # what this Python worker keeps for the tasks to come
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """One object per Python worker, for all tasks of functions that ``arrow_map`` was told keep it."""
+    if name not in _KEPT:
+        _KEPT[name] = make()
+    return _KEPT[name]
+
+
+def _let_go(keeps: str | None) -> None:
+    for name in [x for x in _KEPT if x != keeps]:
+        del _KEPT[name]
+
+
+def _trim() -> None:
+    """Gives freed memory back to the system: allocators hold it, and an idle worker would count it beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-              schema: str | StructType) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers."""
+              schema: str | StructType, keeps: str | None = None) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers.
+
+    Workers outlive stages: what one keeps for another function (all but ``keeps``) is let go before its first row here,
+    and freed memory goes back to the system at the end of each task.
+    """
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _let_go(keeps)
+        try:
+            yield from fn(rows)
+        finally:
+            _trim()
+
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(run, schema)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -28,11 +28,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatsift.llm.common import arrow_map, batches
+from chatsift.llm.common import arrow_map, batches, kept
 
 POOL_ITEMS = 512
 POOL_TOKENS = 1 << 20
 MEMO_WORDS = 300_000
+KEEPS = "word tokens"
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, "
           "loss_tokens long")
@@ -242,12 +243,6 @@ class WordTokens:
         return out
 
 
-@lru_cache(maxsize=1)
-def _worker_tokens(path: str) -> WordTokens:
-    """One per Python worker: its tables and remembered words serve all tasks of the worker."""
-    return WordTokens(path)
-
-
 def pack_texts(docs: DataFrame, tokenizer_path: str | Callable[[], str], limits: Limits = Limits(), end_id: int = 2,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Whole texts as ids, closed by ``end_id``, packed: one row per piece.  All ids bear loss.
@@ -256,7 +251,9 @@ def pack_texts(docs: DataFrame, tokenizer_path: str | Callable[[], str], limits:
     gives it on the worker.
     """
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _worker_tokens(tokenizer_path() if callable(tokenizer_path) else tokenizer_path)
+        path = tokenizer_path() if callable(tokenizer_path) else tokenizer_path
+        tables = kept(KEEPS, dict)  # tables and remembered words serve all packing tasks of a worker
+        tokens = tables[path] if path in tables else tables.setdefault(path, WordTokens(path))
         packer = Packer(limits, TaskContext.get().partitionId())
         for batch in batches(rows, 256, "text", 1 << 20):
             texts = [t or "" for t in batch.column("text").to_pylist()]
@@ -267,7 +264,7 @@ def pack_texts(docs: DataFrame, tokenizer_path: str | Callable[[], str], limits:
         yield packer.rows()
 
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return arrow_map(src, run, _PIECE)
+    return arrow_map(src, run, _PIECE, KEEPS)
 
 
 def pack_examples(examples: DataFrame, limits: Limits = Limits(), id_col: str = "doc_id", ids_col: str = "ids",

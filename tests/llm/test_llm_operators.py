@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -503,6 +504,25 @@ def test_signatures_of_all_lengths_bound_the_overlap():
         assert differing[i] == 0
 
 
+def test_workers_let_go_what_another_function_kept(spark):
+    """Kept from task to task of one function, gone once the worker runs another one."""
+    from chatsift.llm.common import arrow_map, kept
+
+    def count(rows):
+        for batch in rows:
+            seen = kept("a test", list)
+            seen.append(1)
+            yield pa.RecordBatch.from_pydict({"n": [len(seen)]})
+
+    def other(rows):
+        yield from rows
+
+    one = spark.range(1).select(F.col("id").alias("n")).coalesce(1)
+    again = [[r["n"] for r in arrow_map(one, count, "n long", "a test").collect()] for _ in range(12)]
+    assert max(again)[0] > 1  # workers are many, so not every task finds what another left
+    assert arrow_map(arrow_map(one, other, "n long"), count, "n long").collect()[0]["n"] == 1
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(7, 7)]
     got = {r["node"]: r["root"] for r in _rows(components.connected_components(spark.createDataFrame(edges, "a long, b long")))}
