@@ -39,7 +39,7 @@ def _let_go(keeps: str | None) -> None:
         del _KEPT[name]
 
 
-def _trim() -> None:
+def trim_memory() -> None:
     """Gives freed memory back to the system: allocators hold it, and an idle worker would count it beside the JVM."""
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
@@ -59,7 +59,7 @@ def arrow_map(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
         try:
             yield from fn(rows)
         finally:
-            _trim()
+            trim_memory()
 
     ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chatsift.llm.common import arrow_map, batches, split_words, staged
+from chatsift.llm.common import arrow_map, batches, split_words, staged, trim_memory
 
 BUCKETS = 1 << 14
 RANK = 8
@@ -189,7 +189,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     starts = index.offsets.to_numpy()
     flat_index, flat_value = index.values.to_numpy(), value.values.to_numpy()
     examples = [(flat_index[a:b].astype(np.int64), flat_value[a:b].astype(np.float64)) for a, b in zip(starts, starts[1:])]
-    return FactorisationMachine(seed).fit(examples, table.column("label").to_numpy().astype(np.float64), seed)
+    machine = FactorisationMachine(seed).fit(examples, table.column("label").to_numpy().astype(np.float64), seed)
+    del table, index, value, starts, flat_index, flat_value, examples
+    trim_memory()  # the driver has later stages to run
+    return machine
 
 
 def score(docs: DataFrame, model: FactorisationMachine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
