@@ -35,3 +35,39 @@ def test_loops_do_not_depend_on_the_cuts(monkeypatch, chunk):
         "".join(draw.choice(["a", "b", "a ", " b", "\n", "\x1e", "é "], size)) for size in (1, 5, 40, 41, 90, 300) for _ in range(8))]
     for n, k in ((1, 1), (2, 2), (3, 2), (4, 1)):
         assert ngrams.looping(texts, n, k).tolist() == [has_ngram_loop_py(t, n, k) for t in texts]
+
+
+def rows_exploded(df) -> int:
+    """Rows that the explodes of an executed plan made."""
+    def walk(node) -> int:
+        name = node.nodeName()
+        inner = [node.executedPlan()] if name == "AdaptiveSparkPlan" else [node.plan()] if "QueryStage" in name else []
+        children = node.children()
+        own = node.metrics().get("numOutputRows").get().value() if name == "Generate" else 0
+        return own + sum(walk(x) for x in [*inner, *(children.apply(i) for i in range(children.size()))])
+
+    df.collect()
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_ngrams_of_texts_that_cannot_loop_are_not_exploded(spark):
+    plain, loop = " ".join(f"w{i}" for i in range(500)), "a b c d e f g h i j " * 7
+    docs = spark.createDataFrame([(i, loop if i == 7 else plain) for i in range(40)], "id long, t string")
+    out = ngrams.ngram_loop_exploded(docs, "id", "t", 10, 5)
+    assert rows_exploded(out) < 200  # a row each, and the n-grams of one
+    assert [r.id for r in out.collect()] == [7]
+
+
+@pytest.mark.parametrize("sent", [0, 100])
+def test_exploded_ngrams_of_one_id_are_counted_together(spark, monkeypatch, sent):
+    monkeypatch.setattr(ngrams, "MAX_IDS", sent)
+    two, plain = "a b c d " * 2, "x y z u v w"
+    rows = [(None, two), (None, two), (1, two), (1, plain), (2, two), (2, two), (2, None), (3, plain), (3, plain), (4, "a b c d " * 4),
+            (5, two), (6, None), (7, "  "), (8, plain), (None, "a b"), (9, None), (9, None)]
+    docs = spark.createDataFrame(rows, "id long, t string")
+    for k in (0, 1, 2, 3):
+        want = {i for i in {r[0] for r in rows} if has_ngram_loop_py(" ".join(f"{t} #{j}" for j, (x, t) in enumerate(rows) if x == i and t), 4, k)}
+        if k == 0:  # n-grams across the rows of an id are none
+            want = {i for i, t in rows if has_ngram_loop_py(t, 4, 0)}
+        got = [r.id for r in ngrams.ngram_loop_exploded(docs, "id", "t", 4, k).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, k
