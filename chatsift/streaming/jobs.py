@@ -252,17 +252,31 @@ class DownAtFirst:
         return self.stub.complete(request, **options)
 
 
+def _write_twice(requests: DataFrame, path: str) -> int:
+    """Writes the requests as folders ``a`` and ``b`` of as many files; the number of files of one.
+
+    Rows are dealt by their values, so both folders have the same files and a micro-batch of that many is one folder.
+    """
+    spark = requests.sparkSession
+    rows = staged(requests, "requests")
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism, *rows.columns)
+    for part in ("a", "b"):
+        dealt.write.parquet(f"{path}/{part}")
+    files = [len(spark.read.schema(rows.schema).parquet(f"{path}/{part}").inputFiles()) for part in ("a", "b")]
+    if files[0] != files[1]:
+        raise RuntimeError(f"{files[0]} and {files[1]} files of the same requests")
+    return max(files[0], 1)
+
+
 def _q_generate_stream_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files bring the same requests; a third of the calls fail throughout the first run, its last micro-batch
-    included, and are made again by a restart that finds no new file."""
+    """Two folders, a micro-batch each, bring the same requests; a third of the calls fail throughout the first run,
+    its last micro-batch included, and are made again by a restart that finds no new file."""
     from chatsift.session import work_path
 
     src, out, ck = work_path(spark, "gen-src"), work_path(spark, "gen-out"), work_path(spark, "gen-ck")
-    requests = _requests(spark, sf_dir)
-    for part in ("a", "b"):
-        requests.coalesce(1).write.parquet(f"{src}/{part}")
+    files = _write_twice(_requests(spark, sf_dir), src)
     for endpoint in ("down", "up"):
-        generate_stream(spark, f"{src}/*", out, ck, DownAtFirst, [endpoint], max_files_per_trigger=1,
+        generate_stream(spark, f"{src}/*", out, ck, DownAtFirst, [endpoint], max_files_per_trigger=files,
                         request_cols=("id", "messages", "quality"), max_attempts=9).awaitTermination()
     return _generated(spark, out)
 

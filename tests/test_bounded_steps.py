@@ -71,3 +71,16 @@ def test_exploded_ngrams_of_one_id_are_counted_together(spark, monkeypatch, sent
             want = {i for i, t in rows if has_ngram_loop_py(t, 4, 0)}
         got = [r.id for r in ngrams.ngram_loop_exploded(docs, "id", "t", 4, k).collect()]
         assert len(got) == len(set(got)) and set(got) == want, k
+
+
+def test_requests_written_twice_lie_in_as_many_files(spark, tmp_path):
+    from chatsift.streaming.jobs import _write_twice
+
+    rows = [(i if i % 5 else None, f"p{i % 3}", None if i % 7 == 0 else "d", i % 2) for i in range(60)] + [(1, "p1", "d", 1)] * 9
+    requests = spark.createDataFrame(rows, "id long, prompt string, demonstration string, quality int")
+    for name, want in (("some", sorted(rows, key=repr)), ("none", [])):
+        files = _write_twice(requests.limit(len(want)), str(tmp_path / name))
+        for part in ("a", "b"):
+            back = spark.read.parquet(str(tmp_path / name / part))
+            assert len(back.inputFiles()) == files and (files > 1 or not want)
+            assert sorted((tuple(r) for r in back.collect()), key=repr) == want
