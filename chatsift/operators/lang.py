@@ -19,14 +19,14 @@ ids.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from typing import Iterator
+from typing import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chatsift.operators.partitioning import in_slices
 from chatsift.session import ship_package, staged
 
 #: (language, trigram) entries of a profile that are sent to every task (at most 28 bytes each, 112 MB);
@@ -36,6 +36,8 @@ MAX_ENTRIES = 4_000_000
 UNIT = 1_000_000
 #: Different trigrams that a task of the training holds before it sends its counts.
 HELD = 1_000_000
+#: Trigrams in a batch of such counts.
+SENT = 1 << 16
 #: Characters scored or counted at a time.
 CHUNK = 1 << 19
 
@@ -64,34 +66,41 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         held[lang] = grams, counts
 
     def send():
-        for lang, (grams, counts) in held.items():
-            points = np.stack([grams >> np.uint64(21 * k) & np.uint64((1 << 21) - 1) for k in range(3)], axis=1).astype("<u4")
-            text = points.tobytes().decode("utf-32-le", "surrogatepass")
-            yield pa.RecordBatch.from_arrays([
-                pa.array([lang] * len(grams), pa.string()), pa.array([text[i:i + 3] for i in range(0, len(text), 3)], pa.string()),
-                pa.array(counts)], names=["lang", "gram", "n"])
-        held.clear()
+        while held:
+            lang, (grams, counts) = held.popitem()
+            for at in range(0, len(grams), SENT):
+                some = grams[at:at + SENT]
+                points = np.stack([some >> np.uint64(21 * k) & np.uint64((1 << 21) - 1) for k in range(3)], axis=1).astype("<u4")
+                text = points.tobytes().decode("utf-32-le", "surrogatepass")
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([lang] * len(some), pa.string()), pa.array([text[i:i + 3] for i in range(0, len(text), 3)], pa.string()),
+                    pa.array(counts[at:at + SENT])], names=["lang", "gram", "n"])
+
+    waiting: dict[str | None, list[str]] = {}  # about CHUNK characters in all
+    size = 0
+
+    def count():
+        for lang, texts in waiting.items():
+            sizes = np.array([len(t) for t in texts], dtype=np.int64)
+            found = ProfileArrays.gram_numbers(_points(texts))
+            inside = np.ones(len(found), dtype=bool)
+            for k in (1, 2):  # trigrams across two texts
+                inside[(np.cumsum(sizes)[:-1] - k)] = False
+            add(lang, *np.unique(found[inside], return_counts=True))
+        waiting.clear()
 
     for batch in batches:
-        by_lang: dict[str | None, list[str]] = {}
-        for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-            by_lang.setdefault(lang, []).append(text)
-        for lang, texts in by_lang.items():
-            at = 0
-            while at < len(texts):  # about CHUNK characters at a time
-                stop, size = at, 0
-                while stop < len(texts) and (stop == at or size + len(texts[stop]) <= CHUNK):
-                    size += len(texts[stop])
-                    stop += 1
-                sizes = np.array([len(t) for t in texts[at:stop]], dtype=np.int64)
-                found = ProfileArrays.gram_numbers(_points(texts[at:stop]))
-                inside = np.ones(len(found), dtype=bool)
-                for k in (1, 2):  # trigrams across two texts
-                    inside[(np.cumsum(sizes)[:-1] - k)] = False
-                add(lang, *np.unique(found[inside], return_counts=True))
-                at = stop
-        if sum(len(g) for g, _ in held.values()) > HELD:
-            yield from send()
+        for lang, text in zip(in_slices(batch.column("lang")), in_slices(batch.column("text"))):
+            for at in range(0, max(len(text) - 2, 1), CHUNK):  # a long text in pieces that share two characters
+                piece = text[at:at + CHUNK + 2]
+                if size and size + len(piece) > CHUNK:
+                    count()
+                    size = 0
+                    if sum(len(g) for g, _ in held.values()) > HELD:
+                        yield from send()
+                waiting.setdefault(lang, []).append(piece)
+                size += len(piece)
+    count()
     yield from send()
 
 
@@ -193,6 +202,19 @@ class ProfileArrays:
             out[:, k] += total[np.minimum(first + counts, len(found))] - total[np.minimum(first, len(found))]
         return out
 
+    def each(self, texts: Iterable[str | None]) -> list[str | None]:
+        """:meth:`best` of about ``CHUNK`` characters at a time."""
+        out: list[str | None] = []
+        some: list[str | None] = []
+        size = 0
+        for text in texts:
+            if some and size + len(text or "") > CHUNK:
+                out += self.best(some)
+                some, size = [], 0
+            some.append(text)
+            size += len(text or "")
+        return out + self.best(some)
+
     def best(self, texts: list[str | None]) -> list[str | None]:
         """The best language of each text, the larger code on a tie; null for null."""
         some = [i for i, t in enumerate(texts) if t is not None]
@@ -215,9 +237,9 @@ def language_column(profiles: DataFrame, text: Column) -> Column:
     ship_package(spark)
     sent = spark.sparkContext.broadcast(ProfileArrays.load(profiles))
 
-    @F.pandas_udf("string")
-    def best(texts: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.best(texts.tolist()), dtype="object")
+    @F.arrow_udf("string")
+    def best(texts: pa.Array) -> pa.Array:
+        return pa.array(sent.value.each(in_slices(texts)), pa.string())
 
     return best(lang_text(text))
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from itertools import accumulate
+from typing import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +44,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     return df.repartition(target)
 
 
+def in_slices(column: pa.Array, rows: int = 64) -> Iterator:
+    """The values of an Arrow column; only a few rows of it are Python objects at a time."""
+    for at in range(0, len(column), rows):
+        yield from column.slice(at, rows).to_pylist()
+
+
 def hash_key(seed: int, id_col: str | Column) -> Column:
     """Deterministic per-row shuffle key: md5 of ``"<seed>:<id>"`` (hex string).
 

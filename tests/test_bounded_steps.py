@@ -84,3 +84,42 @@ def test_requests_written_twice_lie_in_as_many_files(spark, tmp_path):
             back = spark.read.parquet(str(tmp_path / name / part))
             assert len(back.inputFiles()) == files and (files > 1 or not want)
             assert sorted((tuple(r) for r in back.collect()), key=repr) == want
+
+
+def test_languages_of_a_batch_are_counted_and_scored_within_bounded_memory():
+    import pyarrow as pa
+
+    from chatsift.operators import lang
+
+    def batch(rows):
+        texts = pa.array([" " + "abcdefghij klmnop " * 60] * rows)
+        return pa.RecordBatch.from_arrays([pa.array(["en"] * rows), texts], names=["lang", "text"])
+
+    small, large = batch(2_000), batch(16_000)  # 2 and 17 MB of text
+    counted = []
+    count = lambda b: counted.append([x.to_pydict() for x in lang._count_trigrams(iter([b]))])
+    few, many = peak_mb(lambda: count(small)), peak_mb(lambda: count(large))
+    assert many < 1.2 * few + 2
+    assert sum(counted[1][0]["n"]) == 16_000 * len(" " + "abcdefghij klmnop " * 60) - 2 * 16_000 == 8 * sum(counted[0][0]["n"])
+
+
+@pytest.mark.parametrize("chunk,held,sent", [(1 << 19, 1 << 20, 1 << 16), (40, 30, 7), (1, 1, 1)])
+def test_trigram_counts_do_not_depend_on_the_cuts(monkeypatch, chunk, held, sent):
+    from collections import Counter
+
+    import pyarrow as pa
+
+    from chatsift.operators import lang
+
+    for name, value in (("CHUNK", chunk), ("HELD", held), ("SENT", sent)):
+        monkeypatch.setattr(lang, name, value)
+    draw = np.random.default_rng(3)
+    texts = ["".join(draw.choice(["x", "é", "\U0001F600", " "], size)) for size in (3, 4, 5, 41, 42, 43, 200) for _ in range(9)]
+    langs = [(None, "a", "b")[i % 3] for i in range(len(texts))]
+    want = Counter((c, t[i:i + 3]) for c, t in zip(langs, texts) for i in range(len(t) - 2))
+    got = Counter()
+    rows = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(texts)], names=["lang", "text"])
+    for b in lang._count_trigrams(iter([rows.slice(0, 20), rows.slice(20)])):
+        for c, g, n in zip(*(b.column(x).to_pylist() for x in ("lang", "gram", "n"))):
+            got[c, g] += n
+    assert got == want
