@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chatsift.llm.common import arrow_map, batches, fresh, staged
-from chatsift.llm.components import connected_components
+from chatsift.llm.components import connected_components, stars
 
 SHINGLE = 4
 PERCENT = 85
@@ -446,20 +446,23 @@ def _in_groups(rows: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tupl
 
 
 def _block_links(percent: int, keys: list[str]):
-    """A spanning forest of the exact links of each block."""
+    """The components of the exact links of each block, as links of nodes with the least one; ``several`` is the block's."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int]] = []
         for _, held in _in_groups(rows, keys):
-            ids = [r["set_id"] for r in held]
+            names = np.array([r["name"] for r in held], np.int64)
             sets = _Sets([r["shingles"] for r in held])
-            found += [(ids[i], ids[j]) for i, j in _forest(sets.n, percent, lambda i, others: sets.links(i, others, percent))]
-            if len(found) > 10_000:
-                yield _edge_batch(found)
-                found = []
-        yield _edge_batch(found)
+            found = _forest(sets.n, percent, lambda i, others: sets.links(i, others, percent))
+            if found:
+                i, j = np.array(found).T
+                a, b, _ = stars(names[i], names[j])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), held[0]["several"]))],
+                                                 names=["a", "b", "several"])
     return run
 
 
+_LINKS = "a long, b long, several boolean"
+
+
 def _edge_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
     a, b = zip(*found) if found else ((), ())
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
@@ -491,8 +494,8 @@ _PAIR = ["cluster", "zone", "out_block"]
 
 
 def _outside_links(percent: int):
-    """Streams the sets of a cluster past a block of sets outside its main component, which come first: a link for each
-    pair of components that has one."""
+    """Streams the sets of a cluster past a block of sets outside its main component, which come first: links of
+    the roots of components that a pair of sets links, but for what follows from other links."""
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held, index, top, found = None, [], None, {}, []
 
@@ -513,12 +516,12 @@ def _outside_links(percent: int):
                     continue
                 if index is None:
                     index = _Index([h["shingles"] for h in held])
-                    held = [(h["set_id"], h["root"]) for h in held]
+                    held = [h["root"] for h in held]
                 for j in index.linked(np.frombuffer(r["shingles"], np.uint64), percent).tolist():
-                    x, y = root(r["root"]), root(held[j][1])
+                    x, y = root(r["root"]), root(held[j])
                     if x != y:
                         top[max(x, y)] = min(x, y)
-                        found.append((held[j][0], r["set_id"]))
+                        found.append((x, y))
             yield _edge_batch(found)
             found = []
     return run
@@ -546,7 +549,7 @@ def _band(n, percent: int):
 
 
 def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, block: int, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """(node, root) of the sets that link with another set.  ``docs``: text; ``sets``: set_id, n, sig, distinct."""
+    """(node, root) of the sets that link with another set, but for roots.  ``docs``: text; ``sets``: set_id, n, sig, distinct."""
     spark = docs.sparkSession
     often = (sets.where("found IS NOT NULL").groupBy("set_id").agg(F.sum("found").alias("c"))
              .orderBy(F.desc("c"), "set_id").limit(FREQUENT)).toArrow()  # FREQUENT rows of 16 bytes at most
@@ -561,9 +564,11 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
     band = _band(F.col("n"), percent)
     parts = F.when(F.col("large"), F.array(F.xxhash64("tile", band), F.xxhash64("tile", band + 1))).otherwise(F.array("tile"))
     tiles = shared.join(kinds, "set_id").select(F.explode(parts).alias("tile"), "n", "set_id", "sig")
-    edges = arrow_map(_blocked(tiles, ["tile"], ["n", "set_id"]).select("tile", "n", "set_id", "sig"),
-                      _tile_forests(percent, tile_rows), "a long, b long")
-    clusters = staged(connected_components(edges).withColumnRenamed("root", "cluster"), "clusters")
+    def linked(tiles):
+        rows = _blocked(tiles, ["tile"], ["n", "set_id"]).select("tile", "n", "set_id", "sig")
+        return connected_components(rows, _tile_forests(percent, tile_rows)).withColumnRenamed("root", "cluster")
+
+    clusters = staged(linked(tiles), "clusters")
 
     blocks = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") * 8 / BLOCK_BYTES)).cast("int")
 
@@ -577,10 +582,7 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
         wide = sets.where("found IS NULL AND n > 0").groupBy("set_id").agg(F.first(F.coalesce("wide", "sig")).alias("sig"))
         meets = F.explode(F.array(F.xxhash64("cluster", band), F.xxhash64("cluster", band + 1))).alias("tile")
         tiles = (sized.join(coarse, "cluster").select(meets, "n", F.col("node").alias("set_id")).join(wide, "set_id"))
-        edges = arrow_map(_blocked(tiles, ["tile"], ["n", "set_id"]).select("tile", "n", "set_id", "sig"),
-                          _tile_forests(percent, tile_rows), "a long, b long")
-        clusters = staged(clusters.join(coarse, "cluster", "left_anti").select("node", "cluster").unionByName(
-            connected_components(edges).withColumnRenamed("root", "cluster")), "clusters")
+        clusters = staged(clusters.join(coarse, "cluster", "left_anti").select("node", "cluster").unionByName(linked(tiles)), "clusters")
         sized = with_sizes(clusters)
     per_cluster = sized.groupBy("cluster").agg(blocks.alias("in_all"))
     per_band = sized.groupBy("cluster", "band").agg(blocks.alias("in_band"))
@@ -593,41 +595,42 @@ def set_components(docs: DataFrame, sets: DataFrame, size: int, percent: int, bl
     member = member.join(arrays, F.col("node") == F.col("set_id"))
     member = staged(member.dropDuplicates(["node"])
                     .select("cluster", "band", "block", "blocks", "several", "set_id", F.length("shingles").alias("n"), "shingles"), "blocks")
+    # Each set is in one block, so the components of a block's links are known to its task.
     keys = ["cluster", "band", "block"]
-    links = staged(arrow_map(_blocked(member, keys, ["n", "set_id"]), _block_links(percent, keys), "a long, b long"), "links")
-    roots = connected_components(links)
+    links = staged(arrow_map(_blocked(member.withColumn("name", F.col("set_id")), keys, ["n", "set_id"]),
+                             _block_links(percent, keys), _LINKS), "links")
+    roots = links.select(F.col("a").alias("node"), F.col("b").alias("root"), "several")
     split = member.where("several").drop("several")
-    if split.select(F.lit(1)).head(1):
-        links = staged(links.unionByName(_across_blocks(split, links, roots, percent, block)), "links")
-        roots = connected_components(links)
-    return roots
-
+    if not split.select(F.lit(1)).head(1):
+        return roots.drop("several")
+    return roots.where("NOT several").drop("several").unionByName(
+        _across_blocks(split, roots.where("several").drop("several"), percent, block))
 
-def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
-    """Links between blocks of one cluster; ``member`` holds the clusters of several blocks, ``roots`` the components of ``links``."""
-    names = staged(member.drop("shingles"), "members")  # the arrays travel once, at the end
 
-    def rooted(components):
-        r = components.select(F.col("node").alias("r_node"), "root")
-        return names.join(r, F.col("set_id") == F.col("r_node"), "left").withColumn(
-            "root", F.coalesce("root", "set_id")).drop("r_node")
+def _across_blocks(member: DataFrame, roots: DataFrame, percent: int, block: int) -> DataFrame:
+    """(node, root) over the blocks of each cluster; ``member`` holds the clusters of several blocks, ``roots`` the
+    components within blocks.  From here on only roots are linked: a component is one node."""
+    def rooted(sets, on, components):
+        r = components.select(F.col("node").alias("r_node"), F.col("root").alias("r_root"))
+        return sets.join(r, F.col(on) == F.col("r_node"), "left").withColumn(
+            "root", F.coalesce("r_root", on)).drop("r_node", "r_root")
 
     # Up to 8 sets of each block's component of 32 sets or more, a quarter of a block at most; in two of three rounds
     # the samples of a band meet, in the third those of a band and the next one.
     keys = ["cluster", "band", "block"]
-    now = rooted(roots)
+    now = staged(rooted(member.drop("shingles"), "set_id", roots), "members")  # the arrays travel once, at the end
     sizes = now.groupBy(*keys, "root").agg(F.count(F.lit(1)).alias("held")).where("held >= 32")
     pick = Window.partitionBy(*keys, "root").orderBy(F.xxhash64("set_id"), "set_id")
     chosen = (now.select(*keys, "root", "set_id").join(sizes, [*keys, "root"])
-              .withColumn("k", F.row_number().over(pick)).where("k <= 8").select("set_id", F.pmod("k", F.lit(4)).alias("part")))
+              .withColumn("k", F.row_number().over(pick)).where("k <= 8")
+              .select("set_id", F.col("root").alias("name"), F.pmod("k", F.lit(4)).alias("part")))
     wide = F.col("part") >= 2
     sample = (member.drop("block").join(chosen, "set_id")
               .withColumn("block", F.col("part") * 1_000_000 + F.pmod(F.xxhash64("set_id", F.lit(5)), F.greatest(
                   F.lit(1), F.ceil(F.col("blocks") * 128 / block))))
               .withColumn("band", F.when(wide, F.floor((F.col("band") + F.col("part") - 2) / 2).cast("int")).otherwise(F.col("band"))))
-    links = links.unionByName(arrow_map(_blocked(sample, keys, ["n", "set_id"]), _block_links(percent, keys), "a long, b long"))
-    links = staged(links, "links")
-    now = staged(rooted(connected_components(links)), "rooted")
+    met = connected_components(_blocked(sample.withColumn("several", F.lit(True)), keys, ["n", "set_id"]), _block_links(percent, keys))
+    now = staged(rooted(now, "root", met), "rooted")
     count = now.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("held"))
     main = count.groupBy("cluster").agg(F.max(F.struct("held", "root")).alias("m")).select("cluster", F.col("m.root").alias("main"))
     now = now.join(main, "cluster")
@@ -652,7 +655,8 @@ def _across_blocks(member: DataFrame, links: DataFrame, roots: DataFrame, percen
              .select("cluster", "set_id", "root", "shingles", F.explode("places").alias("at"))
              .select("cluster", "at.zone", "at.out_block", "set_id", "root", "at.outer", "shingles")
              .repartition(*_PAIR).sortWithinPartitions(*_PAIR, F.desc("outer"), "set_id"))
-    return arrow_map(pairs, _outside_links(percent), "a long, b long").unionByName(links)
+    last = connected_components(pairs, _outside_links(percent))
+    return rooted(now.select(F.col("set_id").alias("node"), "root"), "root", last)
 
 
 _DESCRIBED = "doc_id long, text_hash long, n int, set_id long, sig binary, wide binary, found long"

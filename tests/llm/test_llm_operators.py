@@ -529,6 +529,63 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
 
 
+def _least_reachable(edges):
+    least = {x: x for e in edges for x in e}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            if least[a] != least[b]:
+                least[a] = least[b] = min(least[a], least[b])
+                moved = True
+    return least
+
+
+@pytest.mark.parametrize("chunk", [1 << 19, 1, 5])
+def test_components_equal_brute_force_however_edges_are_cut(spark, monkeypatch, chunk):
+    """Chains in any order of names, a hub, trees, edges twice and both ways, names below zero; tasks that hold few edges."""
+    rng = random.Random(chunk)
+    name = rng.sample(range(-10**12, 10**12), 400)
+    edges = [(name[i], name[i + 1]) for i in range(90)] + [(name[100], name[100 + i]) for i in range(1, 90)]
+    edges += [(name[200 + i], name[200 + rng.randrange(i)]) for i in range(1, 100)]
+    edges += [(name[300 + rng.randrange(100)], name[300 + rng.randrange(100)]) for _ in range(60)]
+    edges += [(b, a) for a, b in edges[::7]] + edges[::5]
+    rng.shuffle(edges)
+    want = {x: r for x, r in _least_reachable(edges).items() if any(a != b and x in (a, b) for a, b in edges)}
+    monkeypatch.setattr(components, "CHUNK", chunk)
+    got = _rows(components.connected_components(spark.createDataFrame(edges, "a long, b long").repartition(4)))
+    assert len(got) == len(want) and {r["node"]: r["root"] for r in got} == want
+
+
+def test_components_run_few_stages(spark):
+    """Small graphs cost the stages of the rounds: 12 for this one, 70 when each round grouped and joined both ends of all edges."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)], "a long, b long")
+    sc = spark.sparkContext
+    sc.setJobGroup("stages of components", "")
+    try:
+        assert components.connected_components(edges).count() == 71
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    infos = {k: tracker.getStageInfo(k) for j in tracker.getJobIdsForGroup("stages of components") for k in tracker.getJobInfo(j).stageIds}
+    assert 0 < sum(1 for i in infos.values() if i and i.numCompletedTasks) <= 20
+
+
+def test_jaccard_blocks_know_their_components(spark, monkeypatch):
+    """Components are sought in tables for what tasks cannot know: tiles, and links between blocks; never links within one."""
+    rng, docs, calls = random.Random(9), [], []
+    for g in range(3):
+        base = [f"g{g}x{i}" for i in range(80)]
+        docs += [" ".join(base[:k] + [f"n{rng.randrange(10**6)}"] + base[k + 1:]) for k in rng.sample(range(80), 40)]
+    seek = jaccard_join.connected_components
+    monkeypatch.setattr(jaccard_join, "connected_components", lambda *a: calls.append(1) or seek(*a))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").repartition(3)
+    for block, most in ((1024, 1), (8, 3)):
+        calls.clear()
+        got = {r["doc_id"]: r["component_id"] for r in _rows(jaccard_join.jaccard_components(df, block=block))}
+        assert got == _brute_components(docs) and len(calls) <= most
+
+
 @pytest.mark.parametrize("group_rows", [100_000, 8])
 def test_suffix_dedup_equals_brute_force(spark, group_rows):
     rng = random.Random(7)
